@@ -11,6 +11,18 @@ TABLES = (
 ).split()
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def connect(sf_dir):
     con = duckdb.connect()
     for table in TABLES:
@@ -32,7 +44,8 @@ def _rows(names, rows):
 def assert_same(df, con, sql):
     result = con.execute(sql)
     names = [column[0] for column in result.description]
-    assert sorted(df.columns) == sorted(names)
+    types = {column[0]: str(column[1]) for column in result.description}
+    assert {name: TYPES[dtype] for name, dtype in df.dtypes} == types
     expected = _rows(names, result.fetchall())
     actual = _rows(df.columns, [tuple(row) for row in df.collect()])
     assert len(actual) == len(expected)

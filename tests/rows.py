@@ -1,0 +1,26 @@
+"""Small hand-made frames."""
+
+from datetime import datetime
+
+from txrisk.functions.rules import Thresholds
+from txrisk.schemas import RAW
+
+LIMITS = Thresholds(100.0, 0.9, 0.5, "test")
+_DEFAULT = {
+    "payer_id": "p1",
+    "payee_id": "r1",
+    "tx_type": "send",
+    "amount": 10.0,
+    "payer_balance_before": 10.0,
+    "payer_balance_after": 1.0,
+    "payee_balance_before": 1000.0,
+    "payee_balance_after": 1010.0,
+    "event_time": datetime(2024, 1, 3, 12, 0),
+    "is_fraud": 0,
+}
+
+
+def raw(spark, *changes):
+    """One valid day-time transfer per given dict of changed columns."""
+    rows = [tuple((_DEFAULT | change)[name] for name in RAW.names) for change in changes]
+    return spark.createDataFrame(rows, RAW)

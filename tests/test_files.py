@@ -1,0 +1,71 @@
+from urllib.parse import unquote
+
+import pytest
+from pyspark.sql import functions as F
+from rows import raw
+
+from txrisk.functions.instants import instant
+from txrisk.operators.bronze import SOURCE_PATH
+from txrisk.sources import files
+
+
+@pytest.fixture
+def directory(tmp_path):
+    for name in ("a.parquet", "B.PARQUET", "with space.parquet", "c.csv", "parquet"):
+        (tmp_path / name).write_text("not read")
+    for sub in ("nested", "day=1", "dir.parquet"):
+        (tmp_path / sub).mkdir()
+        (tmp_path / sub / "deep.parquet").write_text("not read")
+    return tmp_path
+
+
+def names(df):
+    return sorted(row.source_file.rsplit("/", 1)[1] for row in df.collect())
+
+
+@pytest.mark.parametrize("form", ["{}", "{}/", "file:{}", "file://{}"])
+def test_lists_parquet_files_of_one_level(spark, directory, form):
+    listed = files.list_files(spark, form.format(directory))
+    assert names(listed) == ["B.PARQUET", "a.parquet", "with%20space.parquet"]
+
+
+def test_listing_does_not_read_contents(spark, directory):
+    plan = files.list_files(spark, str(directory))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
+def test_empty_directory_and_relative_path(spark, tmp_path):
+    (tmp_path / "readme.txt").write_text("")
+    assert files.list_files(spark, str(tmp_path)).count() == 0
+    with pytest.raises(ValueError, match="absolute"):
+        files.list_files(spark, "in")
+
+
+def test_only_success_counts_as_processed(spark):
+    log = spark.createDataFrame(
+        [("a", "SUCCESS"), ("a", "SUCCESS"), ("b", "FAILED"), ("c", "FAILED"), ("c", "SUCCESS")],
+        "source_file string, status string",
+    )
+    done = files.processed_files(log)
+    assert sorted(row[0] for row in done.collect()) == ["a", "c"]
+    listed = spark.createDataFrame([("d",), ("a",), ("b",), ("c",)], "source_file string")
+    assert [row[0] for row in files.new_files(listed, done).collect()] == ["b", "d"]
+
+
+def test_log_rows(spark):
+    found = spark.createDataFrame([("a",)], "source_file string")
+    row = files.log_rows(found, instant(0)).select("source_file", F.unix_micros("processed_at"), "status")
+    assert tuple(row.first()) == ("a", 0, "SUCCESS")
+
+
+def test_scan_reads_exactly_the_files_and_names_them(spark, tmp_path):
+    paths = []
+    for i, name in enumerate(["x y.parquet", "z[1]*.parquet", "other.parquet"]):
+        raw(spark, {"amount": float(i + 1)}).drop("event_time").toPandas().to_parquet(tmp_path / name)
+        paths.append(name)
+    listed = {row.path: row.source_file for row in files.list_files(spark, str(tmp_path)).collect()}
+    wanted = [path for path in listed if "other" not in path]
+    rows = files.scan_files(spark, wanted).collect()
+    assert sorted(row.amount for row in rows) == [1.0, 2.0]
+    assert {row[SOURCE_PATH] for row in rows} == {listed[path] for path in wanted}
+    assert {unquote(row[SOURCE_PATH]) for row in rows} == set(wanted)

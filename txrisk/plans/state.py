@@ -17,7 +17,7 @@ from txrisk.operators.calibration import (
     publish_version,
 )
 from txrisk.schemas import VERSION_FORMAT
-from txrisk.sources.tables import Table, read_or_empty, replace_parts, table_exists, upsert
+from txrisk.sources.tables import Table, read_or_empty, replace_parts, table_exists
 from txrisk.streaming.progress import latest_watermark
 
 
@@ -31,12 +31,13 @@ def get_watermark(spark: SparkSession, table: Table, layer: str) -> int | None:
 
 
 def set_watermark(spark: SparkSession, table: Table, layer: str, micros: int) -> None:
+    """Set a layer's mark. A layer is its own part, so replacing the part is the upsert."""
     row = spark.range(1).select(
         F.lit(layer).alias("layer_name"),
         instant(micros).alias("last_ingestion_timestamp"),
         F.current_timestamp().alias("updated_at"),
     )
-    upsert(spark, table, row, "layer_name")
+    replace_parts(spark, table, row)
 
 
 def get_active_threshold(spark: SparkSession, table: Table) -> Thresholds | None:
