@@ -168,3 +168,13 @@ def test_failed_rewrite_leaves_the_old_rows(spark, table):
     with pytest.raises(Exception, match="lost task"):
         tables.upsert(spark, table, broken, "k")
     assert content(spark, table) == [("k1", 1), ("k2", 2)]
+
+
+@pytest.mark.parametrize("gather", [True, False])
+def test_gathering_is_the_only_shuffle_of_an_append(spark, table, gather):
+    tables.upsert(spark, table, frame(spark, [("k1", 1)]), "k")
+    stored = tables.stored_rows(spark, table)
+    plan = tables.to_write(stored, table, gather)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == gather
+    tables.append(spark, table, frame(spark, [("k2", 2), ("k3", 3)]), gather)
+    assert content(spark, table) == [("k1", 1), ("k2", 2), ("k3", 3)]

@@ -45,7 +45,14 @@ def ingest(spark: SparkSession, settings: Settings) -> int:
     at = instant(now_micros())
     raw = scan_files(spark, [file["path"] for file in files])
     rows = to_bronze(raw, at, settings.source_columns, with_key_day=True)
-    upsert(spark, settings.bronze, rows, "transaction_id", on_duplicate=settings.on_duplicate)
+    upsert(
+        spark,
+        settings.bronze,
+        rows,
+        "transaction_id",
+        on_duplicate=settings.on_duplicate,
+        gather=settings.gather_source,
+    )
     names = spark.createDataFrame([(f["source_file"],) for f in files], INGESTED_FILES.names[:1])
     append(spark, settings.control, log_rows(names, F.current_timestamp()).coalesce(1))
     log.info("ingested %d files", len(files))
@@ -126,7 +133,13 @@ def score(spark: SparkSession, settings: Settings) -> int:
     scored = to_silver(batch.rows, limits)
     log.info("quality of the batch: %s", check_quality(scored, batch.count))
     upsert(
-        spark, settings.silver, scored, "transaction_id", batch.days, on_duplicate=settings.on_duplicate
+        spark,
+        settings.silver,
+        scored,
+        "transaction_id",
+        batch.days,
+        on_duplicate=settings.on_duplicate,
+        gather=False,  # Bronze files hold one day each
     )
     set_watermark(spark, settings.watermarks, "silver", batch.high)
     return batch.count
@@ -148,7 +161,12 @@ def publish_gold(spark: SparkSession, settings: Settings) -> int:
 
     found = gold.alerts(batch.rows, settings.alert_score, keep=(KEY_DAY,))
     upsert(
-        spark, settings.gold_alerts, found, "transaction_id", batch.days, on_duplicate=settings.on_duplicate
+        spark,
+        settings.gold_alerts,
+        found,
+        "transaction_id",
+        batch.days,
+        on_duplicate=settings.on_duplicate,
     )
     set_watermark(spark, settings.watermarks, "gold", batch.high)
     return batch.count

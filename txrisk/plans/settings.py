@@ -15,6 +15,8 @@ class Settings:
     shared storage below it and later sessions find it there; without, tables are managed.
 
     ``source_columns`` names the raw columns of the source files where they differ from ours.
+    ``gather_source=False`` stores source rows without a shuffle; choose it if each source file
+    holds only a few days.
     """
 
     source_path: str
@@ -30,6 +32,7 @@ class Settings:
     alert_score: int = schemas.ALERT_SCORE
     exact_thresholds: bool = False
     on_duplicate: str = "merge"
+    gather_source: bool = True
     source_columns: Mapping[str, str] = field(default_factory=dict)
 
     def _table(self, name: str, schema, part: str | None = None) -> Table:

@@ -31,6 +31,8 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", _PARQUET_GLOB)
         .load(directory)
+        # Large files would make one task each, for one status request.
+        .coalesce(spark.sparkContext.defaultParallelism)
     )
     steps = F.split(F.regexp_replace("path", _URI_PREFIX, ""), "/+")
     return listed.where(F.size(F.array_remove(steps, "")) == depth).select(

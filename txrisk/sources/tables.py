@@ -96,22 +96,26 @@ def read_or_empty(spark: SparkSession, table: Table) -> DataFrame:
     return spark.createDataFrame([], table.schema)
 
 
-def _to_write(rows: DataFrame, table: Table) -> DataFrame:
-    """Rows in stored order. Parts are gathered so a task does not open a file in every part;
-    adaptive execution splits a large part over several tasks and merges small ones."""
+def to_write(rows: DataFrame, table: Table, gather: bool = True) -> DataFrame:
+    """Rows in stored order, and with ``gather`` collected by part first.
+
+    Gathering shuffles the rows so that a task does not open a file in every part; adaptive
+    execution splits a large part over several tasks and merges small ones. Rows read from files
+    that hold one part each need no gathering and are written without a shuffle.
+    """
     ordered = rows.select(*table.columns)
-    return ordered.hint("rebalance", table.part) if table.part else ordered
+    return ordered.hint("rebalance", table.part) if gather and table.part else ordered
 
 
-def append(spark: SparkSession, table: Table, rows: DataFrame) -> None:
+def append(spark: SparkSession, table: Table, rows: DataFrame, gather: bool = True) -> None:
     ensure_table(spark, table)
-    _to_write(rows, table).write.insertInto(table.name)
+    to_write(rows, table, gather).write.insertInto(table.name)
 
 
 def replace_parts(spark: SparkSession, table: Table, rows: DataFrame) -> None:
     """Replace the parts that occur in ``rows``; the rows may come from the table itself."""
     ensure_table(spark, table)
-    _to_write(rows, table).write.insertInto(table.name, overwrite=True)
+    to_write(rows, table).write.insertInto(table.name, overwrite=True)
 
 
 def overwrite(spark: SparkSession, table: Table, rows: DataFrame) -> None:
@@ -132,19 +136,21 @@ def upsert(
     key: str,
     parts: list[str] | None = None,
     on_duplicate: str = "merge",
+    gather: bool = True,
 ) -> None:
     """Matching keys take the source's row, other source rows are added, nothing is deleted.
 
     ``source`` must give the same rows each time it is read. ``parts`` are its part values, if
     the caller knows them. ``on_duplicate="merge"`` stops only where several source rows hit one
     target row, and adds repeated new keys as they are; ``"reject"`` stops at any repeated key.
+    ``gather=False`` appends without a shuffle (see ``to_write``).
     """
     if on_duplicate not in ("merge", "reject"):
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
     if on_duplicate == "reject" and not duplicate_keys(source, key).isEmpty():
         raise DuplicateKeyError(f"source of {table.name} repeats values of {key}")
     if not ensure_table(spark, table):
-        append(spark, table, source)
+        append(spark, table, source, gather)
         return
 
     part = table.part
@@ -160,4 +166,5 @@ def upsert(
         merged = merge_rows(in_batch.where(inside), source.where(inside), list(dict.fromkeys([part, key])))
         replace_parts(spark, table, merged)
     if set(parts) - set(rewritten):
-        append(spark, table, source.where(~F.col(part).isin(rewritten)) if rewritten else source)
+        rest = source.where(~F.col(part).isin(rewritten)) if rewritten else source
+        append(spark, table, rest, gather)
