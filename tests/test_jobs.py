@@ -183,6 +183,21 @@ def test_recalibration_closes_one_row_and_keeps_old_scores(spark, deployed):
     assert {tuple(row) for row in versions} == {(first.version, 20), (third, 20)}
 
 
+def test_publication_lost_halfway_leaves_an_active_version(spark, deployed, monkeypatch):
+    values = {"p95_amount": 1.0, "p95_residual_balance_ratio": 2.0, "p95_payee_amount_ratio": 3.0}
+    first = state.publish_thresholds(spark, deployed.thresholds, values, 1_000_000)
+    with monkeypatch.context() as patched:
+        patched.setattr(state, "replace_parts", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            state.publish_thresholds(spark, deployed.thresholds, values | {"p95_amount": 5.0}, 2_000_000)
+    active = state.get_active_threshold(spark, deployed.thresholds)
+    assert (active.amount, active.version > first) == (5.0, True)
+    last = state.publish_thresholds(spark, deployed.thresholds, values, 3_000_000)
+    history = read_table(spark, deployed.thresholds)
+    assert [row[0] for row in history.where("valid_to IS NULL").collect()] == [last]
+    assert history.count() == 3
+
+
 def test_gold_watermark_moves_last(spark, deployed, monkeypatch):
     deliver(transfers(spark, range(20)), deployed)
     jobs.ingest(spark, deployed)

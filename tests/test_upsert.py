@@ -178,3 +178,19 @@ def test_gathering_is_the_only_shuffle_of_an_append(spark, table, gather):
     assert plan.count("Exchange") == gather
     tables.append(spark, table, frame(spark, [("k2", 2), ("k3", 3)]), gather)
     assert content(spark, table) == [("k1", 1), ("k2", 2), ("k3", 3)]
+
+
+def test_hot_part_is_written_by_several_tasks(spark, table):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    rows = spark.range(30_000).select(
+        F.uuid().alias("k"), F.lit(1).alias("v"), F.when(F.col("id") < 29_000, "hot").otherwise("rare").alias("part")
+    )
+    try:
+        spark.conf.set(name, "64KB")
+        tables.append(spark, table, rows)
+    finally:
+        spark.conf.set(name, before)
+    files = Counter(part for part, _ in files_of(spark, table))
+    assert files["hot"] > 4 and files["rare"] == 1
+    assert tables.read_table(spark, table).count() == 30_000

@@ -172,7 +172,12 @@ def new_version(values: DataFrame, version: str, at: Column) -> DataFrame:
     return row.select(*[F.col(f.name).cast(f.dataType) for f in RISK_THRESHOLDS])
 
 
-def publish_version(history: DataFrame, version_row: DataFrame, at: Column) -> DataFrame:
-    """History with every open version closed at ``at`` and the new version added."""
+def close_versions(history: DataFrame, at: Column) -> DataFrame:
+    """History with every open version closed at ``at``."""
     closed = history.withColumn("valid_to", F.coalesce("valid_to", at))
-    return closed.select(*RISK_THRESHOLDS.names).unionByName(version_row)
+    return closed.select(*RISK_THRESHOLDS.names)
+
+
+def publish_version(history: DataFrame, version_row: DataFrame, at: Column) -> DataFrame:
+    """History with every open version closed and the new version added."""
+    return close_versions(history, at).unionByName(version_row)

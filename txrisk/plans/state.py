@@ -12,12 +12,12 @@ from txrisk.operators.calibration import (
     METRICS,
     active_threshold,
     approximate_thresholds,
+    close_versions,
     exact_thresholds,
     new_version,
-    publish_version,
 )
 from txrisk.schemas import VERSION_FORMAT
-from txrisk.sources.tables import Table, read_or_empty, replace_parts, table_exists
+from txrisk.sources.tables import Table, append, read_or_empty, read_table, replace_parts, table_exists
 from txrisk.streaming.progress import latest_watermark
 
 
@@ -55,13 +55,18 @@ def calculate_thresholds(bronze: DataFrame, exact: bool = False) -> dict[str, fl
 
 
 def publish_thresholds(spark: SparkSession, table: Table, values: dict[str, float], micros: int) -> str:
-    """Close the open versions and add the new one in a single write; returns its version.
+    """Add a new open version, then close the ones before it; returns its version.
 
-    A version is its own part, so closed versions are neither read nor rewritten.
+    The newest open version is the active one, so at no moment is none active, also if the job
+    is lost between the two writes: the next publication closes whatever is open. A version is
+    its own part, so closed versions are neither read nor rewritten.
     """
     version = to_datetime(micros).strftime(VERSION_FORMAT)
     at = instant(micros)
     row = new_version(spark.range(1).select(*[F.lit(v).alias(n) for n, v in values.items()]), version, at)
-    still_open = read_or_empty(spark, table).where(F.col("valid_to").isNull())
-    replace_parts(spark, table, publish_version(still_open, row, at))
+    has_history = table_exists(spark, table)
+    append(spark, table, row)
+    if has_history:
+        still_open = F.col("valid_to").isNull() & (F.col("threshold_version") != version)
+        replace_parts(spark, table, close_versions(read_table(spark, table).where(still_open), at))
     return version
