@@ -1,5 +1,8 @@
+import os
+import time
 import uuid
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +154,10 @@ def test_gate_compares_counts(spark):
     from txrisk.operators.silver import to_silver
 
     scored = to_silver(raw(spark, {}, {}), LIMITS)
+    unknown = to_silver(raw(spark, {"amount": None}), LIMITS)
+    with pytest.raises(QualityGateError) as failed:
+        jobs.check_quality(unknown, 1)
+    assert failed.value.failures == ["missing_score = 1"]
     with pytest.raises(QualityGateError, match="count_mismatch = 1"):
         jobs.check_quality(scored, 3)
     assert jobs.check_quality(scored, 2)["fraud_rate"] == 0.0
@@ -313,6 +320,24 @@ def test_watermark_survives_a_repeated_local_hour(spark, deployed):
     assert read_table(spark, deployed.watermarks).count() == 1
 
 
+def test_files_written_before_the_watermark_are_not_opened(spark, deployed):
+    deliver(transfers(spark, range(20)), deployed)
+    jobs.run_daily(spark, deployed)
+    long_ago = time.time() - 10 * 24 * 3600
+    for table in (deployed.bronze, deployed.silver):
+        for file in Path(table.location).rglob("*.parquet"):
+            file.write_text("cannot be read")
+            os.utime(file, (long_ago, long_ago))
+        for checksum in Path(table.location).rglob(".*.crc"):
+            checksum.unlink()
+        spark.catalog.refreshTable(table.name)
+    deliver(transfers(spark, range(20, 30), event_time=datetime(2024, 2, 1, 12)), deployed)
+    jobs.ingest(spark, deployed)
+    assert jobs.score(spark, deployed) == 10
+    batch = jobs._next_batch(spark, deployed, deployed.silver, "gold")
+    assert (batch.count, batch.days) == (10, ["2024-02-01"])
+
+
 def test_incremental_scan_is_pruned(spark, deployed):
     deliver(transfers(spark, range(20)), deployed)
     jobs.ingest(spark, deployed)

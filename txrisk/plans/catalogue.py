@@ -353,13 +353,18 @@ def _deploy(spark) -> Settings:
     return Settings(f"{folder}/raw", f"{folder}/tables", exact_thresholds=True, **names)
 
 
+def _valid(spark, sf_dir):
+    """Transfers the quality gate lets pass: it refuses amounts that are not above zero."""
+    return transfers(spark, sf_dir).where(F.col("amount") > 0)
+
+
 def _first_batch(spark, sf_dir):
-    return transfers(spark, sf_dir).where((F.col("amount") > 0) & (F.col("event_time") < _clock(SECOND_BATCH_FROM)))
+    return _valid(spark, sf_dir).where(F.col("event_time") < _clock(SECOND_BATCH_FROM))
 
 
 def _second_batch(spark, sf_dir):
     """Later transfers, and one day sent again with its labels turned around."""
-    valid = transfers(spark, sf_dir).where(F.col("amount") > 0)
+    valid = _valid(spark, sf_dir)
     later = valid.where(F.col("event_time") >= _clock(SECOND_BATCH_FROM))
     resent = valid.where(
         (F.col("event_time") >= _clock(RESENT_FROM)) & (F.col("event_time") < _clock(SECOND_BATCH_FROM))
@@ -418,15 +423,15 @@ def score_job(spark, sf_dir):
 
 
 def gold_job_risk(spark, sf_dir):
-    return _rounded(read_table(spark, (_after_two_days(spark, sf_dir)).gold_risk))
+    return _rounded(read_table(spark, _after_two_days(spark, sf_dir).gold_risk))
 
 
 def gold_job_operational(spark, sf_dir):
-    return _rounded(read_table(spark, (_after_two_days(spark, sf_dir)).gold_operational))
+    return _rounded(read_table(spark, _after_two_days(spark, sf_dir).gold_operational))
 
 
 def daily_jobs_alerts(spark, sf_dir):
-    rows = read_table(spark, (_after_two_days(spark, sf_dir)).gold_alerts)
+    rows = read_table(spark, _after_two_days(spark, sf_dir).gold_alerts)
     return rows.drop("threshold_version")
 
 

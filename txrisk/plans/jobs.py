@@ -26,7 +26,7 @@ from txrisk.plans.state import (
 from txrisk.schemas import INGESTED_FILES, KEY_DAY
 from txrisk.sources.files import list_files, log_rows, new_files, processed_files, scan_files
 from txrisk.sources.tables import append, overwrite, read_or_empty, read_table, stored_rows, upsert
-from txrisk.streaming.progress import batch_bounds, rows_after
+from txrisk.streaming.progress import batch_bounds, files_after, rows_after
 
 log = logging.getLogger(__name__)
 
@@ -93,7 +93,7 @@ def _next_batch(spark: SparkSession, settings: Settings, source, layer: str) ->
     """
     mark = get_watermark(spark, settings.watermarks, layer)
     low = None if mark is None else instant(mark)
-    stored = stored_rows(spark, source)
+    stored = files_after(stored_rows(spark, source), low)
     bounds = batch_bounds(rows_after(stored, low), F.collect_set(KEY_DAY).alias("days"))
     found = bounds.withColumn("high", F.unix_micros("max_ingested_at")).first()
     if found["batch_rows"] == 0:
@@ -154,7 +154,7 @@ def publish_gold(spark: SparkSession, settings: Settings) -> int:
     batch = _next_batch(spark, settings, settings.silver, "gold")
     if batch is None:
         return 0
-    use_checkpoint_dir(spark)
+    use_checkpoint_dir(spark, settings.location)
     base = gold.snapshot_base(read_table(spark, settings.silver)).checkpoint()
     overwrite(spark, settings.gold_risk, gold.risk_effectiveness_from(base))
     overwrite(spark, settings.gold_operational, gold.operational_from(base))
@@ -172,12 +172,13 @@ def publish_gold(spark: SparkSession, settings: Settings) -> int:
     return batch.count
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the folder the session names in spark.checkpoint.dir; without one, use the warehouse."""
+def use_checkpoint_dir(spark: SparkSession, tables: str | None = None) -> None:
+    """Keep the folder the session names in spark.checkpoint.dir. Only without one, use a folder
+    next to the tables, which every executor reaches as well."""
     if spark.sparkContext.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        spark.sparkContext.setCheckpointDir(folder or f"{warehouse}/_checkpoints")
+        tables = tables or spark.conf.get("spark.sql.warehouse.dir")
+        spark.sparkContext.setCheckpointDir(folder or f"{tables.rstrip('/')}/_checkpoints")
 
 
 def run_daily(spark: SparkSession, settings: Settings) -> None:

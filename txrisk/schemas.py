@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
+    NumericType,
     StringType,
     StructField,
     StructType,
@@ -107,6 +108,16 @@ RISK_THRESHOLDS = _schema(
 
 # Physical partition column of the keyed tables; not part of any contract.
 KEY_DAY = "key_day"
+# Stands for a stored whole number the source gave as something else; the gate refuses it.
+NOT_WHOLE = -1
+
+
+def _typed(value: Column, dtype: DataType, source: DataType) -> Column:
+    """A cast that never rounds: 0.5 does not become the valid label 0."""
+    if isinstance(dtype, IntegerType) and isinstance(source, NumericType):
+        whole = F.when(value == F.floor(value), value.try_cast(dtype))
+        return F.coalesce(whole, F.when(value.isNotNull(), NOT_WHOLE))
+    return value.cast(dtype)
 
 
 def conform(
@@ -117,11 +128,14 @@ def conform(
     ``renamed`` gives the source's own name for a contract column.
     """
     source_name = {name: (renamed or {}).get(name, name) for name in schema.names}
-    present = {name.lower() for name in df.columns}
+    present = {field.name.lower(): field.dataType for field in df.schema}
     missing = [name for name in source_name.values() if name.lower() not in present]
     if missing:
         raise MissingColumnsError(f"source lacks columns: {', '.join(missing)}")
     return df.select(
-        *[F.col(f"`{source_name[f.name]}`").cast(f.dataType).alias(f.name) for f in schema],
+        *[
+            _typed(F.col(f"`{name}`"), schema[own].dataType, present[name.lower()]).alias(own)
+            for own, name in source_name.items()
+        ],
         *keep,
     )
