@@ -346,3 +346,34 @@ def test_incremental_scan_is_pruned(spark, deployed):
     assert "PushedFilters: [IsNotNull(ingested_at), LessThanOrEqual(ingested_at" in plan
     assert "PartitionFilters: [key_day" in plan
     assert (batch.count, len(batch.days)) == (20, 4)
+
+
+class _Session:
+    """Just what use_checkpoint_dir asks a session for."""
+
+    def __init__(self, current=None, **conf):
+        self.folder, self.sparkContext, self.conf = current, self, self
+        self.values = {name.replace("_", "."): value for name, value in conf.items()}
+
+    def get(self, name, default=None):
+        return self.values.get(name, default)
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+@pytest.mark.parametrize(
+    ("session", "tables", "expected"),
+    [
+        (_Session("hdfs://c/given"), "/tables", "hdfs://c/given"),
+        (_Session(spark_checkpoint_dir="hdfs://c/conf"), "/tables", "hdfs://c/conf"),
+        (_Session(spark_sql_warehouse_dir="/wh"), "/tables/", "/tables/_checkpoints"),
+        (_Session(spark_sql_warehouse_dir="/wh"), None, "/wh/_checkpoints"),
+    ],
+)
+def test_checkpoints_go_where_the_session_says(session, tables, expected):
+    jobs.use_checkpoint_dir(session, tables)
+    assert session.folder == expected

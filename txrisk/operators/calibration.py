@@ -19,19 +19,19 @@ METRICS = {
 }
 # Most values an exact percentile may hold in one task; above it the range is narrowed first.
 EXACT_ROWS = 1_000_000
-_PARTIALS_PER_CORE = 2
+# Most partial sketches one task merges: about two waves of tasks on 8,000 cores.
+_MAX_PARTIALS = 16_000
 
 
 def calibration_input(bronze: DataFrame) -> DataFrame:
     """The three calibrated measures; four Bronze columns are scanned for them.
 
-    A percentile sketch is merged in one task, so the number of partial sketches must follow
-    the size of the cluster and not the size of the history: the scan is coalesced (without a
-    shuffle) to a few partitions per core.
+    A percentile sketch is merged in one task, so the number of partial sketches must not grow
+    with the history: a scan of more partitions is coalesced, without a shuffle. The bound is
+    fixed, as the cores at hand may still be few when the plan is made.
     """
-    cores = bronze.sparkSession.sparkContext.defaultParallelism
     measures = bronze.select("amount", *[c.alias(n) for n, c in balance_ratios().items()])
-    return measures.coalesce(cores * _PARTIALS_PER_CORE)
+    return measures.coalesce(_MAX_PARTIALS)
 
 
 def approximate_thresholds(

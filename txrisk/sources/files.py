@@ -11,6 +11,7 @@ from txrisk.operators.bronze import SOURCE_PATH
 from txrisk.schemas import FILE_DONE
 
 _PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
+_MAX_LIST_TASKS = 1_000
 _URI_PREFIX = "^[^:/]+:(//[^/]*)?"
 
 
@@ -32,7 +33,7 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
         .option("pathGlobFilter", _PARQUET_GLOB)
         .load(directory)
         # Large files would make one task each, for one status request.
-        .coalesce(spark.sparkContext.defaultParallelism)
+        .coalesce(_MAX_LIST_TASKS)
     )
     steps = F.split(F.regexp_replace("path", _URI_PREFIX, ""), "/+")
     return listed.where(F.size(F.array_remove(steps, "")) == depth).select(
