@@ -7,12 +7,10 @@ file, an event type for a layer, a week for a threshold version.
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.functions.instants import instant, to_micros
 from txrisk.functions.keys import key_day, transaction_key
 from txrisk.functions.rules import Thresholds
 from txrisk.operators import bronze, calibration, gold, quality, silver
@@ -26,8 +24,8 @@ from txrisk.sources.tables import read_table
 from txrisk.sources.transfers import transfers
 from txrisk.streaming import progress
 
-LOADED_AT = to_micros(datetime(2024, 6, 1, 12, 30, tzinfo=timezone.utc))
-CLOSED_AT = to_micros(datetime(2024, 2, 1, 3, 0, tzinfo=timezone.utc))
+LOADED_AT = "2024-06-01 12:30:00"
+CLOSED_AT = "2024-02-01 03:00:00"
 FILES_DONE_TO = "2024-01-15"
 FILE_FAILED = "2024-01-20"
 MARK = "2024-01-20 00:00:00"
@@ -41,13 +39,18 @@ def _clock(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
+def _moment(text: str) -> Column:
+    """That wall clock time in the session's zone, so results do not depend on the zone."""
+    return F.lit(text).cast("timestamp")
+
+
 def _day_file() -> Column:
     return F.concat(F.lit("day="), F.to_date("event_time").cast("string"))
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = transfers(spark, sf_dir).withColumn(bronze.SOURCE_PATH, _day_file())
-    return bronze.to_bronze(raw, instant(LOADED_AT))
+    return bronze.to_bronze(raw, _moment(LOADED_AT))
 
 
 def _limits(rows: DataFrame) -> Thresholds:
@@ -103,7 +106,7 @@ def new_files(spark, sf_dir):
 
 
 def file_log_rows(spark, sf_dir):
-    rows = files.log_rows(new_files(spark, sf_dir), instant(LOADED_AT))
+    rows = files.log_rows(new_files(spark, sf_dir), _moment(LOADED_AT))
     return rows.withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
 
 
@@ -122,7 +125,7 @@ def key_days(spark, sf_dir):
 
 def ingest_metadata(spark, sf_dir):
     raw = transfers(spark, sf_dir).withColumn(bronze.SOURCE_PATH, _day_file())
-    return bronze.with_ingest_metadata(raw, instant(LOADED_AT)).select(
+    return bronze.with_ingest_metadata(raw, _moment(LOADED_AT)).select(
         "payer_id",
         "event_time",
         "source_file",
@@ -226,8 +229,8 @@ def active_threshold(spark, sf_dir):
 
 def publish_thresholds(spark, sf_dir):
     values = calibration.exact_thresholds(transfers(spark, sf_dir))
-    row = calibration.new_version(values, "20240201", instant(CLOSED_AT))
-    return _plain_times(calibration.publish_version(_history(spark, sf_dir), row, instant(CLOSED_AT)))
+    row = calibration.new_version(values, "20240201", _moment(CLOSED_AT))
+    return _plain_times(calibration.publish_version(_history(spark, sf_dir), row, _moment(CLOSED_AT)))
 
 
 # --- quality ---------------------------------------------------------------------------------
