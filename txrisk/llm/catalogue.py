@@ -5,13 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dup, tokens
+from . import decontaminate, near_dup, tokens, toxicity
 from .oracles import ORACLES
 from .shared import table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenised(
         table(spark, sf_dir, "documents"), public_tokenizers.path(tokens.VOCABULARY)
@@ -22,7 +27,15 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
+def op9_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.benchmark_matches(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op6_token_binary": op6_token_binary,
     "op7_near_duplicates": op7_near_duplicates,
+    "op9_benchmark_matches": op9_benchmark_matches,
 }
