@@ -5,14 +5,33 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from txrisk.llm import near_dup, tokens
+from txrisk.llm import decontaminate, mixing, near_dup, tokens, toxicity
 from txrisk.llm.shared import stored, table
 
+#: The mixing stage uses every document once; small sources up to this many times.
+MAX_PASSES = 1.5
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored as toxic go."""
+    network = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.clean(docs, network)
+
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    kept = near_dup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document of each group of near copies stays. Rows without a doc_id stay."""
+    dropped = near_dup.near_duplicates(docs).where("NOT kept").select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.without_matches(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The largest source once, smaller ones up to MAX_PASSES times, by temperature."""
+    return mixing.mix(docs, mixing.Target(max_passes=MAX_PASSES)).select("row.*")
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +40,10 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("near duplicates", near_dup_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
     ("token ids", token_stage),
 ]
 

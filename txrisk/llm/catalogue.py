@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near_dup, tokens, toxicity
+from . import decontaminate, mixing, near_dup, tokens, toxicity
 from .oracles import ORACLES
 from .shared import table
 
@@ -27,6 +27,13 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, no source more than twice: the hot source gives way."""
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, mixing.Target(max_passes=2.0, budget=mixing.total_tokens(docs)))
+    return mixed.select("row.doc_id", "source", "tokens", "pass", "block", "before")
+
+
 def op9_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.benchmark_matches(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -37,5 +44,6 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op6_token_binary": op6_token_binary,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_source_mixing": op8_source_mixing,
     "op9_benchmark_matches": op9_benchmark_matches,
 }

@@ -171,6 +171,18 @@ def _searcher(group: list[tuple[int, str]], least: float):
     return run
 
 
+def item_groups(benchmark: DataFrame, item_bytes: int) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark's items by item_id in groups of about item_bytes, one at a time; at least one."""
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+    items = items.where("item_id IS NOT NULL AND text IS NOT NULL")
+    items = items.groupBy("item_id").agg(F.min("text").alias("text"))
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = max(1, -(-total // item_bytes))
+    for g in range(groups):
+        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g)
+        yield [tuple(row) for row in part.orderBy("item_id").collect()]
+
+
 def benchmark_matches(
     docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, item_bytes: int = ITEM_BYTES
 ) -> DataFrame:
@@ -188,15 +200,28 @@ def benchmark_matches(
     each group, so it may be of any size. Documents are not shuffled.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    items = items.where("item_id IS NOT NULL AND text IS NOT NULL")
-    items = items.groupBy("item_id").agg(F.min("text").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(1, -(-total // item_bytes))
     found = None
-    for g in range(groups):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g)
-        group = [tuple(row) for row in part.orderBy("item_id").collect()]
+    for group in item_groups(benchmark, item_bytes):
         hits = rows.mapInArrow(_searcher(group, least), _MATCH)
         found = hits if found is None else found.union(hits)
     return found
+
+
+def without_matches(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The rows of docs, all columns as they are, that hold no benchmark passage."""
+    for group in item_groups(benchmark, ITEM_BYTES):
+        docs = docs.mapInArrow(_remover(group, least, docs.columns.index("text")), docs.schema)
+    return docs
+
+
+def _remover(group: list[tuple[int, str]], least: float, place: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = Items(group)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            for texts in text_chunks(batch.column(place)):
+                for found in items.matches(texts, least):
+                    keep[texts.first + found[0]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run

@@ -386,3 +386,17 @@ def score(docs: DataFrame, network: Network) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def clean(docs: DataFrame, network: Network) -> DataFrame:
+    """The rows of docs, all columns as they are, that score below THRESHOLD."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(place)
+            keep = [network.scores(texts) < THRESHOLD for texts in text_chunks(column)]
+            if keep:
+                yield batch.filter(pa.array(np.concatenate(keep)))
+
+    place = docs.columns.index("text")
+    return docs.mapInArrow(run, docs.schema)
