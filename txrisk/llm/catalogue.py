@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dup, tokens, toxicity
+from . import decontaminate, mixing, near_dup, quality, sharding, tokens, toxicity
 from .oracles import ORACLES
 from .shared import table
 
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
 def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenised(
         table(spark, sf_dir, "documents"), public_tokenizers.path(tokens.VOCABULARY)
@@ -40,10 +44,16 @@ def op9_benchmark_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_hash_shards": op4_hash_shards,
     "op6_token_binary": op6_token_binary,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_source_mixing": op8_source_mixing,
     "op9_benchmark_matches": op9_benchmark_matches,
+    "op10_quality_rules": op10_quality_rules,
 }

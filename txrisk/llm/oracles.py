@@ -37,4 +37,25 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
 FROM documents d JOIN found USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLES = {"op7_near_duplicates": OP7}
+OP4 = """
+WITH hashed AS (
+    SELECT doc_id, CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, ''))[1:15]
+                        AS BIGINT) AS h,
+           CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS bytes
+    FROM documents
+), nodes AS (
+    SELECT depth, h >> (60 - depth) AS prefix, sum(bytes) AS total
+    FROM hashed, (SELECT unnest(range(0, 61)) AS depth)
+    GROUP BY ALL
+), firsts AS (
+    SELECT doc_id, h, bytes, min(depth) AS depth, max_by(total, -depth) AS total
+    FROM hashed, nodes
+    WHERE prefix = h >> (60 - depth) AND total <= 1048576
+    GROUP BY doc_id, h, bytes
+)
+SELECT doc_id, right('0' || h::BIT::VARCHAR, 60)[1:depth] AS shard, CAST(depth AS INTEGER) AS depth,
+       bytes, CAST(total AS BIGINT) AS shard_bytes
+FROM firsts
+"""
+
+ORACLES = {"op4_hash_shards": OP4, "op7_near_duplicates": OP7}
