@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dup, quality, sharding, tokens, toxicity
+from . import decontaminate, mixing, near_dup, pii, quality, sharding, tokens, toxicity, warc
 from .oracles import ORACLES
 from .shared import table
 
@@ -17,6 +17,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op4_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
@@ -50,6 +58,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc_members": op2_warc_members,
+    "op3_personal_data": op3_personal_data,
     "op4_hash_shards": op4_hash_shards,
     "op6_token_binary": op6_token_binary,
     "op7_near_duplicates": op7_near_duplicates,

@@ -37,6 +37,21 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
 FROM documents d JOIN found USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
+OP2 = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n
+    FROM pages
+), records AS (
+    SELECT page_id, n, sha256(html) AS payload_digest,
+           CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first
+    FROM payloads
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM records
+"""
+
 OP4 = """
 WITH hashed AS (
     SELECT doc_id, CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, ''))[1:15]
@@ -58,4 +73,4 @@ SELECT doc_id, right('0' || h::BIT::VARCHAR, 60)[1:depth] AS shard, CAST(depth A
 FROM firsts
 """
 
-ORACLES = {"op4_hash_shards": OP4, "op7_near_duplicates": OP7}
+ORACLES = {"op2_warc_members": OP2, "op4_hash_shards": OP4, "op7_near_duplicates": OP7}
