@@ -27,19 +27,19 @@ END_ID = 2
 FILE_BYTES = 64 << 20
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 1000
-#: Words and pieces of words whose ids a Python worker remembers; beyond it forgets and goes on.
-REMEMBERED = 600_000
+#: Pieces of words whose ids a Python worker remembers; beyond it forgets and goes on.
+REMEMBERED = 1_000_000
 
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+_PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*").fullmatch
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\t\n\r ]+").findall
 
 
 class Encoder:
-    """Ids as the library gives them, but every distinct piece of a word is encoded only once.
+    """Ids as the library gives them, but every distinct piece of a text is encoded only once.
 
     The vocabulary's rules drop white space and never look across it, lower letters, and split words
-    into letters, digits and the rest. So ids of a text are those of its words, and those of a word
-    of ASCII and Latin-1 letters are those of its pieces. Other words go to the library whole.
+    into letters, digits and the rest. So ids of a text of ASCII and Latin-1 letters are those of its
+    pieces, and ids of any text are those of its words.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,35 +47,34 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _learn(self, words: list[str]) -> None:
-        split = {w: _PIECES(w.lower()) for w in words if "<|" not in w and _PLAIN(w)}
-        fresh = list({p for pieces in split.values() for p in pieces}.difference(self.pieces))
-        self.pieces.update(zip(fresh, self._ids(fresh)))
-        for word, pieces in split.items():
-            self.words[word] = b"".join([self.pieces[p] for p in pieces])
-        whole = [w for w in words if w not in split]
-        self.words.update(zip(whole, self._ids(whole)))
+        self.known: dict[str, bytes] = {}
+
+    def _pieces(self, text: str) -> list[str]:
+        if "<|" not in text and _PLAIN(text):
+            return _PIECES(text.lower())
+        out: list[str] = []
+        for word in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
+            if "<|" not in word and _PLAIN(word):
+                out += _PIECES(word.lower())
+            else:
+                out.append(word)  # to the library whole
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
-        if len(self.words) > REMEMBERED:
-            self.words = {"": b""}
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
-        fresh: set[str] = set()
-        for words in split:
-            fresh.update(words)
-        self._learn(list(fresh.difference(self.words)))
-        ids = self.words.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+        split = [self._pieces(x) for x in texts]
+        fresh = list(set().union(*split).difference(self.known))
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known = {}
+            fresh = list(set().union(*split))
+        for first in range(0, len(fresh), 1000):
+            part = fresh[first : first + 1000]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            self.known.update(
+                (piece, np.array(x.ids, dtype="<u4").tobytes()) for piece, x in zip(part, found)
+            )
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, pieces)) for pieces in split]
 
 
 _ENCODERS: dict[str, Encoder] = {}
