@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dup, pii, quality, sharding, tokens, toxicity, warc
+from . import decontaminate, mixing, near_dup, pii, quality, sharding, substrings, tokens, toxicity, warc
 from .oracles import ORACLES
 from .shared import table
 
@@ -29,6 +29,13 @@ def op4_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op5_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a plain table scan has the same parts in every pass
+    return substrings.digest(
+        substrings.without_repeats(table(spark, sf_dir, "documents"), copy=False)
+    )
+
+
 def op6_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenised(
         table(spark, sf_dir, "documents"), public_tokenizers.path(tokens.VOCABULARY)
@@ -61,6 +68,7 @@ QUERIES = {
     "op2_warc_members": op2_warc_members,
     "op3_personal_data": op3_personal_data,
     "op4_hash_shards": op4_hash_shards,
+    "op5_repeated_substrings": op5_repeated_substrings,
     "op6_token_binary": op6_token_binary,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_source_mixing": op8_source_mixing,
