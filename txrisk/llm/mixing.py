@@ -56,7 +56,8 @@ def total_tokens(docs: DataFrame) -> int:
 
 
 def exponent(sources: DataFrame, target: Target) -> float:
-    """The bisected exponent for sources (key, tokens), which hold tokens each."""
+    """The bisected exponent for sources (key, tokens); those without tokens have no part in it."""
+    sources = sources.where("tokens > 0")
     total = sources.agg(F.sum("tokens")).first()[0]
     if not total:
         return 1.0
