@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import components
 from .shared import stored
@@ -96,6 +97,17 @@ def _set_maker(k: int):
     return run
 
 
+def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, 256):
+            part = batch.slice(first, 256)
+            items = [np.frombuffer(x.as_buffer(), dtype=np.int64) for x in part.column(1)]
+            ids = np.repeat(np.asarray(part.column(0)), [len(x) for x in items])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(np.concatenate(items))], ["id", "item"]
+            )
+
+
 def _verifier(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,9 +135,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     Scale: documents with equal sets become one class before banding, so a group of copies is one
     entry however large it is. In a band's bucket every class is first paired with the bucket's
-    least class only. Classes already connected need no further pair; what is left in a bucket after
-    that is paired with the classes of other components, so no candidate is dropped and no bucket
-    is expanded into all its pairs.
+    least class only. Classes already connected need no further pair. Buckets that still hold several
+    components are settled by prefixes: sets in a common order, rarest shingles first, can only
+    reach the similarity if they share one of their leading shingles, which is exact and leaves out
+    sets with many shingles of their own. No candidate is dropped, and no group is expanded into all
+    its pairs.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sketches = stored(rows.mapInArrow(_sketcher(k), _SKETCH), "sketches")
@@ -162,22 +176,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     placed = members.join(joined.withColumnRenamed("node", "id"), "id", "left").select(
         "band", "id", "size", F.coalesce("component", "id").alias("component")
     )
-    mixed = placed.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    mixed = mixed.where("low <> high").select("band")
-    open_ = stored(placed.join(mixed, "band"), "open")
-    sizes = open_.groupBy("band", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    strays = open_.join(main, "band").where("component <> main")
-    others = open_.select(
-        "band", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("component").alias("c2")
-    )
-    rest = strays.join(others, "band").where(
-        (F.col("component") != F.col("c2")) & _may_link("size", "size2", percent)
-    )
-    rest = rest.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
-    rest = rest.distinct().join(spokes, ["a", "b"], "left_anti")
+    open_ = _mixed(placed, "band").select("id", "size", "component").distinct()
+    prefixes = _prefixes(stored(open_, "open"), sets, percent)
+    rest = stored(_cross_pairs(prefixes, percent), "pairs")
     more = stored(_verified(rest, sets, percent), "confirmed")
     joined = components(links.union(more)) if more.head(1) else joined
 
@@ -198,6 +199,52 @@ def _may_link(x: str, y: str, percent: int):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def _mixed(rows: DataFrame, key: str) -> DataFrame:
+    """The rows of those keys that meet more than one component."""
+    mixed = rows.groupBy(key).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(mixed.where("low <> high").select(key), key)
+
+
+def _prefixes(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, size, component, item, place): the leading items of the sets of open_ (id, size,
+    component), when all sets are put in one order, rarest items first. Two sets can only reach the
+    similarity if they share one of these. Items of one set alone come first and are only counted.
+    """
+    items = sets.join(open_.select("id"), "id", "left_semi").mapInArrow(_explode, "id bigint, item bigint")
+    items = stored(items, "items")
+    shared = items.groupBy("item").agg(F.count("*").alias("n")).where("n > 1")
+    common = items.join(shared, "item").join(open_, "id")
+    rare_first = Window.partitionBy("id").orderBy("n", "item")
+    ranked = common.withColumns(
+        {
+            "nth": F.row_number().over(rare_first),
+            "own": F.col("size") - F.count("*").over(Window.partitionBy("id")),
+        }
+    )
+    place = F.col("own") + F.col("nth")
+    length = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
+    return ranked.where(place <= length).select(
+        "id", "size", "component", "item", place.alias("place")
+    )
+
+
+def _cross_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of different components that share a leading item and can reach the similarity
+    by their sizes and by what is left of both sets from that item on. An item's largest component
+    is not paired with itself, nor is any other."""
+    open_ = stored(_mixed(prefixes, "item"), "prefixes")
+    sizes = open_.groupBy("item", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("item").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    strays = open_.join(main, "item").where("component <> main")
+    others = open_.select("item", *[F.col(c).alias(f"{c}_2") for c in ("id", "size", "component", "place")])
+    left = 1 + F.least(F.col("size") - F.col("place"), F.col("size_2") - F.col("place_2"))
+    enough = (100 + percent) * left >= percent * (F.col("size") + F.col("size_2"))
+    pairs = strays.join(others, "item").where(
+        (F.col("component") != F.col("component_2")) & _may_link("size", "size_2", percent) & enough
+    )
+    return pairs.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("id").alias("a"), F.col("items").alias("items_a"))
     right = sets.select(F.col("id").alias("b"), F.col("items").alias("items_b"))
