@@ -43,7 +43,7 @@ def session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    jobs.use_checkpoint_dir(spark)
+    jobs.use_checkpoint_dir(spark, tempfile.mkdtemp(prefix="run-bench-", dir="/tmp"))
     return spark
 
 
@@ -54,7 +54,9 @@ def run(df) -> None:
 def deployment(spark: SparkSession) -> Settings:
     name = f"b{uuid.uuid4().hex}"
     folder = f"{spark.sparkContext.getCheckpointDir()}/{name}"
-    tables = "bronze silver control watermark threshold gold_risk gold_operational gold_alerts".split()
+    tables = (
+        "bronze silver control ingest_day watermark threshold gold_total gold_risk gold_operational gold_alerts"
+    ).split()
     return Settings(
         f"{folder}/raw", f"{folder}/tables", **{f"{table}_table": f"{table}_{name}" for table in tables}
     )
@@ -117,6 +119,8 @@ def main() -> None:
         "upsert_rewrite": measure(
             lambda place: merge(place, keyed.where(F.col("event_time") >= overlap)), stored, few
         ),
+        "upsert_one_correction": measure(lambda place: merge(place, keyed.where(F.col("event_time") < split).limit(1)), stored, few),
+        "calibrate_exact_narrowed": measure(lambda _: run(calibration.exact_thresholds(raw, max_rows=50))),
         "daily_first_batch": measure(lambda place: jobs.run_daily(spark, place), fed, few),
         "daily_replay": measure(lambda place: jobs.run_daily(spark, place), finished, few),
     }

@@ -22,5 +22,10 @@ _DEFAULT = {
 
 def raw(spark, *changes):
     """One valid day-time transfer per given dict of changed columns."""
-    rows = [tuple((_DEFAULT | change)[name] for name in RAW.names) for change in changes]
+    rows = []
+    for change in changes:
+        row = _DEFAULT | change
+        label = row["is_fraud"]
+        row["is_fraud"] = None if label is None else float(label)
+        rows.append(tuple(row[name] for name in RAW.names))
     return spark.createDataFrame(rows, RAW)

@@ -49,7 +49,7 @@ def test_only_success_counts_as_processed(spark):
     done = files.processed_files(log)
     assert sorted(row[0] for row in done.collect()) == ["a", "c"]
     listed = spark.createDataFrame([("d",), ("a",), ("b",), ("c",)], "source_file string")
-    assert [row[0] for row in files.new_files(listed, done).collect()] == ["b", "d"]
+    assert sorted(row[0] for row in files.new_files(listed, done).collect()) == ["b", "d"]
 
 
 def test_log_rows(spark):

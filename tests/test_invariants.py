@@ -3,12 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
+from txrisk.functions.keys import key_day
 from txrisk.functions.rules import Thresholds
 from txrisk.operators import calibration, gold
 from txrisk.operators.bronze import with_transaction_id
 from txrisk.operators.silver import to_silver
 from txrisk.plans.state import calculate_thresholds
 from txrisk.sources.transfers import transfers
+from txrisk.schemas import KEY_DAY
 
 THRESHOLDS = {
     "0.001": (143.51, 2.4065469904963037, 0.08811818553938897),
@@ -80,7 +82,7 @@ def test_no_row_breaks(scored, broken):
 def test_snapshots_cover_all_rows_and_agree_with_their_base(scored):
     df = scored[2]
     rows = df.count()
-    base = gold.snapshot_base(df)
+    base = gold.daily_totals(df.withColumn(KEY_DAY, key_day()))
     for direct, rolled, keys in (
         (gold.risk_effectiveness(df), gold.risk_effectiveness_from(base), 1),
         (gold.operational(df), gold.operational_from(base), 2),
@@ -100,9 +102,10 @@ def test_alerts_are_the_high_and_critical_rows(scored):
     assert df.select("transaction_id").distinct().count() == df.count()
 
 
-def test_snapshot_base_is_small_and_keeps_null_groups(spark, scored):
+def test_daily_totals_are_small_and_keep_null_groups(spark, scored):
     df = scored[2].withColumn("is_night", F.when(F.col("hour_of_day") > 0, F.col("is_night")))
-    base = gold.snapshot_base(df)
-    assert base.count() <= 54
+    df = df.withColumn(KEY_DAY, key_day())
+    base = gold.daily_totals(df)
+    assert base.count() <= 54 * df.select(KEY_DAY).distinct().count()
     found = {row.is_night for row in gold.operational_from(base).collect()}
     assert found == {True, False, None}

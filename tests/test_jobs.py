@@ -20,9 +20,12 @@ from txrisk.functions.instants import to_micros
 from txrisk.plans import jobs, state
 from txrisk.plans.settings import Settings
 from txrisk.schemas import ALERTS, BRONZE, OPERATIONAL, RISK_EFFECTIVENESS, SILVER
+from txrisk.sources import tables
 from txrisk.sources.tables import read_table, table_exists
 
-TABLES = "bronze silver control watermark threshold gold_risk gold_operational gold_alerts".split()
+TABLES = (
+    "bronze silver control ingest_day watermark threshold gold_total gold_risk gold_operational gold_alerts"
+).split()
 
 
 @pytest.fixture
@@ -222,7 +225,14 @@ def test_gold_watermark_moves_last(spark, deployed, monkeypatch):
 def test_ingest_heals_a_failure_before_the_log(spark, deployed, monkeypatch):
     deliver(transfers(spark, range(10)), deployed)
     with monkeypatch.context() as patched:
-        patched.setattr(jobs, "append", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+        whole = jobs.append
+
+        def lost(spark, table, *args):
+            if table == deployed.control:
+                raise OSError("lost")
+            whole(spark, table, *args)
+
+        patched.setattr(jobs, "append", lost)
         with pytest.raises(OSError):
             jobs.ingest(spark, deployed)
     assert not table_exists(spark, deployed.control)
@@ -320,7 +330,114 @@ def test_watermark_survives_a_repeated_local_hour(spark, deployed):
     assert read_table(spark, deployed.watermarks).count() == 1
 
 
-def test_files_written_before_the_watermark_are_not_opened(spark, deployed):
+def test_old_file_times_lose_no_rows(spark, deployed):
+    deliver(transfers(spark, range(20)), deployed)
+    jobs.run_daily(spark, deployed)
+    deliver(transfers(spark, range(20, 40)), deployed)
+    jobs.ingest(spark, deployed)
+    long_ago = time.time() - 10 * 24 * 3600
+    for file in Path(deployed.bronze.location).rglob("*.parquet"):
+        os.utime(file, (long_ago, long_ago))
+    spark.catalog.refreshTable(deployed.bronze.name)
+    assert jobs.score(spark, deployed) == 20
+    assert read_table(spark, deployed.silver).count() == 40
+
+
+def test_a_clock_set_back_loses_no_rows(spark, deployed, monkeypatch):
+    deliver(transfers(spark, range(20)), deployed)
+    jobs.run_daily(spark, deployed)
+    now = jobs.now_micros()
+    monkeypatch.setattr(jobs, "now_micros", lambda: now - 3_600_000_000)
+    deliver(transfers(spark, range(20, 40)), deployed)
+    jobs.run_daily(spark, deployed)
+    assert read_table(spark, deployed.silver).count() == 40
+    assert read_table(spark, deployed.gold_risk).agg(F.sum("tx_count")).first()[0] == 40
+
+
+def test_files_come_in_slices(spark, deployed):
+    for i in range(5):
+        deliver(transfers(spark, range(i * 4, i * 4 + 4)), deployed)
+    sliced = Settings(**{**vars(deployed), "files_per_batch": 2})
+    assert jobs.ingest(spark, sliced) == 5
+    assert read_table(spark, deployed.bronze).select("ingested_at").distinct().count() == 3
+    assert read_table(spark, deployed.bronze).count() == 20
+    assert jobs.ingest(spark, sliced) == 0
+
+
+def test_a_file_that_lacks_a_column_is_named_and_nothing_is_logged(spark, deployed):
+    deliver(transfers(spark, range(5)), deployed)
+    deliver(transfers(spark, range(5, 9)).drop("is_fraud"), deployed)
+    with pytest.raises(MissingColumnsError, match=r"is_fraud \(in .*parquet"):
+        jobs.ingest(spark, deployed)
+    assert not table_exists(spark, deployed.control) and not table_exists(spark, deployed.bronze)
+
+
+def test_files_of_other_number_types_are_read_together(spark, deployed):
+    deliver(transfers(spark, range(5)), deployed)
+    decimal = F.col("amount").cast("decimal(18,2)")
+    deliver(transfers(spark, range(5, 9)).withColumn("amount", decimal), deployed)
+    assert jobs.ingest(spark, deployed) == 2
+    amounts = read_table(spark, deployed.bronze).agg(F.sum("amount")).first()[0]
+    assert amounts == pytest.approx(transfers(spark, range(9)).agg(F.sum("amount")).first()[0])
+
+
+@pytest.mark.parametrize("step", ["ingest", "score", "publish_gold"])
+def test_repeated_keys_survive_a_loss_at_every_step(spark, deployed, monkeypatch, step):
+    twice = transfers(spark, range(10)).unionByName(transfers(spark, [3, 5], is_fraud=1))
+    deliver(twice, deployed)
+    marks_table = {"ingest": deployed.control}.get(step, deployed.watermarks)
+
+    def lost(original):
+        def write(spark, table, *args, **kwargs):
+            if table == marks_table:
+                raise OSError("lost")
+            return original(spark, table, *args, **kwargs)
+
+        return write
+
+    jobs_before = ["ingest", "bootstrap_thresholds", "score", "publish_gold"]
+    for name in jobs_before[: jobs_before.index(step)]:
+        getattr(jobs, name)(spark, deployed)
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "append", lost(jobs.append))
+        patched.setattr(jobs, "set_watermark", lost(jobs.set_watermark))
+        with pytest.raises(OSError):
+            getattr(jobs, step)(spark, deployed)
+    jobs.run_daily(spark, deployed)
+    for table in (deployed.bronze, deployed.silver):
+        assert read_table(spark, table).count() == 12
+    assert read_table(spark, deployed.gold_risk).agg(F.sum("tx_count")).first()[0] == 12
+
+
+def test_gold_counts_only_the_days_of_its_batch(spark, deployed):
+    deliver(transfers(spark, range(20)), deployed)
+    jobs.run_daily(spark, deployed)
+    other = Path(deployed.silver.location) / "key_day=2024-01-03"
+    for file in other.rglob("*.parquet"):
+        file.write_text("cannot be read")
+    for checksum in other.rglob(".*.crc"):
+        checksum.unlink()
+    resent = transfers(spark, [i for i in range(20) if i % 4 == 0], is_fraud=1)
+    deliver(resent, deployed)
+    jobs.run_daily(spark, deployed)
+    totals = read_table(spark, deployed.gold_risk).agg(F.sum("tx_count"), F.sum("fraud_count")).first()
+    assert tuple(totals) == (20, 5)
+
+
+def test_new_days_are_appended_without_a_probe(spark, deployed):
+    deliver(transfers(spark, range(8)), deployed)
+    jobs.run_daily(spark, deployed)
+    probes = []
+    later = [datetime(2024, 3, 1 + i, 12) for i in range(3)]
+    for i, at in enumerate(later):
+        deliver(transfers(spark, [100 + i], event_time=at), deployed)
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(tables, "matched_parts", lambda *args: probes.append(args))
+        jobs.run_daily(spark, deployed)
+    assert probes == [] and read_table(spark, deployed.silver).count() == 11
+
+
+def test_days_not_in_the_batch_are_not_opened(spark, deployed):
     deliver(transfers(spark, range(20)), deployed)
     jobs.run_daily(spark, deployed)
     long_ago = time.time() - 10 * 24 * 3600
@@ -334,14 +451,14 @@ def test_files_written_before_the_watermark_are_not_opened(spark, deployed):
     deliver(transfers(spark, range(20, 30), event_time=datetime(2024, 2, 1, 12)), deployed)
     jobs.ingest(spark, deployed)
     assert jobs.score(spark, deployed) == 10
-    batch = jobs._next_batch(spark, deployed, deployed.silver, "gold")
+    batch = jobs.next_batch(spark, deployed, deployed.silver, "gold")
     assert (batch.count, batch.days) == (10, ["2024-02-01"])
 
 
 def test_incremental_scan_is_pruned(spark, deployed):
     deliver(transfers(spark, range(20)), deployed)
     jobs.ingest(spark, deployed)
-    batch = jobs._next_batch(spark, deployed, deployed.bronze, "silver")
+    batch = jobs.next_batch(spark, deployed, deployed.bronze, "silver")
     plan = batch.rows._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ingested_at), LessThanOrEqual(ingested_at" in plan
     assert "PartitionFilters: [key_day" in plan
@@ -370,10 +487,14 @@ class _Session:
     [
         (_Session("hdfs://c/given"), "/tables", "hdfs://c/given"),
         (_Session(spark_checkpoint_dir="hdfs://c/conf"), "/tables", "hdfs://c/conf"),
-        (_Session(spark_sql_warehouse_dir="/wh"), "/tables/", "/tables/_checkpoints"),
-        (_Session(spark_sql_warehouse_dir="/wh"), None, "/wh/_checkpoints"),
+        (_Session(spark_sql_warehouse_dir="/wh"), "/given", "/given"),
     ],
 )
 def test_checkpoints_go_where_the_session_says(session, tables, expected):
     jobs.use_checkpoint_dir(session, tables)
     assert session.folder == expected
+
+
+def test_without_a_shared_folder_there_is_an_error():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        jobs.use_checkpoint_dir(_Session(spark_sql_warehouse_dir="/wh"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.schemas import ALERT_SCORE, ALERTS
+from txrisk.schemas import ALERT_SCORE, ALERTS, KEY_DAY
 
 _BY_LEVEL = ("risk_level",)
 _BY_TIME = ("is_weekday", "is_night")
@@ -14,7 +14,7 @@ _BY_TIME = ("is_weekday", "is_night")
 def _totals(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return df.groupBy(*keys).agg(
         F.count("*").alias("tx_count"),
-        F.sum("is_fraud").alias("fraud_count"),
+        F.sum("is_fraud").cast("bigint").alias("fraud_count"),
         F.sum("amount").alias("amount_sum"),
     )
 
@@ -29,12 +29,13 @@ def operational(silver: DataFrame) -> DataFrame:
     return _totals(silver, _BY_TIME)
 
 
-def snapshot_base(silver: DataFrame) -> DataFrame:
-    """Totals per level and time group: at most 54 rows, counting NULL groups.
+def daily_totals(silver: DataFrame) -> DataFrame:
+    """Totals per storage day, level and time group: at most 54 rows a day, counting NULL groups.
 
-    Both snapshots roll up from it, so a job scans Silver once instead of twice.
+    Both snapshots roll up from it. A row never changes its day, so totals of days without new rows
+    stay as they are, and a job only reads the days of its batch.
     """
-    return _totals(silver, _BY_LEVEL + _BY_TIME)
+    return _totals(silver, (KEY_DAY,) + _BY_LEVEL + _BY_TIME)
 
 
 def _roll_up(base: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,23 @@ def duplicate_keys(source: DataFrame, key: str) -> DataFrame:
     return source.groupBy(key).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
+def keep_last(source: DataFrame, key: str) -> DataFrame:
+    """One row a key: the last in the order of all columns, ``ingested_at`` and ``source_file``
+    first where there are any. Rows that are equal throughout are one row."""
+    names = source.columns
+    first = [name for name in ("ingested_at", "source_file") if name in names]
+    order = [*first, *[name for name in names if name not in (*first, key)]]
+    last = source.groupBy(key).agg(F.max(F.struct(*order)).alias("_last"))
+    return last.select(key, "_last.*").select(*names)
+
+
+def without_stored(source: DataFrame, target: DataFrame, columns: list[str]) -> DataFrame:
+    """Source rows that are not in the target yet, NULLs being equal to each other."""
+    stored = target.select(*[F.col(name).alias(f"_stored_{name}") for name in columns])
+    same = [F.col(name).eqNullSafe(F.col(f"_stored_{name}")) for name in columns]
+    return source.join(stored, reduce(and_, same), "left_anti")
+
+
 def merge_rows(target: DataFrame, source: DataFrame, keys: str | list[str]) -> DataFrame:
     """The target after the upsert: hit rows take the source's values, new keys are added.
 

@@ -6,21 +6,25 @@ file, an event type for a layer, a week for a threshold version.
 
 from __future__ import annotations
 
+import contextlib
+import tempfile
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txrisk.errors import CalibrationError, QualityGateError
 from txrisk.functions.keys import key_day, transaction_key
 from txrisk.functions.rules import Thresholds
 from txrisk.operators import bronze, calibration, gold, quality, silver
-from txrisk.operators.upsert import matched_parts, merge_rows
-from txrisk.plans import jobs
+from txrisk.operators.upsert import keep_last, matched_parts, merge_rows
+from txrisk.plans import jobs, state
 from txrisk.plans.settings import Settings
 from txrisk.plans.state import calculate_thresholds
-from txrisk.schemas import APPROX_ACCURACY, BRONZE, KEY_DAY, LAYER_WATERMARKS, THRESHOLD_PERCENTILE
+from txrisk.schemas import APPROX_ACCURACY, BRONZE, KEY_DAY, RAW, THRESHOLD_PERCENTILE, conform
 from txrisk.sources import files
-from txrisk.sources.tables import read_table
+from txrisk.sources.tables import append, read_table
 from txrisk.sources.transfers import transfers
 from txrisk.streaming import progress
 
@@ -72,14 +76,35 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_files(spark, sf_dir):
-    listed = files.list_files(spark, sf_dir)
-    return listed.select(F.regexp_extract("source_file", "[^/]+$", 0).alias("file_name"), "length")
+    """Events written as files that hold whole days; what the listing and the scan say of each day."""
+    folder = f"{_folder(spark)}/days"
+    _events(spark, sf_dir).repartition(F.to_date("ts")).write.parquet(folder)
+    listed = files.list_files(spark, folder)
+    rows = files.scan_files(spark, [row.path for row in listed.collect()])
+    found = rows.join(listed, F.col(bronze.SOURCE_PATH) == F.col("source_file"))
+    return found.groupBy(F.to_date("ts").alias("day")).agg(
+        F.count_distinct("source_file").alias("file_count"),
+        F.count_if(F.col("length") > 0).alias("row_count"),
+        F.min("ts").alias("first_at"),
+        F.max("ts").alias("last_at"),
+    )
 
 
 def scan_with_path(spark, sf_dir):
-    rows = files.scan_files(spark, [f"{sf_dir}/events.parquet"])
-    named = F.col(bronze.SOURCE_PATH).contains("/events.parquet")
-    return rows.select("event_id", "ts", "value", named.alias("from_events_file"))
+    """Transfers of even and odd seconds in files of different number types, read as one."""
+    folder, even = _folder(spark), F.second("event_time") % 2 == 0
+    rows = transfers(spark, sf_dir)
+    rows.where(even).write.parquet(f"{folder}/double")
+    rows.where(~even).withColumns(
+        {"amount": F.col("amount").cast("decimal(18,2)"), "is_fraud": F.col("is_fraud").cast("bigint")}
+    ).write.parquet(f"{folder}/decimal")
+    paths = [
+        row.path for kind in ("double", "decimal") for row in files.list_files(spark, f"{folder}/{kind}").collect()
+    ]
+    kept = (bronze.SOURCE_PATH,)
+    found = files.scan_files(spark, paths, lambda raw: conform(raw, RAW, keep=kept))
+    kind = F.regexp_extract(bronze.SOURCE_PATH, "/([^/]+)/[^/]+$", 1).alias("kind")
+    return found.select("payer_id", "event_time", "amount", "is_fraud", kind)
 
 
 def _file_log(spark, sf_dir):
@@ -183,8 +208,12 @@ def thresholds_exact(spark, sf_dir):
 
 def thresholds_approx_bound(spark, sf_dir):
     """Whether each approximate percentile lies within the sketch's rank error."""
-    rows = calibration.calibration_input(transfers(spark, sf_dir))
     found = calibration.approximate_thresholds(transfers(spark, sf_dir)).first()
+    return _within_bound(transfers(spark, sf_dir), found)
+
+
+def _within_bound(history, found):
+    rows = calibration.calibration_input(history)
 
     def ranks(name, column):
         value, rank = F.col(column), F.ceil(F.count(column) * F.lit(float(THRESHOLD_PERCENTILE)))
@@ -228,9 +257,51 @@ def active_threshold(spark, sf_dir):
 
 
 def publish_thresholds(spark, sf_dir):
-    values = calibration.exact_thresholds(transfers(spark, sf_dir))
-    row = calibration.new_version(values, "20240201", _moment(CLOSED_AT))
-    return _plain_times(calibration.publish_version(_history(spark, sf_dir), row, _moment(CLOSED_AT)))
+    """A version published on top of a stored history; its name, an instant, is given as 'new'."""
+    table = _deploy(spark).thresholds
+    append(spark, table, _history(spark, sf_dir))
+    values = calculate_thresholds(transfers(spark, sf_dir), exact=True)
+    state.publish_thresholds(spark, table, values, _micros(spark, CLOSED_AT))
+    version = F.when(F.length("threshold_version") > 8, "new").otherwise(F.col("threshold_version"))
+    return _plain_times(read_table(spark, table).withColumn("threshold_version", version))
+
+
+def thresholds_exact_narrowed(spark, sf_dir):
+    """The same percentiles with a range of at most 50 values, which takes several rounds."""
+    return calibration.exact_thresholds(transfers(spark, sf_dir), max_rows=50)
+
+
+def calibration_guard(spark, sf_dir):
+    """What calibration refuses: per history and measure, its values and whether it is named."""
+    whole = transfers(spark, sf_dir)
+    none = F.lit(None).cast("double")
+    histories = {
+        "whole": whole,
+        "no amounts": whole.withColumn("amount", none),
+        "no payer balances": whole.withColumn("payer_balance_after", none),
+        "before the first event": whole.where(F.col("event_time") < _clock("2000-01-01 00:00:00")),
+    }
+    found = None
+    for name, rows in histories.items():
+        try:
+            calculate_thresholds(rows, exact=True)
+            refused = ""
+        except CalibrationError as error:
+            refused = str(error)
+        counts = calibration.calibration_input(rows).agg(
+            *[
+                F.struct(
+                    F.lit(name).alias("history"),
+                    F.lit(metric).alias("metric"),
+                    F.count(column).alias("value_count"),
+                    F.lit(metric in refused).alias("refused"),
+                ).alias(metric)
+                for metric, column in calibration.METRICS.items()
+            ]
+        )
+        counts = counts.select(F.inline(F.array(*calibration.METRICS)))
+        found = counts if found is None else found.unionByName(counts)
+    return found
 
 
 # --- quality ---------------------------------------------------------------------------------
@@ -265,13 +336,13 @@ def operational(spark, sf_dir):
 
 
 def risk_effectiveness_from_base(spark, sf_dir):
-    base = gold.snapshot_base(_scored(spark, sf_dir))
-    return _rounded(gold.risk_effectiveness_from(base))
+    totals = gold.daily_totals(_scored(spark, sf_dir).withColumn(KEY_DAY, key_day()))
+    return _rounded(gold.risk_effectiveness_from(totals))
 
 
 def operational_from_base(spark, sf_dir):
-    base = gold.snapshot_base(_scored(spark, sf_dir))
-    return _rounded(gold.operational_from(base))
+    totals = gold.daily_totals(_scored(spark, sf_dir).withColumn(KEY_DAY, key_day()))
+    return _rounded(gold.operational_from(totals))
 
 
 def alerts(spark, sf_dir):
@@ -289,28 +360,76 @@ def batch_bounds(spark, sf_dir):
     return progress.batch_bounds(progress.rows_after(_stamped(spark, sf_dir), _clock(MARK)))
 
 
+def _ingested_by_day(spark, sf_dir) -> Settings:
+    """A Bronze table in which every day was ingested on its own, at its midnight."""
+    deployed = _deploy(spark)
+    at = F.date_trunc("day", "event_time").cast("timestamp")
+    raw = transfers(spark, sf_dir).withColumn(bronze.SOURCE_PATH, _day_file())
+    rows = bronze.to_bronze(raw, at, with_key_day=True)
+    append(spark, deployed.bronze, rows)
+    append(spark, deployed.ingest_days, rows.select("ingested_at", KEY_DAY).distinct())
+    return deployed
+
+
 def incremental_read(spark, sf_dir):
-    rows = progress.rows_after(_stamped(spark, sf_dir), _clock(MARK))
-    return rows.select("event_id", "ingested_at", "user_id", "value")
+    """The next batch of a layer whose watermark is MARK, as the job reads it."""
+    deployed = _ingested_by_day(spark, sf_dir)
+    state.set_watermark(spark, deployed.watermarks, "silver", _micros(spark, MARK))
+    batch = jobs.next_batch(spark, deployed, deployed.bronze, "silver")
+    at = F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at")
+    return batch.rows.select("transaction_id", "event_time", "amount", at)
 
 
-def _marks(events):
-    return events.select(
-        F.col("event_type").alias("layer_name"),
-        F.col("ts").alias("last_ingestion_timestamp"),
-        F.col("ts").alias("updated_at"),
-    )
+def empty_batch(spark, sf_dir):
+    """Rows of the next batch, and whether the job finds it empty, for a mark before the end of the
+    table and for the mark that its batch gives."""
+    deployed = _ingested_by_day(spark, sf_dir)
+    found, mark = [], _micros(spark, MARK)
+    for name in ("before", "after"):
+        state.set_watermark(spark, deployed.watermarks, "silver", mark)
+        batch = jobs.next_batch(spark, deployed, deployed.bronze, "silver")
+        found.append((name, 0 if batch is None else batch.count, batch is None))
+        mark = mark if batch is None else batch.high
+    return spark.createDataFrame(found, "mark string, batch_rows bigint, is_empty boolean")
+
+
+def _event_marks(events):
+    """Newest time of each event type, which stands for a layer: a few rows."""
+    newest = events.groupBy("event_type").agg(F.max(F.col("ts").cast("timestamp")).alias("mark"))
+    return [tuple(row) for row in newest.select("event_type", F.unix_micros("mark")).collect()]
 
 
 def watermark_latest(spark, sf_dir):
-    return progress.latest_watermarks(_marks(_events(spark, sf_dir)))
+    """Marks as a job reads them from a table with many rows a layer."""
+    table, events = _deploy(spark).watermarks, _events(spark, sf_dir)
+    at = F.col("ts").cast("timestamp")
+    append(
+        spark,
+        table,
+        events.select(
+            F.col("event_type").alias("layer_name"),
+            at.alias("last_ingestion_timestamp"),
+            at.alias("updated_at"),
+        ),
+    )
+    layers = [row[0] for row in events.select("event_type").distinct().collect()]
+    marks = [(layer, state.get_watermark(spark, table, layer)) for layer in layers]
+    return _named_marks(spark.createDataFrame(marks, "layer_name string, micros bigint"))
+
+
+def _named_marks(marks):
+    at = F.timestamp_micros("micros").cast("timestamp_ntz").alias("last_ingestion_timestamp")
+    return marks.select("layer_name", at)
 
 
 def set_watermark(spark, sf_dir):
-    events = _events(spark, sf_dir)
-    stored = progress.latest_watermarks(_marks(events.where(F.col("ts") < _clock(TARGET_BEFORE))))
-    newer = progress.latest_watermarks(_marks(events.where(F.col("event_type") != "view")))
-    return merge_rows(stored, newer, "layer_name").select(*LAYER_WATERMARKS.names)
+    """Marks set by the job's function, some of them twice, as the table holds them."""
+    table, events = _deploy(spark).watermarks, _events(spark, sf_dir)
+    for part in (F.col("ts") < _clock(TARGET_BEFORE), F.col("event_type") != "view"):
+        for layer, micros in _event_marks(events.where(part)):
+            state.set_watermark(spark, table, layer, micros)
+    micros = F.unix_micros("last_ingestion_timestamp").alias("micros")
+    return _named_marks(read_table(spark, table).select("layer_name", micros))
 
 
 # --- upsert ----------------------------------------------------------------------------------
@@ -339,75 +458,133 @@ def upsert_matches(spark, sf_dir):
     return matched_parts(_target(spark, sf_dir), _source(spark, sf_dir), "transaction_id", KEY_DAY)
 
 
+def upsert_keep_last(spark, sf_dir):
+    """Every source row twice with different labels: the last in order is kept, then merged."""
+    source = _source(spark, sf_dir)
+    twice = source.unionByName(source.withColumn("is_fraud", 1 - F.col("is_fraud")))
+    return merge_rows(
+        _target(spark, sf_dir), keep_last(twice, "transaction_id"), [KEY_DAY, "transaction_id"]
+    )
+
+
 # --- jobs ------------------------------------------------------------------------------------
 
 
-def _deploy(spark) -> Settings:
-    """Fresh tables below the session's checkpoint folder, which every executor can reach."""
+def _folder(spark) -> str:
+    """A new folder below the session's checkpoint folder, which every executor can reach. Only a
+    session without one, as in tests, gets a temporary one."""
+    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="txrisk-"))
     jobs.use_checkpoint_dir(spark)
-    run = f"r{uuid.uuid4().hex}"
-    folder = f"{spark.sparkContext.getCheckpointDir()}/{run}"
+    return f"{spark.sparkContext.getCheckpointDir()}/r{uuid.uuid4().hex}"
+
+
+def _micros(spark, text: str) -> int:
+    return spark.range(1).select(F.unix_micros(_moment(text))).first()[0]
+
+
+def _deploy(spark) -> Settings:
+    """Fresh tables in a new folder."""
+    folder = _folder(spark)
+    run = folder.rsplit("/", 1)[1]
     names = {
         f"{table}_table": f"{table}_{run}"
         for table in (
-            "bronze silver control watermark threshold gold_risk gold_operational gold_alerts".split()
+            "bronze silver control ingest_day watermark threshold "
+            "gold_total gold_risk gold_operational gold_alerts".split()
         )
     }
     return Settings(f"{folder}/raw", f"{folder}/tables", exact_thresholds=True, **names)
 
 
-def _valid(spark, sf_dir):
-    """Transfers the quality gate lets pass: it refuses amounts that are not above zero."""
-    return transfers(spark, sf_dir).where(F.col("amount") > 0)
+_PASSING = "amount > 0"
 
 
 def _first_batch(spark, sf_dir):
-    return _valid(spark, sf_dir).where(F.col("event_time") < _clock(SECOND_BATCH_FROM))
+    return transfers(spark, sf_dir).where(F.col("event_time") < _clock(SECOND_BATCH_FROM))
 
 
 def _second_batch(spark, sf_dir):
     """Later transfers, and one day sent again with its labels turned around."""
-    valid = _valid(spark, sf_dir)
-    later = valid.where(F.col("event_time") >= _clock(SECOND_BATCH_FROM))
-    resent = valid.where(
+    rows = transfers(spark, sf_dir)
+    later = rows.where(F.col("event_time") >= _clock(SECOND_BATCH_FROM))
+    resent = rows.where(
         (F.col("event_time") >= _clock(RESENT_FROM)) & (F.col("event_time") < _clock(SECOND_BATCH_FROM))
     ).withColumn("is_fraud", 1 - F.col("is_fraud"))
     return later.unionByName(resent)
 
 
 def _after_two_days(spark, sf_dir) -> Settings:
-    """Two daily runs, then a third without new files, which changes nothing."""
+    """Two daily runs, a third without new files, and one of the rows that the gate refuses (amounts
+    not above zero), which come in a batch of their own. The last two change nothing."""
     deployed = _deploy(spark)
-    _first_batch(spark, sf_dir).write.mode("append").parquet(deployed.source_path)
-    jobs.run_daily(spark, deployed)
-    _second_batch(spark, sf_dir).write.mode("append").parquet(deployed.source_path)
-    jobs.run_daily(spark, deployed)
+    for batch in (_first_batch, _second_batch):
+        _deliver(batch(spark, sf_dir).where(_PASSING), deployed)
+        jobs.run_daily(spark, deployed)
     jobs.run_daily(spark, deployed)
+    for batch in (_first_batch, _second_batch):
+        _deliver(batch(spark, sf_dir).where(f"NOT {_PASSING}"), deployed)
+    with contextlib.suppress(QualityGateError):
+        jobs.run_daily(spark, deployed)
     return deployed
 
 
+def _deliver(rows, deployed):
+    rows.write.mode("append").parquet(deployed.source_path)
+
+
+def refused_batch(spark, sf_dir):
+    """A second batch with labels outside 0 and 1 and amounts of zero: what the gate says of it, and
+    what Silver holds afterwards."""
+    deployed = _deploy(spark)
+    _deliver(_first_batch(spark, sf_dir).where(_PASSING), deployed)
+    jobs.run_daily(spark, deployed)
+    later = transfers(spark, sf_dir).where(F.col("event_time") >= _clock(SECOND_BATCH_FROM))
+    bad = F.when(F.hour("event_time") == 3, 0.5).otherwise(F.col("is_fraud"))
+    zero = F.when(F.hour("event_time") == 4, 0.0).otherwise(F.col("amount"))
+    _deliver(later.withColumns({"is_fraud": bad, "amount": zero}), deployed)
+    try:
+        jobs.run_daily(spark, deployed)
+        failures = []
+    except QualityGateError as error:
+        failures = [tuple(text.split(" = ")) for text in error.failures]
+    found = spark.createDataFrame(failures, "check_name string, observed string")
+    silver_rows = read_table(spark, deployed.silver).select(F.count("*")).scalar()
+    return found.select("check_name", F.col("observed").cast("bigint"), silver_rows.alias("silver_rows"))
+
+
 def ingest_job(spark, sf_dir):
     deployed = _deploy(spark)
     for batch in (_first_batch, _second_batch):
-        batch(spark, sf_dir).write.mode("append").parquet(deployed.source_path)
+        _deliver(batch(spark, sf_dir), deployed)
         jobs.ingest(spark, deployed)
     return read_table(spark, deployed.bronze).select("transaction_id", "event_time", "amount", "is_fraud")
 
 
 def bootstrap_job(spark, sf_dir):
-    """The second call finds an active version and publishes nothing."""
+    """The second call, after a second batch, finds an active version and publishes nothing."""
     deployed = _deploy(spark)
-    _first_batch(spark, sf_dir).write.mode("append").parquet(deployed.source_path)
+    for batch in (_first_batch, _second_batch):
+        _deliver(batch(spark, sf_dir), deployed)
+        jobs.ingest(spark, deployed)
+        jobs.bootstrap_thresholds(spark, deployed)
+    return _versions(spark, deployed)
+
+
+def bootstrap_job_approximate(spark, sf_dir):
+    """The default calibration on what was ingested: values counted, and the rank bound kept."""
+    deployed = replace(_deploy(spark), exact_thresholds=False)
+    _deliver(transfers(spark, sf_dir), deployed)
     jobs.ingest(spark, deployed)
     jobs.bootstrap_thresholds(spark, deployed)
-    jobs.bootstrap_thresholds(spark, deployed)
-    return _versions(spark, deployed)
+    found = calibration.active_threshold(read_table(spark, deployed.thresholds)).first()
+    return _within_bound(read_table(spark, deployed.bronze), found)
 
 
 def recalibrate_job(spark, sf_dir):
     deployed = _deploy(spark)
     for batch in (_first_batch, _second_batch):
-        batch(spark, sf_dir).write.mode("append").parquet(deployed.source_path)
+        _deliver(batch(spark, sf_dir), deployed)
         jobs.ingest(spark, deployed)
         jobs.recalibrate(spark, deployed)
     return _versions(spark, deployed)
@@ -456,7 +633,9 @@ QUERIES = {
         score_level,
         silver_rows,
         thresholds_exact,
+        thresholds_exact_narrowed,
         thresholds_approx_bound,
+        calibration_guard,
         active_threshold,
         publish_thresholds,
         quality_metrics,
@@ -468,13 +647,17 @@ QUERIES = {
         alerts,
         batch_bounds,
         incremental_read,
+        empty_batch,
         watermark_latest,
         set_watermark,
         upsert,
         upsert_matches,
+        upsert_keep_last,
         ingest_job,
         bootstrap_job,
+        bootstrap_job_approximate,
         recalibrate_job,
+        refused_batch,
         score_job,
         gold_job_risk,
         gold_job_operational,

@@ -13,7 +13,7 @@ transfers AS (
          s.s_acctbal AS payee_balance_before,
          s.s_acctbal + e.value AS payee_balance_after,
          e.ts AS event_time,
-         CAST(e.event_type = 'error' AS int) AS is_fraud
+         CAST(CAST(e.event_type = 'error' AS int) AS double) AS is_fraud
   FROM events e
   JOIN customer c ON e.user_id = c.c_custkey
   JOIN supplier s ON s.s_suppkey = e.event_id % (SELECT count(*) FROM supplier)
@@ -78,14 +78,16 @@ stored AS (
   SELECT * EXCLUDE (is_fraud),
          CASE WHEN CAST(event_time AS date) = DATE '2024-01-15' THEN 1 - is_fraud
               ELSE is_fraud END AS is_fraud
-  FROM keyed WHERE amount > 0
-)"""
+  FROM keyed
+),
+passed AS (SELECT * FROM stored WHERE amount > 0)"""
 
 WITH_FEATURES = f"WITH {TRANSFERS}, {_features('keyed')}"
 WITH_SCORED = f"{WITH_FEATURES}, {_scored()}"
 FIRST_BATCH = "event_time < TIMESTAMP '2024-01-16 00:00:00'"
-WITH_STORED = f"WITH {TRANSFERS}, {BATCHES}, {_features('stored')}"
-WITH_STORED_SCORED = f"{WITH_STORED}, {_scored(FIRST_BATCH)}"
+WITH_STORED_SCORED = f"WITH {TRANSFERS}, {BATCHES}, {_features('stored')}, {_scored(FIRST_BATCH)}"
+# The gate refuses amounts that are not above zero; Silver and what follows lack them.
+WITH_PASSED_SCORED = f"WITH {TRANSFERS}, {BATCHES}, {_features('passed')}, {_scored(FIRST_BATCH)}"
 
 TOTALS = """CAST(count(*) AS bigint) AS tx_count, CAST(sum(is_fraud) AS bigint) AS fraud_count,
        round(sum(amount), 2) AS amount_sum"""
@@ -153,7 +155,14 @@ newer AS (
 )"""
 
 ORACLES = {
-    "scan_with_path": "SELECT event_id, ts, value, true AS from_events_file FROM events",
+    "list_files": """
+        SELECT CAST(ts AS date) AS day, CAST(1 AS bigint) AS file_count, CAST(count(*) AS bigint) AS row_count,
+               min(ts) AS first_at, max(ts) AS last_at
+        FROM events GROUP BY 1""",
+    "scan_with_path": f"""WITH {TRANSFERS}
+        SELECT payer_id, event_time, amount, is_fraud,
+               CASE WHEN second(event_time) % 2 = 0 THEN 'double' ELSE 'decimal' END AS kind
+        FROM transfers""",
     "processed_files": f"WITH {FILE_LOG} SELECT source_file FROM log WHERE status = 'SUCCESS'",
     "new_files": f"WITH {FILE_LOG} SELECT source_file FROM new_days",
     "file_log_rows": f"""WITH {FILE_LOG}
@@ -190,7 +199,7 @@ ORACLES = {
     "publish_thresholds": f"""{WITH_SCORED}, {HISTORY}
         SELECT * REPLACE (coalesce(valid_to, TIMESTAMP '2024-02-01 03:00:00') AS valid_to) FROM history
         UNION ALL
-        SELECT '20240201', p95_amount, p95_residual_balance_ratio, p95_payee_amount_ratio,
+        SELECT 'new', p95_amount, p95_residual_balance_ratio, p95_payee_amount_ratio,
                TIMESTAMP '2024-02-01 03:00:00', NULL FROM limits""",
     "quality_metrics": f"""{WITH_SCORED}, {METRICS}
         SELECT *, bronze_count = silver_count AS counts_match FROM metrics""",
@@ -212,15 +221,17 @@ ORACLES = {
     "batch_bounds": """
         SELECT CAST(count(*) AS bigint) AS batch_rows, max(ts) AS max_ingested_at
         FROM events WHERE ts > TIMESTAMP '2024-01-20 00:00:00'""",
-    "incremental_read": """
-        SELECT event_id, ts AS ingested_at, user_id, value
-        FROM events WHERE ts > TIMESTAMP '2024-01-20 00:00:00'""",
+    "incremental_read": f"""WITH {TRANSFERS}
+        SELECT transaction_id, event_time, amount, CAST(date_trunc('day', event_time) AS timestamp) AS ingested_at
+        FROM keyed WHERE event_time >= TIMESTAMP '2024-01-21 00:00:00'""",
+    "empty_batch": """
+        SELECT 'before' AS mark, CAST(count(*) AS bigint) AS batch_rows, count(*) = 0 AS is_empty
+        FROM events WHERE ts >= TIMESTAMP '2024-01-21 00:00:00'
+        UNION ALL SELECT 'after', 0, true""",
     "watermark_latest": """
-        SELECT event_type AS layer_name, max(ts) AS last_ingestion_timestamp, max(ts) AS updated_at
-        FROM events GROUP BY event_type""",
+        SELECT event_type AS layer_name, max(ts) AS last_ingestion_timestamp FROM events GROUP BY event_type""",
     "set_watermark": f"""WITH {MARKS}
-        SELECT layer_name, coalesce(n.mark, s.mark) AS last_ingestion_timestamp,
-               coalesce(n.mark, s.mark) AS updated_at
+        SELECT layer_name, coalesce(n.mark, s.mark) AS last_ingestion_timestamp
         FROM stored s FULL JOIN newer n USING (layer_name)""",
     "upsert": f"""WITH {TRANSFERS}, {UPSERT}
         SELECT CAST(CAST(event_time AS date) AS varchar) AS key_day, transaction_id, event_time, amount,
@@ -230,6 +241,34 @@ ORACLES = {
         SELECT CAST(CAST(t.event_time AS date) AS varchar) AS key_day,
                CAST(count(*) AS bigint) AS rows_hit, CAST(1 AS bigint) AS most_copies
         FROM target t JOIN source s USING (transaction_id) GROUP BY 1""",
+    "upsert_keep_last": f"""WITH {TRANSFERS}, {UPSERT}
+        SELECT CAST(CAST(event_time AS date) AS varchar) AS key_day, transaction_id, event_time, amount,
+               CASE WHEN s.is_fraud IS NOT NULL THEN CAST(1 AS double) ELSE t.is_fraud END AS is_fraud
+        FROM target t FULL JOIN source s USING (transaction_id, event_time, amount)""",
+    "calibration_guard": f"""{WITH_FEATURES}, measures AS (
+          SELECT 'whole' AS history, amount, residual_balance_ratio, payee_amount_ratio FROM features
+          UNION ALL SELECT 'no amounts', NULL, residual_balance_ratio,
+                 CASE WHEN coalesce(payee_balance_before, 0) = 0 THEN 0.0 END FROM features
+          UNION ALL SELECT 'no payer balances', amount,
+                 CASE WHEN coalesce(payer_balance_before, 0) = 0 THEN 0.0 END, payee_amount_ratio FROM features
+        ), counted AS (
+          SELECT history, unnest(['p95_amount', 'p95_residual_balance_ratio', 'p95_payee_amount_ratio']) AS metric,
+                 unnest([count(amount), count(residual_balance_ratio), count(payee_amount_ratio)]) AS value_count
+          FROM measures GROUP BY history
+          UNION ALL SELECT 'before the first event',
+                 unnest(['p95_amount', 'p95_residual_balance_ratio', 'p95_payee_amount_ratio']), 0
+        )
+        SELECT history, metric, CAST(value_count AS bigint) AS value_count, value_count = 0 AS refused FROM counted""",
+    "refused_batch": """
+        WITH batch AS (SELECT hour(ts) AS h, value FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'),
+        failed AS (
+          SELECT 'nonpositive_amount' AS check_name, count(*) AS observed FROM batch WHERE h = 4 OR value <= 0
+          UNION ALL SELECT 'fraud_out_of_domain', count(*) FROM batch WHERE h = 3
+        )
+        SELECT check_name, CAST(observed AS bigint) AS observed,
+               (SELECT CAST(count(*) AS bigint) FROM events
+                WHERE ts < TIMESTAMP '2024-01-16 00:00:00' AND value > 0) AS silver_rows
+        FROM failed WHERE observed > 0""",
     "ingest_job": f"""WITH {TRANSFERS}, {BATCHES}
         SELECT transaction_id, event_time, amount, is_fraud FROM stored""",
     "bootstrap_job": f"{WITH_STORED_SCORED} SELECT *, true AS is_active FROM limits",
@@ -238,14 +277,16 @@ ORACLES = {
         UNION ALL
         SELECT quantile_disc(amount, 0.95), quantile_disc(residual_balance_ratio, 0.95),
                quantile_disc(payee_amount_ratio, 0.95), true FROM features""",
-    "score_job": f"""{WITH_STORED_SCORED}
+    "score_job": f"""{WITH_PASSED_SCORED}
         SELECT transaction_id, amount, is_fraud, risk_score, risk_level FROM scored""",
-    "gold_job_risk": f"{WITH_STORED_SCORED} SELECT risk_level, {TOTALS} FROM scored GROUP BY risk_level",
-    "gold_job_operational": f"""{WITH_STORED_SCORED}
+    "gold_job_risk": f"{WITH_PASSED_SCORED} SELECT risk_level, {TOTALS} FROM scored GROUP BY risk_level",
+    "gold_job_operational": f"""{WITH_PASSED_SCORED}
         SELECT is_weekday, is_night, {TOTALS} FROM scored GROUP BY is_weekday, is_night""",
-    "daily_jobs_alerts": f"""{WITH_STORED_SCORED}
+    "daily_jobs_alerts": f"""{WITH_PASSED_SCORED}
         SELECT transaction_id, event_time, payer_id, payee_id, amount, risk_score, risk_level
         FROM scored WHERE risk_score >= 3""",
 }
+ORACLES["thresholds_exact_narrowed"] = ORACLES["thresholds_exact"]
+ORACLES["bootstrap_job_approximate"] = ORACLES["thresholds_approx_bound"]
 ORACLES["risk_effectiveness_from_base"] = ORACLES["risk_effectiveness"]
 ORACLES["operational_from_base"] = ORACLES["operational"]

@@ -23,10 +23,20 @@ from txrisk.plans.state import (
     publish_thresholds,
     set_watermark,
 )
-from txrisk.schemas import INGESTED_FILES, KEY_DAY
+from txrisk.schemas import ALERTS, INGESTED_FILES, KEY_DAY
 from txrisk.sources.files import list_files, log_rows, new_files, processed_files, scan_files
-from txrisk.sources.tables import append, overwrite, read_or_empty, read_table, stored_rows, upsert
-from txrisk.streaming.progress import batch_bounds, files_after, rows_after
+from txrisk.sources.tables import (
+    append,
+    overwrite,
+    part_values,
+    read_or_empty,
+    read_table,
+    replace_parts,
+    stored_rows,
+    table_exists,
+    upsert,
+)
+from txrisk.streaming.progress import batch_bounds, days_after, rows_after
 
 log = logging.getLogger(__name__)
 
@@ -34,34 +44,60 @@ log = logging.getLogger(__name__)
 def ingest(spark: SparkSession, settings: Settings) -> int:
     """Store the rows of files not yet logged as done; returns the number of files.
 
-    Only file names pass through the driver, as every Spark file scan needs them there. The log
-    is written last: after a failure in between, the files are read again and their rows match.
+    Only file names pass through the driver, as every Spark file scan needs them there; files go
+    through in slices. The log is written last: after a failure in between, the files are read
+    again and their rows match.
     """
     done = processed_files(read_or_empty(spark, settings.control))
-    files = new_files(list_files(spark, settings.source_path), done).collect()
-    if not files:
-        log.info("no new files")
-        return 0
-    at = instant(now_micros())
-    raw = scan_files(spark, [file["path"] for file in files])
-    rows = to_bronze(raw, at, settings.source_columns, with_key_day=True)
+    files = sorted(new_files(list_files(spark, settings.source_path), done).collect())
+    for first in range(0, len(files), settings.files_per_batch):
+        _ingest_files(spark, settings, files[first : first + settings.files_per_batch])
+    log.info("ingested %d files", len(files))
+    return len(files)
+
+
+def _ingest_files(spark: SparkSession, settings: Settings, files: list) -> None:
+    """One slice of files, under an ingest instant of its own that is above all earlier ones."""
+    newest = newest_ingest(spark, settings)
+    at = instant(max(now_micros(), 0 if newest is None else newest + 1))
+    rows = scan_files(
+        spark,
+        [file["path"] for file in files],
+        lambda raw: to_bronze(raw, at, settings.source_columns, with_key_day=True),
+    )
+    days = part_values(rows, KEY_DAY)
+    # before the rows: a day that turns out to have no new row costs a look, a missing one costs rows
+    written = spark.createDataFrame([(day,) for day in days], f"{KEY_DAY} string")
+    append(spark, settings.ingest_days, written.select(at.alias("ingested_at"), KEY_DAY).coalesce(1))
     upsert(
         spark,
         settings.bronze,
         rows,
         "transaction_id",
+        days,
         on_duplicate=settings.on_duplicate,
         gather=settings.gather_source,
+        replayed=["source_file"],
     )
     names = spark.createDataFrame([(f["source_file"],) for f in files], INGESTED_FILES.names[:1])
     append(spark, settings.control, log_rows(names, F.current_timestamp()).coalesce(1))
-    log.info("ingested %d files", len(files))
-    return len(files)
+
+
+def newest_ingest(spark: SparkSession, settings: Settings) -> int | None:
+    """The highest ingest instant given out so far, in microseconds."""
+    ingests = read_or_empty(spark, settings.ingest_days)
+    return ingests.agg(F.unix_micros(F.max("ingested_at"))).first()[0]
 
 
 def recalibrate(spark: SparkSession, settings: Settings) -> str:
-    """Calibrate on the whole history and publish a new version; returns it."""
-    values = calculate_thresholds(read_table(spark, settings.bronze), settings.exact_thresholds)
+    """Calibrate on the history as it is now and publish a new version; returns it.
+
+    All scans are bounded by the newest ingest instant, so an ingest meanwhile is left out of all."""
+    newest = newest_ingest(spark, settings)
+    history = read_table(spark, settings.bronze)
+    if newest is not None:
+        history = rows_after(history, None, instant(newest))
+    values = calculate_thresholds(history, settings.exact_thresholds)
     version = publish_thresholds(spark, settings.thresholds, values, now_micros())
     log.info("published thresholds %s: %s", version, values)
     return version
@@ -86,14 +122,20 @@ class Batch:
     days: list[str]
 
 
-def _next_batch(spark: SparkSession, settings: Settings, source, layer: str) -> Batch | None:
+def next_batch(spark: SparkSession, settings: Settings, source, layer: str) -> Batch | None:
     """The next batch of a layer, or None if there are no rows.
 
-    One aggregate over two columns gives emptiness, upper bound, row count and storage days.
+    The log of ingests says which storage days rows above the mark can be in, so other days are not
+    listed, whatever their files' times. One aggregate over two columns then gives emptiness, upper
+    bound, row count and the days that do hold rows.
     """
     mark = get_watermark(spark, settings.watermarks, layer)
     low = None if mark is None else instant(mark)
-    stored = files_after(stored_rows(spark, source), low)
+    stored = stored_rows(spark, source)
+    if table_exists(spark, settings.ingest_days):
+        ingests = read_table(spark, settings.ingest_days)
+        written = [row[0] for row in days_after(ingests, low).collect()]
+        stored = stored.where(F.col(KEY_DAY).isin(written))
     bounds = batch_bounds(rows_after(stored, low), F.collect_set(KEY_DAY).alias("days"))
     found = bounds.withColumn("high", F.unix_micros("max_ingested_at")).first()
     if found["batch_rows"] == 0:
@@ -127,7 +169,7 @@ def score(spark: SparkSession, settings: Settings) -> int:
     limits = get_active_threshold(spark, settings.thresholds)
     if limits is None:
         raise NoActiveThresholdsError(f"no active thresholds in {settings.threshold_table}")
-    batch = _next_batch(spark, settings, settings.bronze, "silver")
+    batch = next_batch(spark, settings, settings.bronze, "silver")
     if batch is None:
         return 0
     scored = to_silver(batch.rows, limits)
@@ -140,24 +182,28 @@ def score(spark: SparkSession, settings: Settings) -> int:
         batch.days,
         on_duplicate=settings.on_duplicate,
         gather=False,  # Bronze files hold one day each
+        replayed=["ingested_at", "source_file"],
     )
     set_watermark(spark, settings.watermarks, "silver", batch.high)
     return batch.count
 
 
 def publish_gold(spark: SparkSession, settings: Settings) -> int:
-    """Rebuild both snapshots from all of Silver and add new alerts; returns new Silver rows.
+    """Bring both snapshots and the alerts up to Silver; returns new Silver rows.
 
-    The snapshots share one scan of Silver: its totals are checkpointed to shared storage, so a
-    lost executor does not repeat the scan. The watermark moves after all three outputs.
+    Totals of the batch's days are counted anew from Silver and replaced; all others stay. Both
+    snapshots roll up from the totals. The watermark moves after all outputs.
     """
-    batch = _next_batch(spark, settings, settings.silver, "gold")
+    batch = next_batch(spark, settings, settings.silver, "gold")
     if batch is None:
         return 0
-    use_checkpoint_dir(spark, settings.location)
-    base = gold.snapshot_base(read_table(spark, settings.silver)).checkpoint()
-    overwrite(spark, settings.gold_risk, gold.risk_effectiveness_from(base))
-    overwrite(spark, settings.gold_operational, gold.operational_from(base))
+    silver = stored_rows(spark, settings.silver)
+    if table_exists(spark, settings.gold_totals):
+        silver = silver.where(F.col(KEY_DAY).isin(batch.days))
+    replace_parts(spark, settings.gold_totals, gold.daily_totals(silver))
+    totals = read_table(spark, settings.gold_totals)
+    overwrite(spark, settings.gold_risk, gold.risk_effectiveness_from(totals))
+    overwrite(spark, settings.gold_operational, gold.operational_from(totals))
 
     found = gold.alerts(batch.rows, settings.alert_score, keep=(KEY_DAY,))
     upsert(
@@ -167,18 +213,20 @@ def publish_gold(spark: SparkSession, settings: Settings) -> int:
         "transaction_id",
         batch.days,
         on_duplicate=settings.on_duplicate,
+        replayed=[name for name in ALERTS.names if name != "transaction_id"],
     )
     set_watermark(spark, settings.watermarks, "gold", batch.high)
     return batch.count
 
 
-def use_checkpoint_dir(spark: SparkSession, tables: str | None = None) -> None:
-    """Keep the folder the session names in spark.checkpoint.dir. Only without one, use a folder
-    next to the tables, which every executor reaches as well."""
+def use_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> None:
+    """Keep the folder the session names in spark.checkpoint.dir. A session without one takes the
+    caller's; without either there is no place that every executor is known to reach."""
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        tables = tables or spark.conf.get("spark.sql.warehouse.dir")
-        spark.sparkContext.setCheckpointDir(folder or f"{tables.rstrip('/')}/_checkpoints")
+        folder = spark.conf.get("spark.checkpoint.dir", None) or folder
+        if folder is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def run_daily(spark: SparkSession, settings: Settings) -> None:

@@ -16,7 +16,7 @@ class Settings:
 
     ``source_columns`` names the raw columns of the source files where they differ from ours.
     ``gather_source=False`` stores source rows without a shuffle; choose it if each source file
-    holds only a few days.
+    holds only a few days. New files are ingested ``files_per_batch`` at a time, until none is left.
     """
 
     source_path: str
@@ -24,8 +24,10 @@ class Settings:
     bronze_table: str = "bronze_transfers"
     silver_table: str = "silver_transfers"
     control_table: str = "ingested_files"
+    ingest_day_table: str = "ingest_days"
     watermark_table: str = "layer_watermarks"
     threshold_table: str = "risk_thresholds"
+    gold_total_table: str = "gold_totals"
     gold_risk_table: str = "gold_risk_effectiveness"
     gold_operational_table: str = "gold_operational"
     gold_alerts_table: str = "gold_alerts"
@@ -33,6 +35,7 @@ class Settings:
     exact_thresholds: bool = False
     on_duplicate: str = "merge"
     gather_source: bool = True
+    files_per_batch: int = 1_000
     source_columns: Mapping[str, str] = field(default_factory=dict)
 
     def _table(self, name: str, schema, part: str | None = None) -> Table:
@@ -51,6 +54,10 @@ class Settings:
     def control(self) -> Table:
         return self._table(self.control_table, schemas.INGESTED_FILES)
 
+    @property
+    def ingest_days(self) -> Table:
+        return self._table(self.ingest_day_table, schemas.INGEST_DAYS)
+
     @property
     def watermarks(self) -> Table:
         return self._table(self.watermark_table, schemas.LAYER_WATERMARKS, "layer_name")
@@ -59,6 +66,10 @@ class Settings:
     def thresholds(self) -> Table:
         return self._table(self.threshold_table, schemas.RISK_THRESHOLDS, "threshold_version")
 
+    @property
+    def gold_totals(self) -> Table:
+        return self._table(self.gold_total_table, schemas.GOLD_TOTALS, schemas.KEY_DAY)
+
     @property
     def gold_risk(self) -> Table:
         return self._table(self.gold_risk_table, schemas.RISK_EFFECTIVENESS)

@@ -18,15 +18,15 @@ from txrisk.operators.calibration import (
 )
 from txrisk.schemas import VERSION_FORMAT
 from txrisk.sources.tables import Table, append, read_or_empty, read_table, replace_parts, table_exists
-from txrisk.streaming.progress import latest_watermark
+from txrisk.streaming.progress import latest_watermarks
 
 
 def get_watermark(spark: SparkSession, table: Table, layer: str) -> int | None:
     """The layer's newest mark in microseconds, None before its first batch."""
     if not table_exists(spark, table):
         return None
-    mark = latest_watermark(read_or_empty(spark, table), layer)
-    row = mark.select(F.unix_micros("last_ingestion_timestamp")).first()
+    marks = read_or_empty(spark, table).where(F.col("layer_name") == layer)
+    row = latest_watermarks(marks).select(F.unix_micros("last_ingestion_timestamp")).first()
     return row[0] if row else None
 
 

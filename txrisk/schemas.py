@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -13,7 +13,6 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
-    NumericType,
     StringType,
     StructField,
     StructType,
@@ -56,7 +55,7 @@ RAW = _schema(
     payee_balance_before=_DOUBLE,
     payee_balance_after=_DOUBLE,
     event_time=_WALL_CLOCK,
-    is_fraud=_INT,
+    is_fraud=_DOUBLE,
 )
 BRONZE = StructType(
     _schema(transaction_id=_STRING).fields
@@ -85,6 +84,9 @@ SILVER = StructType(
 _TOTALS = _schema(tx_count=_LONG, fraud_count=_LONG, amount_sum=_DOUBLE).fields
 RISK_EFFECTIVENESS = StructType(_schema(risk_level=_STRING).fields + _TOTALS)
 OPERATIONAL = StructType(_schema(is_weekday=_FLAG, is_night=_FLAG).fields + _TOTALS)
+GOLD_TOTALS = StructType(
+    _schema(key_day=_STRING, risk_level=_STRING, is_weekday=_FLAG, is_night=_FLAG).fields + _TOTALS
+)
 ALERTS = _schema(
     transaction_id=_STRING,
     event_time=_WALL_CLOCK,
@@ -95,6 +97,7 @@ ALERTS = _schema(
     risk_level=_STRING,
     threshold_version=_STRING,
 )
+INGEST_DAYS = _schema(ingested_at=_INSTANT, key_day=_STRING)
 INGESTED_FILES = _schema(source_file=_STRING, processed_at=_INSTANT, status=_STRING)
 LAYER_WATERMARKS = _schema(layer_name=_STRING, last_ingestion_timestamp=_INSTANT, updated_at=_INSTANT)
 RISK_THRESHOLDS = _schema(
@@ -108,33 +111,24 @@ RISK_THRESHOLDS = _schema(
 
 # Physical partition column of the keyed tables; not part of any contract.
 KEY_DAY = "key_day"
-# Stands for a stored whole number the source gave as something else; the gate refuses it.
-NOT_WHOLE = -1
-
-
-def _typed(value: Column, dtype: DataType, source: DataType) -> Column:
-    """A cast that never rounds: 0.5 does not become the valid label 0."""
-    if isinstance(dtype, IntegerType) and isinstance(source, NumericType):
-        whole = F.when(value == F.floor(value), value.try_cast(dtype))
-        return F.coalesce(whole, F.when(value.isNotNull(), NOT_WHOLE))
-    return value.cast(dtype)
 
 
 def conform(
     df: DataFrame, schema: StructType, renamed: Mapping[str, str] | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Select and cast the columns of ``schema`` (then ``keep`` as they are).
+    """Select and cast the columns of ``schema`` (then ``keep`` as they are). The fraud label is a
+    double, so a label that is no whole number stays what it was, and the gate refuses it.
 
     ``renamed`` gives the source's own name for a contract column.
     """
     source_name = {name: (renamed or {}).get(name, name) for name in schema.names}
-    present = {field.name.lower(): field.dataType for field in df.schema}
+    present = {name.lower() for name in df.columns}
     missing = [name for name in source_name.values() if name.lower() not in present]
     if missing:
         raise MissingColumnsError(f"source lacks columns: {', '.join(missing)}")
     return df.select(
         *[
-            _typed(F.col(f"`{name}`"), schema[own].dataType, present[name.lower()]).alias(own)
+            F.col(f"`{name}`").cast(schema[own].dataType).alias(own)
             for own, name in source_name.items()
         ],
         *keep,

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from txrisk.errors import MissingColumnsError
 from txrisk.operators.bronze import SOURCE_PATH
 from txrisk.schemas import FILE_DONE
 
 _PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 _MAX_LIST_TASKS = 1_000
+_FOOTER_THREADS = 16
 _URI_PREFIX = "^[^:/]+:(//[^/]*)?"
 
 
@@ -50,14 +55,43 @@ def processed_files(log: DataFrame) -> DataFrame:
 
 
 def new_files(listed: DataFrame, processed: DataFrame) -> DataFrame:
-    return listed.join(processed, "source_file", "left_anti").orderBy("source_file")
+    return listed.join(processed, "source_file", "left_anti")
 
 
-def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Rows of exactly these files, each with the URI of its file."""
+def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
+    """The files by the schema in their footers, in order of their first file. Only footers are read,
+    several at a time; the paths are literal."""
     literal = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for path in paths]
-    rows = spark.read.parquet(*literal)
-    return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+    with ThreadPoolExecutor(_FOOTER_THREADS) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, literal))
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for schema, path in zip(schemas, literal):
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(groups.values())
+
+
+def scan_files(
+    spark: SparkSession,
+    paths: list[str],
+    prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """Rows of exactly these files, each with the URI of its file, after ``prepare``.
+
+    Files are read by the schema of their own footer, so a column that one of them lacks is never
+    made up: ``prepare`` sees the files of one schema at a time, and what it says about missing
+    columns names the files. Its results must have the same columns.
+    """
+    found = None
+    for schema, group in schema_groups(spark, paths):
+        rows = spark.read.schema(schema).parquet(*group)
+        rows = rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+        try:
+            rows = prepare(rows)
+        except MissingColumnsError as error:
+            more = f" and {len(group) - 1} more" if len(group) > 1 else ""
+            raise MissingColumnsError(f"{error} (in {group[0]}{more})") from error
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
 
 def log_rows(files: DataFrame, at: Column) -> DataFrame:

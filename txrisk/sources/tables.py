@@ -10,14 +10,20 @@ retried task leaves the old rows in place.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from txrisk.errors import DuplicateKeyError, MissingTableError
-from txrisk.operators.upsert import duplicate_keys, matched_parts, merge_rows
+from txrisk.operators.upsert import (
+    duplicate_keys,
+    keep_last,
+    matched_parts,
+    merge_rows,
+    without_stored,
+)
 
 
 @dataclass(frozen=True)
@@ -54,13 +60,8 @@ def table_exists(spark: SparkSession, table: Table) -> bool:
 
 
 def _directory_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
 
 def _create(spark: SparkSession, table: Table) -> None:
@@ -129,6 +130,12 @@ def part_values(rows: DataFrame, part: str) -> list[str]:
     return [row[0] for row in rows.select(part).distinct().collect()]
 
 
+def stored_parts(spark: SparkSession, table: Table) -> set[str]:
+    """Values of the part column the catalog knows, without a look at the rows."""
+    shown = spark.sql(f"SHOW PARTITIONS {table.name}").collect()
+    return {unquote(row[0].split("=", 1)[1]) for row in shown}
+
+
 def upsert(
     spark: SparkSession,
     table: Table,
@@ -137,26 +144,44 @@ def upsert(
     parts: list[str] | None = None,
     on_duplicate: str = "merge",
     gather: bool = True,
+    replayed: list[str] | None = None,
 ) -> None:
     """Matching keys take the source's row, other source rows are added, nothing is deleted.
 
     ``source`` must give the same rows each time it is read. ``parts`` are its part values, if
     the caller knows them. ``on_duplicate="merge"`` stops only where several source rows hit one
-    target row, and adds repeated new keys as they are; ``"reject"`` stops at any repeated key.
+    target row, and adds repeated new keys as they are; ``"reject"`` stops at any repeated key;
+    ``"keep_last"`` takes the last row of a key. ``replayed`` names columns that tell rows of an
+    earlier attempt: where repeated keys hit stored rows, source rows stored with equal values
+    of the key and these columns are done and left out, so a write that was lost before its job
+    finished can be run again.
     ``gather=False`` appends without a shuffle (see ``to_write``).
     """
-    if on_duplicate not in ("merge", "reject"):
+    if on_duplicate not in ("merge", "reject", "keep_last"):
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
     if on_duplicate == "reject" and not duplicate_keys(source, key).isEmpty():
         raise DuplicateKeyError(f"source of {table.name} repeats values of {key}")
+    if on_duplicate == "keep_last":
+        source = keep_last(source.select(*table.columns), key)
     if not ensure_table(spark, table):
         append(spark, table, source, gather)
         return
 
     part = table.part
     parts = part_values(source, part) if parts is None else parts
-    in_batch = stored_rows(spark, table).where(F.col(part).isin(parts))
-    hits = matched_parts(in_batch, source, key, part).collect()
+    # days the table does not have can hold no match: their rows are never probed
+    known = sorted(stored_parts(spark, table).intersection(parts))
+    if not known:
+        append(spark, table, source, gather)
+        return
+    in_batch = stored_rows(spark, table).where(F.col(part).isin(known))
+    in_known = source.where(F.col(part).isin(known))
+    hits = matched_parts(in_batch, in_known, key, part).collect()
+    if replayed and any(hit["most_copies"] > 1 for hit in hits):
+        # equal keys share a part, so only rows of known parts can be stored already
+        source = without_stored(source, in_batch, [part, key, *replayed])
+        in_known = source.where(F.col(part).isin(known))
+        hits = matched_parts(in_batch, in_known, key, part).collect()
     if any(hit["most_copies"] > 1 for hit in hits):
         raise DuplicateKeyError(f"several source rows share one stored {key} of {table.name}")
 

@@ -29,6 +29,6 @@ def transfers(spark: SparkSession, directory: str) -> DataFrame:
             F.col("s_acctbal").alias("payee_balance_before"),
             (F.col("s_acctbal") + F.col("value")).alias("payee_balance_after"),
             F.col("ts").alias("event_time"),
-            (F.col("event_type") == "error").cast("int").alias("is_fraud"),
+            (F.col("event_type") == "error").cast("int").cast("double").alias("is_fraud"),
         )
     )

@@ -5,20 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-# How far storage and driver clocks may differ.
-CLOCK_MARGIN = "INTERVAL 1 DAY"
-
-
-def files_after(df: DataFrame, low: Column | None) -> DataFrame:
-    """A table scan without files last written long before ``low``.
-
-    A row's ingest instant is taken before its file is written, so such files hold no newer row.
-    Spark drops them while it plans the scan; row group statistics would open each one first.
-    """
-    if low is None:
-        return df
-    return df.where(F.col("_metadata.file_modification_time") > low - F.expr(CLOCK_MARGIN))
+from txrisk.schemas import KEY_DAY
 
 
 def rows_after(df: DataFrame, low: Column | None, high: Column | None = None) -> DataFrame:
@@ -40,14 +27,10 @@ def batch_bounds(df: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
-def latest_watermark(watermarks: DataFrame, layer: str) -> DataFrame:
-    """The newest mark of one layer, at most one row."""
-    return (
-        watermarks.where(F.col("layer_name") == layer)
-        .orderBy(F.col("updated_at").desc())
-        .limit(1)
-        .select("last_ingestion_timestamp")
-    )
+def days_after(ingests: DataFrame, low: Column | None) -> DataFrame:
+    """Storage days that ingests after ``low`` (all without one) have written to, from the log of
+    (ingest instant, day). Which files hold those rows, and how old the files are, does not matter."""
+    return rows_after(ingests, low).select(KEY_DAY).distinct()
 
 
 def latest_watermarks(watermarks: DataFrame) -> DataFrame:
