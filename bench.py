@@ -55,7 +55,8 @@ def deployment(spark: SparkSession) -> Settings:
     name = f"b{uuid.uuid4().hex}"
     folder = f"{spark.sparkContext.getCheckpointDir()}/{name}"
     tables = (
-        "bronze silver control ingest_day watermark threshold gold_total gold_risk gold_operational gold_alerts"
+        "bronze silver control ingest_day watermark threshold gate_result "
+        "gold_total gold_risk gold_operational gold_alerts"
     ).split()
     return Settings(
         f"{folder}/raw", f"{folder}/tables", **{f"{table}_table": f"{table}_{name}" for table in tables}

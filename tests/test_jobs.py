@@ -24,7 +24,7 @@ from txrisk.sources import tables
 from txrisk.sources.tables import read_table, table_exists
 
 TABLES = (
-    "bronze silver control ingest_day watermark threshold gold_total gold_risk gold_operational gold_alerts"
+    "bronze silver control ingest_day watermark threshold gate_result gold_total gold_risk gold_operational gold_alerts"
 ).split()
 
 

@@ -13,6 +13,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from txrisk.errors import CalibrationError, QualityGateError
 from txrisk.functions.keys import key_day, transaction_key
@@ -490,7 +491,7 @@ def _deploy(spark) -> Settings:
     names = {
         f"{table}_table": f"{table}_{run}"
         for table in (
-            "bronze silver control ingest_day watermark threshold "
+            "bronze silver control ingest_day watermark threshold gate_result "
             "gold_total gold_risk gold_operational gold_alerts".split()
         )
     }
@@ -536,6 +537,17 @@ def _deliver(rows, deployed):
 def refused_batch(spark, sf_dir):
     """A second batch with labels outside 0 and 1 and amounts of zero: what the gate says of it, and
     what Silver holds afterwards."""
+    return _refused(spark, sf_dir)[1]
+
+
+def gate_results(spark, sf_dir):
+    """Blocking checks of a batch that passed and of one that was refused, as they are kept."""
+    kept = read_table(spark, _refused(spark, sf_dir)[0].gate_results).where("blocking")
+    batch = F.dense_rank().over(Window.partitionBy("check_name").orderBy("checked_to")).alias("batch")
+    return kept.select(batch, "check_name", "observed", "passed")
+
+
+def _refused(spark, sf_dir):
     deployed = _deploy(spark)
     _deliver(_first_batch(spark, sf_dir).where(_PASSING), deployed)
     jobs.run_daily(spark, deployed)
@@ -550,7 +562,8 @@ def refused_batch(spark, sf_dir):
         failures = [tuple(text.split(" = ")) for text in error.failures]
     found = spark.createDataFrame(failures, "check_name string, observed string")
     silver_rows = read_table(spark, deployed.silver).select(F.count("*")).scalar()
-    return found.select("check_name", F.col("observed").cast("bigint"), silver_rows.alias("silver_rows"))
+    found = found.select("check_name", F.col("observed").cast("bigint"), silver_rows.alias("silver_rows"))
+    return deployed, found
 
 
 def ingest_job(spark, sf_dir):
@@ -658,6 +671,7 @@ QUERIES = {
         bootstrap_job_approximate,
         recalibrate_job,
         refused_batch,
+        gate_results,
         score_job,
         gold_job_risk,
         gold_job_operational,

@@ -269,6 +269,17 @@ ORACLES = {
                (SELECT CAST(count(*) AS bigint) FROM events
                 WHERE ts < TIMESTAMP '2024-01-16 00:00:00' AND value > 0) AS silver_rows
         FROM failed WHERE observed > 0""",
+    "gate_results": """
+        WITH batch AS (SELECT hour(ts) AS h, value FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00'),
+        checks AS (
+          SELECT 1 AS batch, unnest(['count_mismatch', 'null_fraud', 'nonpositive_amount',
+                                     'fraud_out_of_domain', 'missing_score']) AS check_name, 0 AS observed
+          UNION ALL SELECT 2, unnest(['count_mismatch', 'null_fraud', 'missing_score']), 0
+          UNION ALL SELECT 2, 'nonpositive_amount', count(*) FROM batch WHERE h = 4 OR value <= 0
+          UNION ALL SELECT 2, 'fraud_out_of_domain', count(*) FROM batch WHERE h = 3
+        )
+        SELECT CAST(batch AS int) AS batch, check_name, CAST(observed AS double) AS observed,
+               observed = 0 AS passed FROM checks""",
     "ingest_job": f"""WITH {TRANSFERS}, {BATCHES}
         SELECT transaction_id, event_time, amount, is_fraud FROM stored""",
     "bootstrap_job": f"{WITH_STORED_SCORED} SELECT *, true AS is_active FROM limits",

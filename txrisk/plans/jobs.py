@@ -149,7 +149,10 @@ def next_batch(spark: SparkSession, settings: Settings, source, layer: str) -> B
 
 def check_quality(scored: DataFrame, bronze_count: int) -> dict[str, float]:
     """Observed value per check; raises with all failed blocking checks at once."""
-    checks = quality_checks(quality_metrics(scored, bronze_count)).collect()
+    return judge(quality_checks(quality_metrics(scored, bronze_count)).collect())
+
+
+def judge(checks: list) -> dict[str, float]:
     failures = [
         f"{check['check_name']} = {check['observed']:.0f}"
         for check in checks
@@ -163,8 +166,8 @@ def check_quality(scored: DataFrame, bronze_count: int) -> dict[str, float]:
 def score(spark: SparkSession, settings: Settings) -> int:
     """Score Bronze rows above the watermark into Silver; returns their number.
 
-    The gate reads the columns it needs before anything is written. If it fails, neither Silver
-    nor the watermark changes.
+    The gate reads the columns it needs before anything is written. What it finds is kept with the
+    batch's newest ingest instant, also if it fails; then neither Silver nor the watermark changes.
     """
     limits = get_active_threshold(spark, settings.thresholds)
     if limits is None:
@@ -173,7 +176,10 @@ def score(spark: SparkSession, settings: Settings) -> int:
     if batch is None:
         return 0
     scored = to_silver(batch.rows, limits)
-    log.info("quality of the batch: %s", check_quality(scored, batch.count))
+    checks = quality_checks(quality_metrics(scored, batch.count)).collect()
+    results = spark.createDataFrame(checks).withColumn("checked_to", instant(batch.high))
+    append(spark, settings.gate_results, results.coalesce(1))
+    log.info("quality of the batch: %s", judge(checks))
     upsert(
         spark,
         settings.silver,

@@ -26,6 +26,7 @@ class Settings:
     control_table: str = "ingested_files"
     ingest_day_table: str = "ingest_days"
     watermark_table: str = "layer_watermarks"
+    gate_result_table: str = "gate_results"
     threshold_table: str = "risk_thresholds"
     gold_total_table: str = "gold_totals"
     gold_risk_table: str = "gold_risk_effectiveness"
@@ -62,6 +63,10 @@ class Settings:
     def watermarks(self) -> Table:
         return self._table(self.watermark_table, schemas.LAYER_WATERMARKS, "layer_name")
 
+    @property
+    def gate_results(self) -> Table:
+        return self._table(self.gate_result_table, schemas.GATE_RESULTS)
+
     @property
     def thresholds(self) -> Table:
         return self._table(self.threshold_table, schemas.RISK_THRESHOLDS, "threshold_version")

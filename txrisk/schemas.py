@@ -100,6 +100,9 @@ ALERTS = _schema(
 INGEST_DAYS = _schema(ingested_at=_INSTANT, key_day=_STRING)
 INGESTED_FILES = _schema(source_file=_STRING, processed_at=_INSTANT, status=_STRING)
 LAYER_WATERMARKS = _schema(layer_name=_STRING, last_ingestion_timestamp=_INSTANT, updated_at=_INSTANT)
+GATE_RESULTS = _schema(
+    checked_to=_INSTANT, check_name=_STRING, observed=_DOUBLE, blocking=_FLAG, passed=_FLAG
+)
 RISK_THRESHOLDS = _schema(
     threshold_version=_STRING,
     p95_amount=_DOUBLE,
