@@ -2,11 +2,11 @@
 inputs, with attention pooling, trained in numpy and run over all overlapping windows.
 
 Inputs of a word are smoothed log-odds of the word and of its characters: its beginnings of 4, 6 and
-8 bytes, its end of 4 bytes, and the mean over its byte trigrams. They are counted in one half of
-the labelled sample, and the network learns from the other half, so a word that is toxic only by
-accident of its own document teaches nothing. The network reads windows of WINDOW words every STRIDE
-words. A document's score is a logistic function of its largest window, of its three largest, and of
-the mean of all, fitted on the second half.
+8 bytes, its end of 4 bytes, and the mean over its byte trigrams. The network learns from each half
+of the labelled sample with log-odds counted in the other half, so a word that is toxic only by
+accident of its own document teaches nothing; it scores with those of both. It reads windows of
+WINDOW words every STRIDE words. A document's score is a logistic function of its largest window, of
+its three largest, and of the mean of all, fitted in the same way.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ THRESHOLD = 0.7
 BUCKETS = 1 << 17
 INPUTS = 6
 HIDDEN = 8
+LEAST_STEPS = 600
 _PREFIXES = (4, 6, 8)
 
 
@@ -203,8 +204,9 @@ def _gradients(
     return g
 
 
-def train(x: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = 256) -> dict[str, np.ndarray]:
-    """Weights fitted by Adam; the same rows in the same order give the same weights."""
+def train(x: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = 128) -> dict[str, np.ndarray]:
+    """Weights fitted by Adam, in LEAST_STEPS steps at least, however few the rows; the same rows in
+    the same order give the same weights."""
     rng = np.random.default_rng(7)
     shapes = {"a": (2 * HIDDEN,), "o": (2 * HIDDEN,), "ob": (1,)}
     for d in "fb":
@@ -214,13 +216,13 @@ def train(x: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = 256) -> d
         w[name][:] = 0
     first = {k: np.zeros_like(v) for k, v in w.items()}
     second = {k: np.zeros_like(v) for k, v in w.items()}
-    step = 0
-    for epoch in range(epochs):
-        rate = 0.02 * 0.8**epoch
+    step, steps = 0, max(LEAST_STEPS, -(-len(x) * epochs // batch))
+    while step < steps and len(x):
         order = rng.permutation(len(x))
         for at in range(0, len(x), batch):
             rows = order[at : at + batch]
             step += 1
+            rate = 0.02 * 0.07 ** (step / steps)
             for k, grad in _gradients(x[rows], y[rows], w).items():
                 first[k] += 0.1 * (grad - first[k])
                 second[k] += 0.001 * (grad * grad - second[k])
@@ -245,7 +247,7 @@ def held_out(doc_id) -> F.Column:
 
 def learning_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """(doc_id, text, toxic, half) of at most `rows` labelled documents that are not held out, the
-    same ones in every run. half says which half teaches the log-odds (0) and which the network."""
+    same ones in every run, in two halves."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
     known = known.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
@@ -275,16 +277,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at].astype(np.int64))], ["at", "n"])
 
 
-def log_odds(sample: DataFrame) -> np.ndarray:
-    """Tables of INPUTS x BUCKETS: a fixed number of counters, however large the sample."""
-    half = sample.where("half = 0")
-    totals = dict(half.groupBy("toxic").count().collect())
+def presence(sample: DataFrame) -> np.ndarray:
+    """Documents of a sample by class, input and place: a fixed number of counters, whatever its size."""
     counts = np.zeros((2, INPUTS, BUCKETS))
-    found = half.select("text", "toxic").mapInArrow(_count, "at bigint, n bigint")
+    found = sample.select("text", "toxic").mapInArrow(_count, "at bigint, n bigint")
     found = found.groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     counts.reshape(-1)[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
+    return counts
+
+
+def log_odds(counts: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
+    """Tables of INPUTS x BUCKETS, smoothed, and drawn to zero where few documents speak."""
     clean, toxic = counts
-    share = [(c + 0.5) / (totals.get(y, 0) + 1) for y, c in ((0.0, clean), (1.0, toxic))]
+    share = [(clean + 0.5) / (n_clean + 1), (toxic + 0.5) / (n_toxic + 1)]
     trust = (clean + toxic) / (clean + toxic + 2)
     return (np.clip(np.log(share[1] / share[0]), -6, 6) * trust).astype(np.float32)
 
@@ -344,19 +349,34 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network:
         blank = Network(np.zeros((INPUTS, BUCKETS), np.float32), train(np.zeros((0, 1)), None), None)
         blank.pool = np.array([0, 0, 0, np.log(share / (1 - share))])
         return blank
-    network = Network(log_odds(sample), {}, np.zeros(4))
-    other = sample.where("half = 1").select("doc_id", "toxic", "text")
-    drawn = other.mapInArrow(_sample_windows(network), "doc_id bigint, toxic double, inputs binary")
-    drawn = drawn.toPandas().sort_values(["doc_id", "inputs"])
+    halves = [sample.where(F.col("half") == h) for h in (0, 1)]
+    seen = [presence(half) for half in halves]
+    totals = [(counts[h, 0.0], counts[h, 1.0]) for h in (0, 1)]
+    # each half is looked at with what the other half knows
+    views = [
+        (halves[1 - h].select("doc_id", "toxic", "text"), Network(log_odds(seen[h], *totals[h]), {}, np.zeros(4)))
+        for h in (0, 1)
+    ]
+    drawn = [
+        rows.mapInArrow(_sample_windows(view), "doc_id bigint, toxic double, inputs binary")
+        for rows, view in views
+    ]
+    drawn = drawn[0].union(drawn[1]).toPandas().sort_values(["doc_id", "inputs"])
     x = np.frombuffer(b"".join(drawn["inputs"]), np.float32).reshape(-1, WINDOW, INPUTS)
-    network.weights = train(x, drawn["toxic"].to_numpy(np.float32))
-    pooled = other.mapInArrow(
-        _features(network), "doc_id bigint, toxic double, f0 double, f1 double, f2 double"
-    )
-    pooled = pooled.toPandas().sort_values("doc_id")
+    weights = train(x, drawn["toxic"].to_numpy(np.float32))
+    pooled = []
+    for rows, view in views:
+        view.weights = weights
+        pooled.append(
+            rows.mapInArrow(
+                _features(view), "doc_id bigint, toxic double, f0 double, f1 double, f2 double"
+            )
+        )
+    pooled = pooled[0].union(pooled[1]).toPandas().sort_values("doc_id")
     features = np.column_stack([pooled[["f0", "f1", "f2"]].to_numpy(), np.ones(len(pooled))])
-    network.pool = fit_pool(features, pooled["toxic"].to_numpy())
-    return network
+    pool = fit_pool(features, pooled["toxic"].to_numpy())
+    both = log_odds(seen[0] + seen[1], *[sum(n) for n in zip(*totals)])
+    return Network(both, weights, pool)
 
 
 def _scorer(network: Network):
