@@ -8,7 +8,21 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows that a Python worker is given at once, unless the session asks for fewer.
+BATCH_ROWS = 1_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole documents, or pairs of their sets, are long rows: the session's default of 10,000 of
+    them is too much for a worker. A lower setting stays."""
+    rows = int(spark.conf.get(_BATCH_SETTING))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,6 +40,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written once as Parquet in the shared folder and read back: a lost executor repeats no work
     before this point."""
+    small_batches(df.sparkSession)
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Whole texts are worked on in chunks of about this many bytes; a longer text is a chunk alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
