@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import hash_sample, stored
 from .words import _LOWER_CODES, _POWERS, U64, Texts, find_words, mix, text_chunks
 
 #: At most so many labelled documents are learnt from.
@@ -251,8 +251,7 @@ def learning_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
     known = known.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
-    place = F.xxhash64(F.lit("sample"), "doc_id")
-    known = known.orderBy(place, "doc_id").limit(rows)
+    known = hash_sample(known, rows, "sample", "doc_id")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int").alias("half")
     # at most `rows` rows of two numbers each
