@@ -36,7 +36,9 @@ GRAM = 40
 #: Strings of a run are cut into blocks of so many, by their distance from the anchor.
 BLOCKS = (LENGTH, 16, 4, 1)
 #: Bytes of suffixes that a task sorts.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 12 << 20
+#: Whole texts are looked at in chunks of about so many bytes.
+CHUNK = 1 << 19
 #: A longer text is looked at in pieces of so many strings.
 PIECE = 1 << 22
 _PLACE_BITS = 23
@@ -80,18 +82,20 @@ def runs(texts: Texts) -> tuple[np.ndarray, ...]:
         hashes = gram_hashes(data, GRAM)
         places = np.arange(len(hashes), dtype=np.uint64)
         keyed = (hashes >> U64(_PLACE_BITS) << U64(_PLACE_BITS)) | places
-        anchor = (_window_min(keyed, LENGTH - GRAM + 1) & U64((1 << _PLACE_BITS) - 1)).astype(np.int64)
-        starts = np.arange(len(anchor)) + begin
-        text = np.searchsorted(texts.bounds, starts, side="right") - 1
-        whole = starts + LENGTH <= texts.bounds[text + 1]
-        anchor, starts, text = anchor[whole], starts[whole], text[whole]
-        if not len(starts):
-            continue
-        new = np.ones(len(starts), dtype=bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
+        least = _window_min(keyed, LENGTH - GRAM + 1)
+        new = np.ones(len(least), dtype=bool)
+        new[1:] = least[1:] != least[:-1]
+        edges = texts.bounds[(texts.bounds >= begin) & (texts.bounds < begin + len(least))] - begin
+        new[edges] = True
         at = np.flatnonzero(new)
-        last = np.append(at[1:], len(starts)) - 1
-        found.append((text[at], starts[at], starts[last], anchor[at] + begin, hashes[anchor[at]]))
+        text = np.searchsorted(texts.bounds, at + begin, side="right") - 1
+        # a run ends before the next one, and with the last whole string of its text
+        last = np.append(at[1:], len(least)) - 1 + begin
+        last = np.minimum(last, texts.bounds[text + 1] - LENGTH)
+        whole = last >= at + begin
+        at, text, last = at[whole], text[whole], last[whole]
+        anchor = (least[at] & U64((1 << _PLACE_BITS) - 1)).astype(np.int64)
+        found.append((text, at + begin, last, anchor + begin, hashes[anchor]))
     if not found:
         return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),)
     return tuple(np.concatenate(column) for column in zip(*found))
@@ -108,7 +112,7 @@ class _Part:
         """doc_id (null: the largest), number of the first row, and the texts of each chunk."""
         for batch in batches:
             ids = np.asarray(pc.fill_null(batch.column(0), _NO_ID))
-            for texts in text_chunks(batch.column(1)):
+            for texts in text_chunks(batch.column(1), CHUNK):
                 own = ids[texts.first : texts.first + texts.count]
                 self.sum = zlib.crc32(texts.bounds.tobytes(), zlib.crc32(own.tobytes(), self.sum))
                 yield own, self.rows, texts
@@ -392,6 +396,7 @@ def without_repeats(docs: DataFrame, copy: bool = True) -> DataFrame:
     anchors = _by_part(
         grouped.select("hash", "n_rows", "mark", F.explode("parts").alias("part")), "anchors"
     )
+    # not stored: the range partitioning's sample reads the texts once more, which costs less disk
     suffixes = rows.mapInArrow(_repeated_runs(anchors), _RUN)
     total = rows.sparkSession.read.parquet(anchors).count() * (LENGTH + GRAM)
     found, removed = sort_suffixes(suffixes, total, "suffixes"), None
