@@ -28,7 +28,7 @@ FILE_BYTES = 64 << 20
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 1000
 #: Pieces of words whose ids a Python worker remembers; beyond it forgets and goes on.
-REMEMBERED = 1_000_000
+REMEMBERED = 450_000
 
 _PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*").fullmatch
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\t\n\r ]+").findall
