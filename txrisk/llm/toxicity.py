@@ -23,7 +23,7 @@ from .shared import hash_sample, stored
 from .words import _LOWER_CODES, _POWERS, U64, Texts, find_words, mix, text_chunks
 
 #: At most so many labelled documents are learnt from.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 12_000
 #: At most so many windows of a labelled document train the network.
 SAMPLE_WINDOWS = 3
 WINDOW = 32
