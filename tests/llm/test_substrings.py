@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from llm.texts import awkward, frame
+from pyspark.sql import functions as F
 from txrisk.llm import substrings
 from txrisk.llm.words import Texts
 
@@ -46,6 +47,27 @@ def test_kept_bytes_equal_brute_force(spark, monkeypatch, bucket_bytes):
     assert got == sorted(brute(rows), key=repr)
 
 
+def test_copies_in_one_part_fill_several_buckets(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 200_000)
+    tables = []
+
+    def stored(df, name):
+        tables.append((name, kept := substrings_stored(df, name)))
+        return kept
+
+    substrings_stored = substrings.stored
+    monkeypatch.setattr(substrings, "stored", stored)
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(1000))
+    found = substrings.without_repeats(frame(spark, [(i, text) for i in range(3000)], partitions=1)).collect()
+    assert sum(len(r.kept) for r in found) == 1000
+    assert all(r.n_removed == (1000 if r.doc_id else 0) for r in found)
+    first = next(t for name, t in tables if name == "suffixes")
+    sizes = {r.bucket: r.bytes for r in first.groupBy("bucket").agg(F.sum("size").alias("bytes")).collect()}
+    assert sum(sizes.values()) > 20 * 200_000
+    assert max(sizes.values()) < 2 * 200_000
+
+
 def test_empty_table(spark):
     assert substrings.without_repeats(frame(spark, [])).collect() == []
 

@@ -123,20 +123,20 @@ class _Part:
 
 
 def _hash_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Different anchors of a part, whether one occurs in it again, and the part's mark in a row
-    without a hash."""
+    """Different anchors of a part, how often each occurs in it, and the part's mark in a row without
+    a hash."""
     part, hashes = _Part(), [np.zeros(0, np.uint64)]
     for _, _, texts in part.chunks(batches):
         hashes.append(runs(texts)[4])
     values, counts = np.unique(np.concatenate(hashes), return_counts=True)
-    names = ["hash", "part", "again", "n_rows", "mark"]
+    names = ["hash", "part", "n", "n_rows", "mark"]
     for first in range(0, len(values), 100_000):
         v = values[first : first + 100_000]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(v.view(np.int64)),
                 pa.array(np.full(len(v), part.number, np.int32)),
-                pa.array(counts[first : first + 100_000] > 1),
+                pa.array(counts[first : first + 100_000]),
                 pa.nulls(len(v), pa.int64()),
                 pa.nulls(len(v), pa.int64()),
             ],
@@ -144,7 +144,7 @@ def _hash_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
     rows, mark = part.mark()
     yield pa.RecordBatch.from_arrays(
-        [pa.nulls(1, pa.int64()), pa.array([part.number], pa.int32()), pa.array([False])]
+        [pa.nulls(1, pa.int64()), pa.array([part.number], pa.int32()), pa.array([1])]
         + [pa.array([rows], pa.int64()), pa.array([mark], pa.int64())],
         names,
     )
@@ -157,14 +157,15 @@ def _by_part(df: DataFrame, name: str) -> str:
     return path
 
 
-def _of_part(path: str, part: int) -> pa.Table | None:
-    """What was written for a part, or None."""
+def _of_part(path: str, part: int, columns: list[str]) -> pa.Table | None:
+    """These columns of what was written for a part, or None."""
     system, name = fs.FileSystem.from_uri(f"{path}/part={part}")
     if system.get_file_info(name).type == fs.FileType.NotFound:
         return None
-    return ds.dataset(name, filesystem=system, format="parquet").to_table()
+    return ds.dataset(name, filesystem=system, format="parquet").to_table(columns)
 
 
+_ANCHOR = ["hash", "n_rows", "mark"]
 _RUN = "doc bigint, part int, row int, start int, reach int, core bigint, text binary"
 _NAMES = [x.split()[0] for x in _RUN.split(", ")]
 
@@ -175,7 +176,7 @@ def _repeated_runs(anchors: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = _Part()
-        known = _of_part(anchors, part.number)
+        known = _of_part(anchors, part.number, _ANCHOR)
         hashes = np.zeros(0, np.uint64)
         if known is not None:
             hashes = np.sort(known.column("hash").drop_null().to_numpy().astype(np.int64).view(np.uint64))
@@ -328,7 +329,7 @@ def _cut(block: int):
 def _remover(anchors: str, found: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = _Part()
-        table = _of_part(found, part.number)
+        table = _of_part(found, part.number, ["row", "start", "end"])
         rows = np.zeros((3, 0), np.int64)
         if table is not None:
             rows = np.stack([table.column(c).to_numpy().astype(np.int64) for c in ("row", "start", "end")])
@@ -359,7 +360,7 @@ def _remover(anchors: str, found: str):
                 ],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
-        _same(part, _of_part(anchors, part.number))
+        _same(part, _of_part(anchors, part.number, _ANCHOR))
 
     return run
 
@@ -383,22 +384,25 @@ def without_repeats(docs: DataFrame, copy: bool = True) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = stored(rows, "texts") if copy else rows
     seen = rows.mapInArrow(
-        _hash_anchors, "hash bigint, part int, again boolean, n_rows bigint, mark bigint"
+        _hash_anchors, "hash bigint, part int, n bigint, n_rows bigint, mark bigint"
     )
     # the mark's row has no hash: its part and number make a group of their own
     grouped = seen.groupBy("hash", F.when(F.col("hash").isNull(), F.col("part")).alias("of")).agg(
         F.collect_list("part").alias("parts"),
-        F.max("again").alias("again"),
+        F.sum("n").alias("n"),
         F.max("n_rows").alias("n_rows"),
         F.max("mark").alias("mark"),
     )
-    grouped = grouped.where("hash IS NULL OR again OR size(parts) > 1")
-    anchors = _by_part(
-        grouped.select("hash", "n_rows", "mark", F.explode("parts").alias("part")), "anchors"
-    )
+    grouped = grouped.where("hash IS NULL OR n > 1")
+    spread = grouped.select("hash", "n", "n_rows", "mark", F.posexplode("parts").alias("nth", "part"))
+    # occurrences in all parts, in the row of one part only
+    once = F.when(F.col("hash").isNotNull() & (F.col("nth") == 0), F.col("n")).alias("n")
+    anchors = _by_part(spread.select(*_ANCHOR, once, "part"), "anchors")
     # not stored: the range partitioning's sample reads the texts once more, which costs less disk
     suffixes = rows.mapInArrow(_repeated_runs(anchors), _RUN)
-    total = rows.sparkSession.read.parquet(anchors).count() * (LENGTH + GRAM)
+    # every occurrence is a run, copies in one part too; no run is longer than that
+    occurrences = rows.sparkSession.read.parquet(anchors).agg(F.sum("n")).first()[0] or 0
+    total = occurrences * (2 * LENGTH - GRAM)
     found, removed = sort_suffixes(suffixes, total, "suffixes"), None
     for block in BLOCKS[1:]:
         gone = _intervals(found)
