@@ -69,6 +69,30 @@ def test_rows_without_a_match_stay_whole(spark):
     assert {r.doc_id for r in kept.collect()} - {None} == {i for i, _ in rows if i} - bad
 
 
+def test_documents_shorter_than_the_item_are_one_window(spark):
+    item = prose(80, 40)
+    cut = lambda text, n: " ".join(text.split()[:n])
+    items = [(0, item), (1, prose(81, 9)), (2, "four short words here"), (3, prose(82, 4) + " " + prose(82, 4))]
+    rows = [(n, cut(item, n)) for n in range(3, 40)] + [(100 + n, cut(items[1][1], n)) for n in range(1, 9)]
+    rows += [(200, "four short words"), (201, "short"), (202, cut(items[3][1], 7)), (203, " ".join(item.split()[2:]))]
+    want = {}
+    for i, text in rows:
+        for n, t in items:
+            k = min(5, len(words(t)))
+            own, grams = (
+                Counter(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) for w in (words(t), words(text))
+            )
+            sim = sum((own & grams).values()) / sum((own | grams).values())
+            if sim >= 0.8:
+                want[i, n] = sim, 0, 1
+    assert {(39, 0), (203, 0), (108, 1)} <= set(want) and (30, 0) not in want
+    benchmark = frame(spark, items, "item_id bigint, text string")
+    found = decontaminate.benchmark_matches(frame(spark, rows), benchmark).collect()
+    assert {(r[0], r[1]): tuple(r[2:]) for r in found} == want and len(found) == len(want)
+    kept = decontaminate.without_matches(frame(spark, rows), benchmark).collect()
+    assert {r.doc_id for r in kept} == {i for i, _ in rows} - {i for i, _ in want}
+
+
 def test_empty_tables(spark):
     none = frame(spark, [], "item_id bigint, text string")
     assert decontaminate.benchmark_matches(frame(spark, documents()), none).collect() == []

@@ -9,7 +9,8 @@ in some block by at most RADIUS // BLOCKS bits. What is within the radius is com
 sum of the lesser shingle counts over the sum of the greater ones.
 
 At a similarity of 0.8 fingerprints are 10 bits apart with a deviation of 3, so 1 in 100,000 windows
-is missed at the threshold, and fewer above it; a copied passage is met by many windows.
+is missed at the threshold, and fewer above it; a copied passage is met by many windows. A document
+of fewer words than an item is one window, compared exactly without a fingerprint.
 """
 
 from __future__ import annotations
@@ -92,7 +93,8 @@ class Items:
 
     def matches(self, texts: Texts, least: float) -> Iterator[tuple[int, int, float, int, int]]:
         """(text, item, similarity, first word, windows) of each text and item with a window of at
-        least that similarity; the most similar window counts, the first of equals."""
+        least that similarity; the most similar window counts, the first of equals. A text of fewer
+        words than the item is one window."""
         words = find_words(texts)
         n = len(words.hashes)
         for size, known in self.known.items():
@@ -104,14 +106,25 @@ class Items:
             at = np.minimum(np.searchsorted(known, grams[hits]), len(known) - 1)
             hits = hits[known[at] == grams[hits]]
             regions = defaultdict(list)
+            shorter: dict[tuple[int, int], int] = defaultdict(int)
             for p in hits.tolist():
+                text = int(words.text[p])
+                n_words = int(words.bounds[text + 1] - words.bounds[text])
                 for item in self.owners[size][int(grams[p])]:
-                    if min(self.k, self.words[item]) == size:
-                        regions[self.words[item], int(words.text[p])].append(p)
+                    if self.words[item] > n_words:
+                        shorter[text, item] += 1
+                    elif min(self.k, self.words[item]) == size:
+                        regions[self.words[item], text].append(p)
             for (length, text), places in regions.items():
                 low, high = int(words.bounds[text]), int(words.bounds[text + 1])
-                if high - low >= length:
-                    yield from self._in_text(grams, length, size, text, low, high, places, least)
+                yield from self._in_text(grams, length, size, text, low, high, places, least)
+            for (text, item), n_shared in shorter.items():
+                # no more than n_shared of the item's shingles are common to both
+                if n_shared / len(self.shingles[item]) >= least:
+                    low, high = int(words.bounds[text]), int(words.bounds[text + 1])
+                    sim = weighted_similarity(grams[low : high - size + 1], self.shingles[item])
+                    if sim >= least:
+                        yield text, item, sim, 0, 1
 
     def _in_text(self, grams, length, size, text, low, high, places, least):
         span = length - size + 1
@@ -191,8 +204,8 @@ def benchmark_matches(
     has at least that similarity; the place and similarity of the best window, and their number.
 
     Words are runs of bytes other than space and 0x09 to 0x0D, A-Z lowered. Items of fewer than five
-    words are one shingle and match verbatim. Null and empty texts match nothing, and a document
-    shorter than an item does not hold it. Items without an item_id are left out. Rows that repeat
+    words are one shingle and match verbatim. Null and empty texts match nothing. A document of fewer
+    words than an item is its one window; below the words of a shingle it shares none. Items without an item_id are left out. Rows that repeat
     a document are found each; of items that repeat an item_id one counts. A null doc_id is carried
     along. Other columns are not read.
 
