@@ -93,6 +93,18 @@ def test_documents_shorter_than_the_item_are_one_window(spark):
     assert {r.doc_id for r in kept} == {i for i, _ in rows} - {i for i, _ in want}
 
 
+def test_every_text_of_an_item_counts_with_or_without_an_id(spark):
+    texts = [prose(90 + i, 25) for i in range(4)]
+    items = [(7, texts[0]), (7, texts[1]), (7, texts[1]), (None, texts[2]), (None, texts[3])]
+    rows = [(i, prose(95, 5) + " " + t) for i, t in enumerate(texts)] + [(9, prose(99, 40))]
+    benchmark = frame(spark, items, "item_id bigint, text string")
+    for item_bytes in (decontaminate.ITEM_BYTES, 200):
+        found = decontaminate.benchmark_matches(frame(spark, rows), benchmark, 0.8, item_bytes)
+        got = [tuple(r) for r in found.select("doc_id", "item_id", "similarity", "first_word").collect()]
+        assert sorted(got) == [(0, 7, 1.0, 5), (1, 7, 1.0, 5)]
+    assert [r.doc_id for r in decontaminate.without_matches(frame(spark, rows), benchmark).collect()] == [9]
+
+
 def test_empty_tables(spark):
     none = frame(spark, [], "item_id bigint, text string")
     assert decontaminate.benchmark_matches(frame(spark, documents()), none).collect() == []

@@ -44,7 +44,7 @@ def fingerprints(hashes: np.ndarray, counts: int) -> np.ndarray:
 
 
 class Items:
-    """Items of one group: their shingles, fingerprints by length, and who has which shingle."""
+    """Items of one group by number: their shingles, fingerprints by length, and who has which shingle."""
 
     def __init__(self, items: list[tuple[int, str]], k: int = SHINGLE) -> None:
         self.k = k
@@ -162,9 +162,13 @@ def weighted_similarity(x: np.ndarray, y: np.ndarray) -> float:
 _MATCH = "doc_id bigint, item_id bigint, similarity double, first_word bigint, n_windows bigint"
 
 
-def _searcher(group: list[tuple[int, str]], least: float):
+def _numbered(group: list[tuple[int | None, str]]) -> Items:
+    return Items([(number, text) for number, (_, text) in enumerate(group)])
+
+
+def _searcher(group: list[tuple[int | None, str]], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(group)
+        items = _numbered(group)
         for batch in batches:
             for texts in text_chunks(batch.column(1)):
                 rows = list(items.matches(texts, least))
@@ -173,7 +177,7 @@ def _searcher(group: list[tuple[int, str]], least: float):
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(np.array(at) + texts.first)),
-                            pa.array(item, pa.int64()),
+                            pa.array([group[number][0] for number in item], pa.int64()),
                             pa.array(sim, pa.float64()),
                             pa.array(first, pa.int64()),
                             pa.array(count, pa.int64()),
@@ -184,16 +188,16 @@ def _searcher(group: list[tuple[int, str]], least: float):
     return run
 
 
-def item_groups(benchmark: DataFrame, item_bytes: int) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark's items by item_id in groups of about item_bytes, one at a time; at least one."""
+def item_groups(benchmark: DataFrame, item_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
+    """The benchmark's different items (item_id, text), also those without an item_id, in groups of
+    about item_bytes, one at a time; at least one."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    items = items.where("item_id IS NOT NULL AND text IS NOT NULL")
-    items = items.groupBy("item_id").agg(F.min("text").alias("text"))
+    items = items.where("text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-total // item_bytes))
     for g in range(groups):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(groups)) == g)
-        yield [tuple(row) for row in part.orderBy("item_id").collect()]
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g)
+        yield [tuple(row) for row in part.orderBy("item_id", "text").collect()]
 
 
 def benchmark_matches(
@@ -205,15 +209,17 @@ def benchmark_matches(
 
     Words are runs of bytes other than space and 0x09 to 0x0D, A-Z lowered. Items of fewer than five
     words are one shingle and match verbatim. Null and empty texts match nothing. A document of fewer
-    words than an item is its one window; below the words of a shingle it shares none. Items without an item_id are left out. Rows that repeat
-    a document are found each; of items that repeat an item_id one counts. A null doc_id is carried
-    along. Other columns are not read.
+    words than an item is its one window; below the words of a shingle it shares none. Different
+    texts of one item_id are found each. Items without an item_id are left out, as a pair cannot name
+    them; without_matches() searches them too. Rows that repeat a document are found each; an item
+    that repeats both item_id and text counts once. A null doc_id is carried along. Other columns are not read.
 
     The benchmark goes to the tasks in groups of bounded size, by a pass over the documents for
     each group, so it may be of any size. Documents are not shuffled.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     found = None
+    benchmark = benchmark.where(F.col("item_id").cast("bigint").isNotNull())
     for group in item_groups(benchmark, item_bytes):
         hits = rows.mapInArrow(_searcher(group, least), _MATCH)
         found = hits if found is None else found.union(hits)
@@ -229,7 +235,7 @@ def without_matches(docs: DataFrame, benchmark: DataFrame, least: float = SIMILA
 
 def _remover(group: list[tuple[int, str]], least: float, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(group)
+        items = _numbered(group)
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
             for texts in text_chunks(batch.column(place)):
