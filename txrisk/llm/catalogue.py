@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, near_dup, pii, quality, sharding, substrings, tokens, toxicity, warc
+from . import (
+    conversations,
+    decontaminate,
+    lines,
+    mixing,
+    near_dup,
+    pii,
+    quality,
+    sharding,
+    substrings,
+    tokens,
+    toxicity,
+    warc,
+    whitening,
+)
 from .oracles import ORACLES
 from .shared import table
 
@@ -63,6 +77,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.digest(lines.without_shared_lines(docs))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_members": op2_warc_members,
@@ -74,4 +101,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_benchmark_matches": op9_benchmark_matches,
     "op10_quality_rules": op10_quality_rules,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_line_dedup": op13_line_dedup,
 }

@@ -73,4 +73,137 @@ SELECT doc_id, right('0' || h::BIT::VARCHAR, 60)[1:depth] AS shard, CAST(depth A
 FROM firsts
 """
 
-ORACLES = {"op2_warc_members": OP2, "op4_hash_shards": OP4, "op7_near_duplicates": OP7}
+OP13 = """
+WITH split AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+    FROM documents
+), keyed AS (
+    SELECT doc_id, line, place, translate(
+        trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM split
+), frequent AS (
+    SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+GROUP BY doc_id
+"""
+
+
+def _add(candidate: str, cost: str, edit: str) -> str:
+    """A candidate is its cost in eight digits and then its edits, so the least string is the best."""
+    return (
+        f"(lpad(CAST(CAST({candidate}[1:8] AS BIGINT) + {cost} AS VARCHAR), 8, '0')"
+        f" || {candidate}[9:] || {edit})"
+    )
+
+
+def _inserted(names: tuple[str, str, str, str]) -> str:
+    """States after the insertions that may come next: none, system, user, assistant."""
+    none, system, user, assistant = names
+    waiting = f"least({user}, {_add(f'least({none}, {system}, {assistant})', '2', chr(39) + 'I' + chr(39))})"
+    done = f"least({assistant}, {_add(waiting, '2', chr(39) + 'I' + chr(39))})"
+    return f"{none} AS n, {system} AS s, {waiting} AS u, {done} AS a"
+
+
+_DROP = {state: _add(f"c.{state}", "3", "'D'") for state in "nsua"}
+_KEEP = {
+    symbol: f"CASE WHEN NOT r.must_go THEN {_add(source, cost, edit)} END"
+    for symbol, source, cost, edit in (
+        ("u", "least(c.n, c.s, c.a)", "r.cut + CASE WHEN r.initial = 'u' THEN 0 ELSE 2 END",
+         "CASE WHEN r.initial = 'u' THEN 'K' ELSE 'R' END"),
+        ("a", "c.u", "r.cut + CASE WHEN r.initial = 'a' THEN 0 ELSE 2 END",
+         "CASE WHEN r.initial = 'a' THEN 'K' ELSE 'R' END"),
+    )
+}
+_SYSTEM = f"CASE WHEN r.initial = 's' AND NOT r.must_go THEN {_add('c.n', 'r.cut', chr(39) + 'K' + chr(39))} END"
+
+OP12 = rf"""
+WITH RECURSIVE crc_table AS MATERIALIZED (
+    SELECT list_transform(range(256), lambda x: list_reduce(
+        [x, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))) AS t
+), kinds AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(string_split(
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                   lambda c: CAST(ord(c) AS BIGINT))),
+               lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) % 20 AS kind
+    FROM conversations, crc_table
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(CASE kind WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM kinds WHERE kind <> 0
+), placed AS (
+    SELECT conv_id, turn, role, text, left(role, 1) AS initial, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place
+    FROM damaged
+), faults AS (
+    SELECT *, CASE
+        WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+        WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated'
+        ELSE '' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair
+    FROM placed
+), marked AS (
+    SELECT *, fault IN ('blank', 'duplicate') AS must_go, CAST(fault = 'truncated' AS BIGINT) AS cut FROM faults
+), counts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM marked GROUP BY conv_id
+), states AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS place, {_inserted(("n", "s", "u", "a"))}
+    FROM (SELECT conv_id, '00000000' AS n, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u,
+                 CAST(NULL AS VARCHAR) AS a FROM counts)
+    UNION ALL
+    SELECT conv_id, place, {_inserted(("n", "s", "u", "a"))}
+    FROM (
+        SELECT r.conv_id, r.place, {_DROP["n"]} AS n, least({_DROP["s"]}, {_SYSTEM}) AS s,
+               least({_DROP["u"]}, {_KEEP["u"]}) AS u, least({_DROP["a"]}, {_KEEP["a"]}) AS a
+        FROM states c JOIN marked r ON r.conv_id = c.conv_id AND r.place = c.place + 1
+    )
+), best AS (
+    SELECT s.conv_id, CAST(least(s.n, s.a)[1:8] AS BIGINT) AS cost, least(s.n, s.a)[9:] AS audit
+    FROM states s JOIN counts c ON c.conv_id = s.conv_id AND c.n = s.place
+), edits AS (
+    SELECT conv_id, unnest(string_split(audit, '')) AS edit,
+           generate_subscripts(string_split(audit, ''), 1) AS step
+    FROM best WHERE audit <> ''
+), numbered AS (
+    SELECT *, count(*) FILTER (edit <> 'I') OVER w AS place, count(*) FILTER (edit <> 'D') OVER w AS symbol
+    FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY step)
+), turns AS (
+    SELECT e.conv_id, e.step, e.edit, e.symbol, r.role, r.text,
+           max(CAST(e.symbol = 1 AND e.edit = 'K' AND r.initial = 's' AS BIGINT))
+               OVER (PARTITION BY e.conv_id) AS shift
+    FROM numbered e LEFT JOIN marked r ON r.conv_id = e.conv_id AND r.place = e.place AND e.edit <> 'I'
+    WHERE e.edit <> 'D'
+), repaired AS (
+    SELECT conv_id, string_agg(
+        CASE WHEN edit = 'K' THEN role WHEN (symbol - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END
+            || ':' || coalesce(text, ''), chr(10) ORDER BY step) AS text
+    FROM turns GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(r.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts USING (conv_id) LEFT JOIN best USING (conv_id) LEFT JOIN repaired r USING (conv_id)
+"""
+
+ORACLES = {
+    "op2_warc_members": OP2,
+    "op4_hash_shards": OP4,
+    "op7_near_duplicates": OP7,
+    "op12_conversation_repair": OP12,
+    "op13_line_dedup": OP13,
+}
