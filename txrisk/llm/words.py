@@ -116,6 +116,15 @@ def find_words(texts: Texts, lower: bool = True) -> Words:
     return Words(starts, ends, text, hashes, bounds)
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each range. Equal bytes have equal hashes; bytes made to collide
+    may have them too, so whoever needs to be sure compares."""
+    up, down = _POWERS.upto(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_CODES[data] * up[:-1], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
 def fold(parts: list[np.ndarray], length: int) -> np.ndarray:
     """One hash for each sequence of words, given the hashes of its first, second ... words."""
     out = mix(parts[0] + U64(length))
