@@ -74,3 +74,48 @@ def test_outliers_have_short_paths():
 
 def test_empty_table(spark):
     assert quality.quality(frame(spark, []), frame(spark, [], LABELS)).collect() == []
+
+
+def test_documents_with_one_fault_are_not_hidden_by_good_ones(spark):
+    """Equal short lines between different ones, and capitals: neither reaches the base rules."""
+
+    def lined(seed, n):
+        w = prose(seed, n).split()
+        return "\n".join(" ".join(w[i : i + 12]) for i in range(0, n, 12))
+
+    docs = [(i, lined(i, 40 + i % 200)) for i in range(600)]
+    for i in range(600, 660):
+        between = [prose(10_000 + 20 * i + j, 4 + j % 5) for j in range(12)]
+        docs.append((i, "\n".join(line for other in between for line in (prose(5_000 + i, 4), other))))
+    docs += [(i, prose(i, 60 + i % 40).upper()) for i in range(660, 720)]
+    labels = [(i, int(i < 600)) for i in range(720)]
+    found = {r.doc_id: r for r in quality.quality(frame(spark, docs), frame(spark, labels, LABELS)).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert sum(found[i].kept for i in range(600)) >= 597
+    assert sum(found[i].kept for i in range(600, 660)) <= 3
+    assert sum(found[i].kept for i in range(660, 720)) <= 3
+    assert {found[i].rejected_by for i in range(600, 660)} - {None} <= {"shape", *quality.STATISTICS}
+
+
+def test_a_repeated_id_calibrates_without_leaving_spark(spark):
+    docs = [(1, prose(i, 50)) for i in range(3000)] + [(2, "#$%& " * 40 + prose(i, 12)) for i in range(20)]
+    labels = [(1, 1), (2, 0), (2, 1)]
+    found = quality.quality(frame(spark, docs), frame(spark, labels, LABELS)).collect()
+    assert sum(r.kept for r in found if r.doc_id == 1) >= 2990
+    assert len(found) == 3020
+
+
+def test_limits_stay_within_the_loss_and_need_evidence():
+    good, bad = np.zeros((2, 10), int), np.zeros((2, 10), int)
+    good[:, 2] = 997
+    good[0, 5], good[0, 8] = 2, 1
+    good[1, 3] = 3
+    bad[0, 6], bad[1, 2] = 50, 50
+    # one good row may go: that is what 50 bad ones cost, and the second forest finds none
+    assert quality.limits(good, bad, 0.001).tolist() == [6, 10]
+    assert quality.limits(good, bad, 0.0).tolist() == [10, 10]
+    bad[0, 9] = 2
+    assert quality.limits(good, bad, 0.0).tolist() == [10, 10]
+    bad[0, 9] = 3
+    assert quality.limits(good, bad, 0.0).tolist() == [9, 10]
+    assert quality.limits(good, bad * 0).tolist() == [10, 10]

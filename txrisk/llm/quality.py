@@ -1,9 +1,11 @@
-"""Quality rules: counts of each whole text, and an isolation forest over statistics made of them.
+"""Quality rules: counts of each whole text, and isolation forests over statistics made of them.
 
 Random splits isolate an unusual document after few of them: the score is 2 ** (-mean path length /
-path length expected for the sample), near 1 for anomalies. The forest grows from a bounded sample
-of documents; the threshold is the one that finds most labelled bad documents while it loses at most
-MAX_LOSS of the labelled good ones.
+path length expected for the sample), near 1 for anomalies. One forest splits on the shape of a text
+as a whole; each statistic also has a small forest of its own, so that documents with one fault are
+not hidden by all that is usual about them. Forests grow from a bounded sample of documents. Their
+thresholds are calibrated together on all labelled rows: they find most labelled bad documents while
+all of them lose at most MAX_LOSS of the labelled good ones.
 """
 
 from __future__ import annotations
@@ -17,16 +19,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import hash_sample, stored
-from .words import _CODES, _POWERS, Texts, find_words, fold, mix, text_chunks
+from .words import Texts, find_words, fold, mix, range_hashes, text_chunks
 
 TREES = 200
 #: Few rows a tree, so that many documents with one fault don't hide each other.
 TREE_ROWS = 64
-#: Rows the trees draw from, and labelled rows the threshold is set on.
+#: Trees of a forest on one statistic, and rows of each.
+SINGLE_TREES, SINGLE_ROWS = 100, 32
+#: Rows the trees draw from.
 FOREST_ROWS = 20_000
-LABEL_ROWS = 40_000
-#: Share of labelled good documents that the threshold may lose.
+#: Share of labelled good documents that the thresholds may lose, all together.
 MAX_LOSS = 0.002
+#: Labelled bad documents that a forest has to find beyond all good ones, or it has no say.
+LEAST_FOUND = 3
+#: Scores are told apart, counted and compared in so many steps.
+LEVELS = 1 << 12
 
 _WINDOW = 5
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -34,7 +41,21 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 #: first bytes of code points
 _POINT = (np.arange(256) & 0xC0) != 0x80
 
-COUNTS = "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines".split()
+_DIGIT, _UPPER, _PUNCTUATION = (np.zeros(256, dtype=bool) for _ in range(3))
+_DIGIT[ord("0") : ord("9") + 1] = True
+_UPPER[ord("A") : ord("Z") + 1] = True
+_PUNCTUATION[list(b".,;:!?")] = True
+
+COUNTS = (
+    "n_words word_chars n_symbols n_dup_lines n_repeat_words "
+    "n_lines n_points n_digits n_upper n_punctuation n_distinct"
+).split()
+STATISTICS = (
+    "word length", "symbols", "repeated words", "words a line",
+    "duplicate lines", "digits", "capitals", "punctuation", "distinct words", "words",
+)
+#: Statistics that the shape forest splits on together.
+SHAPE = (0, 1, 2, 3)
 
 
 def _sums(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -71,7 +92,7 @@ def text_counts(texts: Texts) -> np.ndarray:
         ends = np.append(starts[1:], len(data))[lines]
         # without the line feed; the last line of a text has none
         ends = ends - (data[ends - 1] == 0x0A)
-        hashes = _range_hashes(data, starts[lines], ends)
+        hashes = range_hashes(data, starts[lines], ends)
         dup_lines = np.bincount(line_text, minlength=n) - _distinct(hashes, line_text, n)
 
     repeat = np.zeros(n, dtype=np.int64)
@@ -95,29 +116,34 @@ def text_counts(texts: Texts) -> np.ndarray:
             dup_lines,
             repeat,
             np.bincount(line_text, minlength=n),
+            np.diff(point_sums[bounds]),
+            _sums(_DIGIT[data], bounds),
+            _sums(_UPPER[data], bounds),
+            _sums(_PUNCTUATION[data], bounds),
+            _distinct(words.hashes, words.text, n),
         ],
         axis=1,
     ).astype(np.int64)
 
 
-def _range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = _POWERS.upto(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_CODES[data] * up[:-1], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
-
-
 def statistics(counts: np.ndarray) -> np.ndarray:
-    """What the forest splits on: characters, symbols and repetition for each word, and words a line.
-    Length itself is none of them: a short text is not a bad one."""
+    """The columns of STATISTICS: lengths on a log scale, and ratios."""
     c = dict(zip(COUNTS, counts.T.astype(np.float64)))
     words, lines = np.maximum(c["n_words"], 1), np.maximum(c["n_lines"], 1)
+    chars = np.maximum(c["word_chars"], 1)
     return np.stack(
         [
             c["word_chars"] / words,
             c["n_symbols"] / words,
             c["n_repeat_words"] / words,
             np.log1p(c["n_words"] / lines),
+            c["n_dup_lines"] / lines,
+            c["n_digits"] / chars,
+            c["n_upper"] / chars,
+            c["n_punctuation"] / words,
+            # distinct words fall with length by themselves
+            np.log(np.maximum(c["n_distinct"], 1)) / np.log(words + 1),
+            np.log1p(c["n_words"]),
         ],
         axis=1,
     )
@@ -186,13 +212,82 @@ def grow(x: np.ndarray, trees: int = TREES, rows: int = TREE_ROWS) -> Forest:
     return Forest(column, value, child, path, depth, rows)
 
 
-def threshold(scores: np.ndarray, good: np.ndarray, max_loss: float = MAX_LOSS) -> float:
-    """The least score to reject: above all but max_loss of the good rows. Without good rows or bad
-    ones there is nothing to calibrate on, and nothing is rejected."""
-    if not good.any() or good.all():
-        return np.inf
-    kept = np.sort(scores[good])[::-1]
-    return float(np.nextafter(kept[int(max_loss * len(kept))], np.inf))
+@dataclass
+class Steps:
+    """A forest on one statistic as the step function that it is."""
+
+    cuts: np.ndarray
+    heights: np.ndarray
+
+    @classmethod
+    def of(cls, forest: Forest) -> Steps:
+        cuts = np.unique(forest.value[forest.column >= 0])
+        return cls(cuts, forest.scores(np.concatenate([[-np.inf], cuts])[:, None]))
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        return self.heights[np.searchsorted(self.cuts, x, side="right")]
+
+
+@dataclass
+class Judge:
+    """The shape forest and one forest for each statistic; limits: the level each rejects from."""
+
+    shape: Forest
+    singles: list[Steps]
+    limits: np.ndarray
+
+    def scores(self, counts: np.ndarray) -> np.ndarray:
+        """A row for each text: the score of the shape forest, then of each statistic's."""
+        x = statistics(counts)
+        singles = [forest.scores(x[:, j]) for j, forest in enumerate(self.singles)]
+        return np.stack([self.shape.scores(x[:, SHAPE]), *singles], axis=1)
+
+    def levels(self, counts: np.ndarray) -> np.ndarray:
+        return np.minimum((self.scores(counts) * LEVELS).astype(np.int64), LEVELS - 1)
+
+
+def grow_judge(counts: np.ndarray) -> Judge:
+    """Forests over a sample of counts, without limits yet: nothing is rejected."""
+    x = statistics(counts)
+    singles = [
+        Steps.of(grow(x[:, [j]], SINGLE_TREES, SINGLE_ROWS)) for j in range(len(STATISTICS))
+    ]
+    return Judge(grow(x[:, SHAPE]), singles, np.full(1 + len(singles), LEVELS))
+
+
+def limits(good: np.ndarray, bad: np.ndarray, max_loss: float = MAX_LOSS) -> np.ndarray:
+    """The level each forest rejects from, given labelled good and bad rows by forest and level.
+
+    Limits begin above every good row. Then, while the loss of all limits allows, the limit that
+    finds most bad rows for a good one lost goes down to below the next good row. A forest that finds
+    fewer than LEAST_FOUND bad rows rejects nothing, as does every forest without good or bad rows.
+    """
+    forests, levels = good.shape
+    off = np.full(forests, levels)
+    rows = int(good[0].sum())
+    if rows == 0 or int(bad[0].sum()) == 0:
+        return off
+    # good levels of each forest from the top; a limit lies just above one of them
+    steps = [np.append(np.flatnonzero(g)[::-1], -1) for g in good]
+    at, left = np.zeros(forests, dtype=int), int(max_loss * rows)
+    place = [int(own[0]) + 1 for own in steps]
+    while True:
+        best = (0.0, 0, 0, 0)
+        for f in range(forests):
+            found = lost = 0
+            # one step may find nothing by itself and the next one much
+            for step in range(at[f] + 1, min(at[f] + 20, len(steps[f]))):
+                lost = int(good[f, steps[f][step] + 1 : place[f]].sum())
+                if lost > left:
+                    break
+                found = int(bad[f, steps[f][step] + 1 : place[f]].sum())
+                best = max(best, (found / lost, f, step, lost))
+        if best[0] <= 0:
+            break
+        _, f, step, lost = best
+        at[f], place[f], left = step, int(steps[f][step]) + 1, left - lost
+    found = np.array([bad[f, place[f] :].sum() for f in range(forests)])
+    return np.where(found >= LEAST_FOUND, place, levels)
 
 
 _COUNTED = "doc_id bigint, " + ", ".join(f"{c} bigint" for c in COUNTS)
@@ -208,60 +303,95 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _scorer(forest: Forest | None):
+_FORESTS = 1 + len(STATISTICS)
+
+
+def _labelled_levels(judge: Judge):
+    """Labelled rows by forest, level and label, counted over a partition; those that the base rules
+    reject do not count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, _FORESTS, LEVELS), dtype=np.int64)
+        for batch in batches:
+            counts = _columns(batch)
+            passing = ~((counts[:, 0] < 10) | (100 * counts[:, 4] > 20 * counts[:, 0]))
+            quality = np.asarray(batch.column("quality")).astype(np.int64)[passing]
+            levels = judge.levels(counts[passing])
+            for f in range(_FORESTS):
+                np.add.at(total[:, f], (quality, levels[:, f]), 1)
+        flat = total.reshape(-1)
+        at = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], ["at", "n"])
+
+    return run
+
+
+def _scorer(judge: Judge | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = np.stack([np.asarray(batch.column(c)) for c in COUNTS], axis=1)
-            scores = forest.scores(statistics(counts)) if forest else np.zeros(len(counts))
+            counts = _columns(batch)
+            scores = judge.scores(counts) if judge and len(counts) else np.zeros((len(counts), _FORESTS))
+            levels = np.minimum((scores * LEVELS).astype(np.int64), LEVELS - 1)
+            against = levels >= judge.limits if judge else levels > LEVELS
+            names = np.array(["shape", *STATISTICS], dtype=object)
+            first = np.where(against.any(axis=1), names[against.argmax(axis=1)], None)
             columns = [batch.column(c) for c in batch.schema.names]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(scores)], [*batch.schema.names, "anomaly"]
+                [*columns, pa.array(scores[:, 0]), pa.array(first, pa.string())],
+                [*batch.schema.names, "anomaly", "rejected_by"],
             )
 
     return run
 
 
-def _frame_counts(df) -> np.ndarray:
-    return df[COUNTS].to_numpy(np.int64).reshape(-1, len(COUNTS))
+def _columns(batch: pa.RecordBatch) -> np.ndarray:
+    return np.stack([np.asarray(batch.column(c)) for c in COUNTS], axis=1)
+
+
+def calibrated(counted: DataFrame, labels: DataFrame, judge: Judge) -> Judge:
+    """The judge with limits from every labelled row. Only counts by forest, level and label leave the
+    tasks, a number that does not grow with the rows."""
+    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality")
+    known = known.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+    known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    judged = counted.join(known, "doc_id").select(*COUNTS, "quality")
+    found = judged.mapInArrow(_labelled_levels(judge), "at bigint, n bigint")
+    found = found.groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    total = np.zeros(2 * _FORESTS * LEVELS, dtype=np.int64)
+    total[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    bad, good = total.reshape(2, _FORESTS, LEVELS)
+    return Judge(judge.shape, judge.singles, limits(good, bad))
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, anomaly,
-    kept) for each row of docs (doc_id, text); labels has doc_id and quality (1: good).
+    rejected_by, kept) for each row of docs (doc_id, text); labels has doc_id and quality (1: good).
 
     Words are runs of bytes other than space and 0x09 to 0x0D, as written. A null text counts as
     empty; it has no words and fails the base rules. Rows without a doc_id are judged like others;
     repeated rows get equal verdicts; of repeated labels the lowest counts. Without labelled good
-    and bad rows the forest rejects nothing. Other columns are not read.
+    and bad rows the forests reject nothing. `anomaly` is the score of the shape forest, `rejected_by`
+    the first forest whose limit a row reaches (null if none). Other columns are not read.
 
     Counting is one pass over the texts without a shuffle; what is kept of a document is a few
-    numbers. The forest's sample and the threshold's labelled rows are of bounded number.
+    numbers. Trees draw from FOREST_ROWS documents, limits come from all labelled rows.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     counted = stored(rows.mapInArrow(_counter, _COUNTED), "counts")
     sample = hash_sample(counted, FOREST_ROWS, "forest", "doc_id", *COUNTS).toPandas()
-    forest = grow(statistics(_frame_counts(sample))) if len(sample) else None
-
-    known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "quality")
-    known = known.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = hash_sample(known, LABEL_ROWS, "labels", "doc_id")
-    # at most LABEL_ROWS rows of two numbers
-    judged = counted.join(F.broadcast(known), "doc_id").toPandas()
-    scored = forest.scores(statistics(_frame_counts(judged))) if len(judged) else np.zeros(0)
-    failed = (judged["n_words"] < 10) | (100 * judged["n_repeat_words"] > 20 * judged["n_words"])
-    passing = ~failed.to_numpy(bool)
-    good = judged["quality"].to_numpy() == 1
-    least = threshold(scored[passing], good[passing])
+    judge = grow_judge(sample[COUNTS].to_numpy(np.int64)) if len(sample) else None
+    if judge:
+        judge = calibrated(counted, labels, judge)
 
     base_failed = (F.col("n_words") < 10) | (
         100 * F.col("n_repeat_words") > 20 * F.col("n_words")
     )
-    scored_all = counted.mapInArrow(_scorer(forest), f"{_COUNTED}, anomaly double")
-    return scored_all.select(
+    scored = counted.mapInArrow(_scorer(judge), f"{_COUNTED}, anomaly double, rejected_by string")
+    return scored.select(
         "doc_id",
         *COUNTS[:5],
         base_failed.alias("base_failed"),
         "anomaly",
-        (~base_failed & (F.col("anomaly") < F.lit(least))).alias("kept"),
+        "rejected_by",
+        (~base_failed & F.col("rejected_by").isNull()).alias("kept"),
     )
