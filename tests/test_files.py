@@ -1,3 +1,4 @@
+import uuid
 from urllib.parse import unquote
 
 import pytest
@@ -69,3 +70,33 @@ def test_scan_reads_exactly_the_files_and_names_them(spark, tmp_path):
     assert sorted(row.amount for row in rows) == [1.0, 2.0]
     assert {row[SOURCE_PATH] for row in rows} == {listed[path] for path in wanted}
     assert {unquote(row[SOURCE_PATH]) for row in rows} == set(wanted)
+
+
+def jobs_of(spark, action):
+    group = f"g{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = action()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_footers_of_many_files_are_one_job(spark, tmp_path):
+    for i in range(50):
+        kind = "decimal(18,2)" if i % 2 else "double"
+        spark.range(2).select(F.lit(i).cast(kind).alias("amount")).coalesce(1).write.parquet(str(tmp_path / f"{i:02}"))
+    paths = sorted(f"file:{path}" for path in tmp_path.rglob("*.parquet"))
+    assert len(paths) == 50
+    one, few = jobs_of(spark, lambda: files.schema_groups(spark, paths[:32]))
+    all_, many = jobs_of(spark, lambda: files.schema_groups(spark, paths))
+    assert len(one) == len(all_) == 2 and many == few <= 2
+    assert sorted(p for _, group in all_ for p in group) == paths
+
+
+def test_a_broken_file_is_named(spark, tmp_path):
+    spark.range(2).coalesce(1).write.parquet(str(tmp_path / "good"))
+    (tmp_path / "broken.parquet").write_text("this is no Parquet file at all")
+    good = next((tmp_path / "good").glob("*.parquet"))
+    with pytest.raises(Exception, match="broken.parquet"):
+        files.schema_groups(spark, [f"file:{good}", f"file:{tmp_path}/broken.parquet"])

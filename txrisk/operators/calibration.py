@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from decimal import ROUND_CEILING, Decimal
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions.rules import balance_ratios
-from txrisk.schemas import APPROX_ACCURACY, RISK_THRESHOLDS, THRESHOLD_PERCENTILE
+from txrisk.schemas import RISK_THRESHOLDS, THRESHOLD_PERCENTILE
 
 # Calibrated value -> column of the calibration input.
 METRICS = {
@@ -20,34 +21,95 @@ METRICS = {
 # Most values an exact percentile holds in one task; above it the range is narrowed. Low enough that
 # any but a tiny history goes the same way.
 EXACT_ROWS = 2_000
-# Most partial sketches one task merges: about two waves of tasks on 8,000 cores.
-_MAX_PARTIALS = 16_000
+# Most sketches that one task merges. Sketches of scan tasks are merged in three levels, which is
+# enough for 16 million of them.
+_FAN_IN = 256
+_LEVELS = 3
+# Size of a sketch: a rank error of about 1/10,000 of the rows for thresholds, and one good enough to
+# propose the next range for exact ones.
+SKETCH_K = 65_535
+_PIVOT_K = 16_384
+_PIVOT_MARGIN = 0.0015
+# Ranks, as shares, that a sketch of what is left of a range is asked for.
+_GRID = [i / 256 for i in range(257)]
 
 
 def calibration_input(bronze: DataFrame) -> DataFrame:
-    """The three calibrated measures; four Bronze columns are scanned for them.
+    """The three calibrated measures; four Bronze columns are scanned for them."""
+    return bronze.select("amount", *[c.alias(n) for n, c in balance_ratios().items()])
 
-    A percentile sketch is merged in one task, so the number of partial sketches must not grow
-    with the history: a scan of more partitions is coalesced, without a shuffle. The bound is
-    fixed, as the cores at hand may still be few when the plan is made.
+
+def _merged(rows: DataFrame, summed: dict[str, Column], sketched: dict[str, Column], k: int, by=()) -> DataFrame:
+    """Sums and sketches of all rows, or of each value of ``by``, merged in levels.
+
+    A scan task makes one sketch of each column; then each task of a level merges those of at most
+    _FAN_IN tasks of the level below. The scan keeps all its tasks, and no task merges more than that
+    however long the history is.
     """
-    measures = bronze.select("amount", *[c.alias(n) for n, c in balance_ratios().items()])
-    return measures.coalesce(_MAX_PARTIALS)
+    group = F.floor(F.spark_partition_id() / _FAN_IN)
+    found = rows.withColumn("_group", group).groupBy(*by, "_group")
+    found = found.agg(
+        *[column.alias(name) for name, column in summed.items()],
+        *[F.kll_sketch_agg_double(column, k).alias(name) for name, column in sketched.items()],
+    )
+    for level in range(2, _LEVELS + 1):
+        last = level == _LEVELS
+        found = found.withColumn("_group", F.floor(F.col("_group") / _FAN_IN))
+        found = found.groupBy(*by, *([] if last else ["_group"])).agg(
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in summed],
+            *[F.kll_merge_agg_double(name).alias(name) for name in sketched],
+        )
+    return found
+
+
+def _ranked(column: str) -> Column:
+    """The value; a sketch cannot rank NaN, which goes above every number with infinity."""
+    return F.when(F.isnan(column), F.lit(float("inf"))).otherwise(F.col(column))
+
+
+def sketches(measures: DataFrame, k: int = SKETCH_K, by=()) -> DataFrame:
+    """For each measure a sketch of its values, how many they are, and how many of them are NaN."""
+    summed = {f"{c}_count": F.count(c) for c in METRICS.values()}
+    summed |= {f"{c}_nan": F.count_if(F.isnan(c)) for c in METRICS.values()}
+    return _merged(measures, summed, {f"{c}_sketch": _ranked(c) for c in METRICS.values()}, k, by)
+
+
+def merged_sketches(parts: DataFrame) -> DataFrame:
+    """One row for any number of stored rows of ``sketches``, merged in levels too."""
+    group, found = F.floor(F.spark_partition_id() / _FAN_IN), parts
+    for keys in (["_group"], []):
+        if keys:
+            found = found.withColumn("_group", group)
+        found = found.groupBy(*keys).agg(
+            *[F.coalesce(F.sum(f"{c}_{n}"), F.lit(0)).alias(f"{c}_{n}") for c in METRICS.values() for n in ("count", "nan")],
+            *[F.kll_merge_agg_double(f"{c}_sketch").alias(f"{c}_sketch") for c in METRICS.values()],
+        )
+    return found
+
+
+def sketched_thresholds(sketch: DataFrame, fraction: str = THRESHOLD_PERCENTILE) -> DataFrame:
+    """One row of percentiles from the one row of ``sketches``: the value whose rank reaches the
+    fraction. NaN ranks above every number. NULL where there is no value."""
+    return sketch.select(*[_at_fraction(c, fraction).alias(name) for name, c in METRICS.items()])
+
+
+def _at_fraction(column: str, fraction: str) -> Column:
+    values, nans = F.col(f"{column}_count"), F.col(f"{column}_nan")
+    return (
+        F.when(values == 0, F.lit(None).cast("double"))
+        .when(F.ceil(values * F.lit(Decimal(fraction))) > values - nans, F.lit(float("nan")))
+        .otherwise(F.kll_sketch_get_quantile_double(f"{column}_sketch", F.lit(float(fraction))))
+    )
 
 
 def approximate_thresholds(
-    bronze: DataFrame, fraction: str = THRESHOLD_PERCENTILE, accuracy: int = APPROX_ACCURACY
+    bronze: DataFrame, fraction: str = THRESHOLD_PERCENTILE, k: int = SKETCH_K
 ) -> DataFrame:
-    """One row of approximate percentiles in one pass; rank error about rows / accuracy.
+    """One row of approximate percentiles in one pass; rank error about rows / 10,000.
 
     NULL measures are ignored; the zeros of guarded ratios count. All NULL for no rows.
     """
-    return calibration_input(bronze).agg(
-        *[
-            F.percentile_approx(column, float(fraction), accuracy).alias(name)
-            for name, column in METRICS.items()
-        ]
-    )
+    return sketched_thresholds(sketches(calibration_input(bronze), k), fraction)
 
 
 @dataclass
@@ -60,21 +122,30 @@ class _Search:
     low: float | None = None
     high: float | None = None
     found: float | None = None
+    pivots: tuple[float, float] | None = None  # two values of the range, proposed to be around the rank
 
     def values(self) -> Column:
-        """The column inside the range, NULL outside; NaN sorts above every number."""
-        value = F.col(self.column)
-        if self.low is None and self.high is None:
-            return value
-        inside = F.lit(True)
+        """The numbers of the column inside the range, NULL outside."""
+        value, inside = F.col(self.column), ~F.isnan(self.column)
         if self.low is not None:
             inside = inside & (value > F.lit(self.low))
         if self.high is not None:
             inside = inside & (value < F.lit(self.high))
         return F.when(inside, value)
 
-    def at_rank(self, shift: float = 0.0) -> float:
-        return min(max((self.rank - 0.5) / self.rows + shift, 0.0), 1.0)
+    def at_rank(self) -> float:
+        return (self.rank - 0.5) / self.rows
+
+
+def _values_at(sketch: str, shares: list[float], rows: Column) -> Column:
+    """Values of a sketch at these shares of its rows; NULL for no rows."""
+    return F.when(rows > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*map(F.lit, shares))))
+
+
+def _around(grid: list[float], share: float) -> tuple[float, float]:
+    """Values of a grid that lie around a share of the rows, a sketch's error apart."""
+    at, last = share * (len(grid) - 1), len(grid) - 1
+    return grid[max(floor(at - 0.25), 0)], grid[min(ceil(at + 0.25), last)]
 
 
 def exact_thresholds(
@@ -85,18 +156,12 @@ def exact_thresholds(
     ``percentile_disc`` keeps every distinct value in one task. So while a range holds more than
     ``max_rows`` values it is narrowed: a sketch proposes two values around the wanted rank, and
     exact counts below, at and between them say which part holds it. The proposal only decides
-    how fast the range shrinks, never the result. Each round is two scans of four columns and
-    shrinks the range to about 1/2000, and a value repeated often enough to resist that is itself
-    proposed and counted out. At 10^12 rows two rounds are enough.
+    how fast the range shrinks, never the result, and a value repeated often enough to resist that
+    is itself proposed and counted out. The first scan counts and proposes; each later one counts and
+    proposes for what lies between. A round shrinks the range to less than 1/150.
     """
     measures = calibration_input(bronze)
-    sizes = measures.agg(*[F.count(column).alias(column) for column in METRICS.values()]).first()
-    searches = {}
-    for name, column in METRICS.items():
-        rows = sizes[column]
-        rank = int((Decimal(fraction) * rows).to_integral_value(ROUND_CEILING))
-        searches[name] = _Search(column, rows, max(rank, 1))
-
+    searches = _begin(measures, fraction)
     while wide := [s for s in searches.values() if s.found is None and s.rows > max_rows]:
         _narrow(measures, wide)
 
@@ -104,6 +169,29 @@ def exact_thresholds(
     return left.agg(*[_value_at_rank(name, s) for name, s in searches.items()])
 
 
+def _begin(measures: DataFrame, fraction: str) -> dict[str, _Search]:
+    share = float(fraction)
+    around = [max(share - _PIVOT_MARGIN, 0.0), min(share + _PIVOT_MARGIN, 1.0)]
+    columns = [
+        column
+        for c in METRICS.values()
+        for column in (
+            F.col(f"{c}_count"),
+            F.col(f"{c}_nan"),
+            _values_at(f"{c}_sketch", around, F.col(f"{c}_count")).alias(f"{c}_pivots"),
+        )
+    ]
+    row = sketches(measures, _PIVOT_K).select(*columns).first()
+    searches = {}
+    for name, c in METRICS.items():
+        rows, numbers = row[f"{c}_count"], row[f"{c}_count"] - row[f"{c}_nan"]
+        rank = max(int((Decimal(fraction) * rows).to_integral_value(ROUND_CEILING)), 1)
+        searches[name] = _Search(c, numbers, rank, pivots=row[f"{c}_pivots"])
+        if rows and rank > numbers:
+            searches[name].found = float("nan")
+    return searches
+
+
 def _value_at_rank(name: str, search: _Search) -> Column:
     if search.found is not None:
         value = F.max(F.lit(search.found))
@@ -116,32 +204,37 @@ def _value_at_rank(name: str, search: _Search) -> Column:
 
 
 def _narrow(measures: DataFrame, searches: list[_Search]) -> None:
-    margin = 2.0 / APPROX_ACCURACY
-    pivots = measures.agg(
-        *[
-            F.percentile_approx(
-                s.values(), [s.at_rank(-margin), s.at_rank(margin)], APPROX_ACCURACY
-            ).alias(s.column)
-            for s in searches
-        ]
-    ).first()
-
-    def share(s: _Search) -> Column:
-        value, (low, high) = s.values(), map(F.lit, pivots[s.column])
-        return F.struct(
-            F.count_if(value < low).alias("below"),
-            F.count_if(value == low).alias("at_low"),
-            F.count_if((value > low) & (value < high)).alias("between"),
-            F.count_if((value == high) & (high > low)).alias("at_high"),
-        ).alias(s.column)
-
-    shares = measures.agg(*[share(s) for s in searches]).first()
+    """One scan: exact counts around the pivots of each search, and a sketch of what lies between.
+    A search without pivots gets a sketch of its range."""
+    summed, sketched, grids = {}, {}, []
+    for s in searches:
+        value, name = s.values(), s.column
+        if s.pivots is not None:
+            low, high = map(F.lit, s.pivots)
+            parts = {
+                "below": value < low,
+                "at_low": value == low,
+                "between": (value > low) & (value < high),
+                "at_high": (value == high) & (high > low),
+            }
+            summed |= {f"{name}_{part}": F.count_if(inside) for part, inside in parts.items()}
+            value = F.when(parts["between"], value)
+        summed[f"{name}_left"] = F.count(value)
+        sketched[f"{name}_sketch"] = value
+        grids.append(_values_at(f"{name}_sketch", _GRID, F.col(f"{name}_left")).alias(f"{name}_grid"))
+    row = _merged(measures, summed, sketched, _PIVOT_K).select(*map(F.col, summed), *grids).first()
     for s in searches:
-        _keep_part_with_rank(s, pivots[s.column], shares[s.column])
+        grid = row[f"{s.column}_grid"]
+        inside = s.pivots is None or _keep_part_with_rank(
+            s, {part: row[f"{s.column}_{part}"] for part in ("below", "at_low", "between", "at_high")}
+        )
+        # the sketch is of the range that is left only if the rank lies there
+        s.pivots = _around(grid, s.at_rank()) if inside and s.found is None else None
 
 
-def _keep_part_with_rank(s: _Search, pivots: list[float], share) -> None:
-    low, high = pivots
+def _keep_part_with_rank(s: _Search, share: dict[str, int]) -> bool:
+    """Narrow a search by exact counts; says whether what lies between the pivots is left."""
+    low, high = s.pivots
     to_low = share["below"] + share["at_low"]
     to_high = to_low + share["between"] + share["at_high"]
     if s.rank <= share["below"]:
@@ -151,10 +244,12 @@ def _keep_part_with_rank(s: _Search, pivots: list[float], share) -> None:
     elif s.rank <= to_low + share["between"]:
         s.low, s.high = low, high
         s.rank, s.rows = s.rank - to_low, share["between"]
+        return True
     elif s.rank <= to_high:
         s.found = high
     else:
         s.low, s.rank, s.rows = high, s.rank - to_high, s.rows - to_high
+    return False
 
 
 def active_threshold(history: DataFrame) -> DataFrame:

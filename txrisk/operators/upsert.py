@@ -11,18 +11,31 @@ from pyspark.sql import functions as F
 _HIT = "_hit"
 
 
-def matched_parts(target: DataFrame, source: DataFrame, key: str, part: str) -> DataFrame:
-    """Per value of ``part`` with matching keys: target rows hit, most source rows on one key.
+def matched_keys(target: DataFrame, source: DataFrame, key: str, parts: list[str]) -> DataFrame:
+    """Every key that both have, with its values of ``parts``: target rows of it, source rows of it.
 
-    Only key and part are read. The source is counted per key before the join, so a key that
+    Only key and parts are read. The source is counted per key before the join, so a key that
     repeats in it is one row of the join.
     """
-    copies = source.groupBy(part, key).agg(F.count("*").alias("copies"))
+    keys = list(dict.fromkeys([*parts, key]))
+    copies = source.groupBy(*keys).agg(F.count("*").alias("copies"))
     return (
-        target.select(part, key)
-        .join(copies, [part, key])
-        .groupBy(part)
-        .agg(F.count("*").alias("rows_hit"), F.max("copies").alias("most_copies"))
+        target.select(*keys)
+        .join(copies, keys)
+        .groupBy(*keys)
+        .agg(F.count("*").alias("rows_hit"), F.max("copies").alias("copies"))
+    )
+
+
+def matched_parts(
+    target: DataFrame, source: DataFrame, key: str, parts: str | list[str], matched: DataFrame | None = None
+) -> DataFrame:
+    """Per value of ``parts`` with matching keys: target rows hit, most source rows on one key.
+    ``matched`` are the matching keys (see ``matched_keys``), if the caller has them."""
+    parts = [parts] if isinstance(parts, str) else parts
+    matched = matched_keys(target, source, key, parts) if matched is None else matched
+    return matched.groupBy(*parts).agg(
+        F.sum("rows_hit").alias("rows_hit"), F.max("copies").alias("most_copies")
     )
 
 
@@ -48,8 +61,11 @@ def without_stored(source: DataFrame, target: DataFrame, columns: list[str]) ->
     return source.join(stored, reduce(and_, same), "left_anti")
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: str | list[str]) -> DataFrame:
-    """The target after the upsert: hit rows take the source's values, new keys are added.
+def merge_rows(
+    target: DataFrame, source: DataFrame, keys: str | list[str], matched: DataFrame | None = None
+) -> DataFrame:
+    """The target after the upsert: hit rows take the source's values, new keys are added. ``matched``
+    are the keys that both have, if the caller knows them; the target is then read once.
 
     Nothing is deleted and rows of a NULL key never match. Each source key may hit only if it
     is unique (see ``matched_parts``). Both joins keep their left side, which adaptive execution
@@ -70,5 +86,6 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: str | list[str]) -> D
             for name in names
         ]
     )
-    added = source.select(*names).join(target.select(*keys), keys, "left_anti")
+    stored = target if matched is None else matched
+    added = source.select(*names).join(stored.select(*keys), keys, "left_anti")
     return kept.unionByName(added.select(*names))

@@ -27,8 +27,9 @@ from txrisk.schemas import ALERTS, INGESTED_FILES, KEY_DAY
 from txrisk.sources.files import list_files, log_rows, new_files, processed_files, scan_files
 from txrisk.sources.tables import (
     append,
+    kept_once,
     overwrite,
-    part_values,
+    part_sizes,
     read_or_empty,
     read_table,
     replace_parts,
@@ -44,16 +45,22 @@ log = logging.getLogger(__name__)
 def ingest(spark: SparkSession, settings: Settings) -> int:
     """Store the rows of files not yet logged as done; returns the number of files.
 
-    Only file names pass through the driver, as every Spark file scan needs them there; files go
-    through in slices. The log is written last: after a failure in between, the files are read
-    again and their rows match.
+    Only file names pass through the driver, as every Spark file scan needs them there, a slice at a
+    time. The log is written last: after a failure in between, the files are read again and their
+    rows match.
     """
     done = processed_files(read_or_empty(spark, settings.control))
-    files = sorted(new_files(list_files(spark, settings.source_path), done).collect())
-    for first in range(0, len(files), settings.files_per_batch):
-        _ingest_files(spark, settings, files[first : first + settings.files_per_batch])
-    log.info("ingested %d files", len(files))
-    return len(files)
+    listed = kept_once(new_files(list_files(spark, settings.source_path), done))
+    count, last = 0, None
+    while True:
+        rest = listed if last is None else listed.where(F.col("source_file") > last)
+        files = rest.orderBy("source_file").limit(settings.files_per_batch).collect()
+        if not files:
+            break
+        _ingest_files(spark, settings, files)
+        count, last = count + len(files), files[-1]["source_file"]
+    log.info("ingested %d files", count)
+    return count
 
 
 def _ingest_files(spark: SparkSession, settings: Settings, files: list) -> None:
@@ -65,7 +72,7 @@ def _ingest_files(spark: SparkSession, settings: Settings, files: list) -> None:
         [file["path"] for file in files],
         lambda raw: to_bronze(raw, at, settings.source_columns, with_key_day=True),
     )
-    days = part_values(rows, KEY_DAY)
+    days = part_sizes(rows, KEY_DAY)
     # before the rows: a day that turns out to have no new row costs a look, a missing one costs rows
     written = spark.createDataFrame([(day,) for day in days], f"{KEY_DAY} string")
     append(spark, settings.ingest_days, written.select(at.alias("ingested_at"), KEY_DAY).coalesce(1))
@@ -119,7 +126,11 @@ class Batch:
     rows: DataFrame
     count: int
     high: int
-    days: list[str]
+    sizes: dict[str, int]  # rows of each of its days
+
+    @property
+    def days(self) -> list[str]:
+        return list(self.sizes)
 
 
 def next_batch(spark: SparkSession, settings: Settings, source, layer: str) -> Batch | None:
@@ -127,7 +138,7 @@ def next_batch(spark: SparkSession, settings: Settings, source, layer: str) -> B
 
     The log of ingests says which storage days rows above the mark can be in, so other days are not
     listed, whatever their files' times. One aggregate over two columns then gives emptiness, upper
-    bound, row count and the days that do hold rows.
+    bound, row count and the days that do hold rows, by day.
     """
     mark = get_watermark(spark, settings.watermarks, layer)
     low = None if mark is None else instant(mark)
@@ -136,15 +147,17 @@ def next_batch(spark: SparkSession, settings: Settings, source, layer: str) -> B
         ingests = read_table(spark, settings.ingest_days)
         written = [row[0] for row in days_after(ingests, low).collect()]
         stored = stored.where(F.col(KEY_DAY).isin(written))
-    bounds = batch_bounds(rows_after(stored, low), F.collect_set(KEY_DAY).alias("days"))
-    found = bounds.withColumn("high", F.unix_micros("max_ingested_at")).first()
-    if found["batch_rows"] == 0:
+    bounds = batch_bounds(rows_after(stored, low), KEY_DAY)
+    found = bounds.withColumn("high", F.unix_micros("max_ingested_at")).collect()
+    if not found:
         log.info("no new rows for %s", layer)
         return None
-    if found["high"] is None:
+    sizes = {row[KEY_DAY]: row["batch_rows"] for row in found}
+    high = max((row["high"] for row in found if row["high"] is not None), default=None)
+    if high is None:
         raise WatermarkError(f"no ingest time to move the {layer} watermark to")
-    rows = rows_after(stored, low, instant(found["high"])).where(F.col(KEY_DAY).isin(found["days"]))
-    return Batch(rows, found["batch_rows"], found["high"], found["days"])
+    rows = rows_after(stored, low, instant(high)).where(F.col(KEY_DAY).isin(list(sizes)))
+    return Batch(rows, sum(sizes.values()), high, sizes)
 
 
 def check_quality(scored: DataFrame, bronze_count: int) -> dict[str, float]:
@@ -185,7 +198,7 @@ def score(spark: SparkSession, settings: Settings) -> int:
         settings.silver,
         scored,
         "transaction_id",
-        batch.days,
+        batch.sizes,
         on_duplicate=settings.on_duplicate,
         gather=False,  # Bronze files hold one day each
         replayed=["ingested_at", "source_file"],
@@ -217,7 +230,7 @@ def publish_gold(spark: SparkSession, settings: Settings) -> int:
         settings.gold_alerts,
         found,
         "transaction_id",
-        batch.days,
+        batch.sizes,
         on_duplicate=settings.on_duplicate,
         replayed=[name for name in ALERTS.names if name != "transaction_id"],
     )

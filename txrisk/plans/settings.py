@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from txrisk import schemas
 from txrisk.sources.tables import Table
@@ -17,6 +17,8 @@ class Settings:
     ``source_columns`` names the raw columns of the source files where they differ from ours.
     ``gather_source=False`` stores source rows without a shuffle; choose it if each source file
     holds only a few days. New files are ingested ``files_per_batch`` at a time, until none is left.
+    A stored day is divided into buckets of about ``bucket_rows`` rows, by its rows when it is first
+    stored; a bucket is what a correction rewrites.
     """
 
     source_path: str
@@ -37,19 +39,24 @@ class Settings:
     on_duplicate: str = "merge"
     gather_source: bool = True
     files_per_batch: int = 1_000
+    bucket_rows: int = schemas.BUCKET_ROWS
     source_columns: Mapping[str, str] = field(default_factory=dict)
 
     def _table(self, name: str, schema, part: str | None = None) -> Table:
         place = f"{self.location.rstrip('/')}/{name.replace('.', '/')}" if self.location else None
         return Table(name, schema, part, place)
 
+    def _keyed(self, name: str, schema) -> Table:
+        table = self._table(name, schema, schemas.KEY_DAY)
+        return replace(table, key="transaction_id", bucket_rows=self.bucket_rows)
+
     @property
     def bronze(self) -> Table:
-        return self._table(self.bronze_table, schemas.BRONZE, schemas.KEY_DAY)
+        return self._keyed(self.bronze_table, schemas.BRONZE)
 
     @property
     def silver(self) -> Table:
-        return self._table(self.silver_table, schemas.SILVER, schemas.KEY_DAY)
+        return self._keyed(self.silver_table, schemas.SILVER)
 
     @property
     def control(self) -> Table:
@@ -85,4 +92,4 @@ class Settings:
 
     @property
     def gold_alerts(self) -> Table:
-        return self._table(self.gold_alerts_table, schemas.ALERTS, schemas.KEY_DAY)
+        return self._keyed(self.gold_alerts_table, schemas.ALERTS)

@@ -112,8 +112,11 @@ RISK_THRESHOLDS = _schema(
     valid_to=_INSTANT,
 )
 
-# Physical partition column of the keyed tables; not part of any contract.
+# Physical partition columns of the keyed tables, a day and leading digits of the key; not part of any
+# contract. A bucket of a day is to hold about so many rows, some 100 MB of Silver.
 KEY_DAY = "key_day"
+KEY_BUCKET = "key_bucket"
+BUCKET_ROWS = 1_000_000
 
 
 def conform(

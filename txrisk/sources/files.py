@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+from pyarrow import fs, parquet
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -17,6 +20,8 @@ from txrisk.schemas import FILE_DONE
 _PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 _MAX_LIST_TASKS = 1_000
 _FOOTER_THREADS = 16
+_FOOTERS_PER_TASK, _MAX_FOOTER_TASKS = 16, 256
+_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
 _URI_PREFIX = "^[^:/]+:(//[^/]*)?"
 
 
@@ -58,18 +63,57 @@ def new_files(listed: DataFrame, processed: DataFrame) -> DataFrame:
     return listed.join(processed, "source_file", "left_anti")
 
 
+def _footer_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What two files of one schema have in common in their footers; NULL for a file that cannot be
+    opened here, whatever the reason: Spark's reader has the last word on it."""
+    for batch in batches:
+        marks = []
+        for path in batch.column(0).to_pylist():
+            try:
+                system, place = _file_system(path)
+                with system.open_input_file(place) as file:
+                    footer = parquet.ParquetFile(file).metadata
+                spark_schema = (footer.metadata or {}).get(_SPARK_SCHEMA, b"")
+                text = f"{footer.schema}".split("\n", 1)[1].encode() + b"|" + spark_schema
+                marks.append(hashlib.sha256(text).hexdigest())
+            except (OSError, pa.ArrowException, ValueError):
+                marks.append(None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], ["path", "mark"])
+
+
+def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+
+
 def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
-    """The files by the schema in their footers, in order of their first file. Only footers are read,
-    several at a time; the paths are literal."""
-    literal = [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for path in paths]
+    """The files by the schema in their footers, in order of their first file; the paths are literal.
+
+    Footers are read in the tasks of one job, and Spark is asked for the schema of one file of each kind,
+    so the number of jobs depends on how many schemas there are, not on how many files. Only a file
+    that the tasks cannot open (a store that only Spark's readers know, or a broken file, which
+    Spark then names) is asked for by itself.
+    """
+    tasks = max(1, min(_MAX_FOOTER_TASKS, len(paths) // _FOOTERS_PER_TASK))
+    rows = spark.createDataFrame([(path,) for path in paths], "path string").repartition(tasks)
+    marks = dict(rows.mapInArrow(_footer_marks, "path string, mark string").collect())
+    first: dict[str, str] = {}
+    for path in paths:
+        first.setdefault(marks[path] or path, path)
     with ThreadPoolExecutor(_FOOTER_THREADS) as pool:
-        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, literal))
+        schemas = dict(zip(first, pool.map(lambda path: spark.read.parquet(_literal(path)).schema, first.values())))
     groups: dict[str, tuple[StructType, list[str]]] = {}
-    for schema, path in zip(schemas, literal):
-        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    for path in paths:
+        schema = schemas[marks[path] or path]
+        groups.setdefault(schema.json(), (schema, []))[1].append(_literal(path))
     return list(groups.values())
 
 
+def _literal(path: str) -> str:
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def scan_files(
     spark: SparkSession,
     paths: list[str],

@@ -1,74 +1,117 @@
-"""Catalog tables on Parquet: create, read, append, replace parts, upsert.
+"""Catalog tables on Parquet: create, read, append, replace parts, upsert, compact.
 
-A keyed table is partitioned by a column that two rows of one key always share. An upsert then
-reads and rewrites only the parts where keys match, and appends everything else; the rest of the
-table is not touched. Tables carry the option that makes INSERT OVERWRITE replace just the parts
-it writes: Spark stages the new files and swaps them in when the job commits, so a failed or
-retried task leaves the old rows in place.
+A keyed table is partitioned by a column that two rows of one key always share (a day), and each of
+its parts by leading digits of the key into buckets, as many as its rows ask for. An upsert then reads
+and rewrites only the buckets where keys match, and appends everything else; the rest of the table is
+not touched.
+
+Nothing is ever replaced in place. New files go to a place of their own, a line in the table's swap log
+says which parts move there, and then the catalog is told. A failure before the line leaves the old rows;
+after it, the next write of the table, or the next session that opens it, finishes the move. So readers
+see the old files of a part or the new ones, never none.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from txrisk.errors import DuplicateKeyError, MissingTableError
+from txrisk.functions.instants import now_micros
 from txrisk.operators.upsert import (
     duplicate_keys,
     keep_last,
+    matched_keys,
     matched_parts,
     merge_rows,
     without_stored,
 )
+from txrisk.schemas import BUCKET_ROWS, KEY_BUCKET
+
+#: The bucket of a part that is not divided.
+UNDIVIDED = "all"
+_MOST_DIGITS = 4
+_APPLIED = "txrisk.swaps"
+_SWAP = StructType([StructField(name, StringType()) for name in ("swap", "part", "place")])
+#: The directory of rows without a part.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
 class Table:
-    """A table's name, contract, part column (if any) and directory (if not managed)."""
+    """A table's name, contract, part column (if any) and directory (if not managed).
+
+    ``key`` names a column of hexadecimal digits; parts are then divided by its leading digits into
+    buckets of about ``bucket_rows`` rows.
+    """
 
     name: str
     schema: StructType
     part: str | None = None
     location: str | None = None
+    key: str | None = None
+    bucket_rows: int = BUCKET_ROWS
+
+    @property
+    def parts(self) -> list[str]:
+        """The partition columns."""
+        return [name for name in (self.part, KEY_BUCKET if self.key else None) if name]
 
     @property
     def columns(self) -> list[str]:
-        """Physical column order: the part column comes last."""
-        own = [name for name in self.schema.names if name != self.part]
-        return own + ([self.part] if self.part else [])
+        """Physical column order: the partition columns come last."""
+        own = [name for name in self.schema.names if name not in self.parts]
+        return own + self.parts
 
-    def ddl(self) -> str:
+    @property
+    def types(self) -> StructType:
         fields = {f.name: f for f in self.schema}
-        typed = [fields.get(name, StructField(name, StringType())) for name in self.columns]
-        return StructType(typed).toDDL()
+        return StructType([fields.get(name, StructField(name, StringType())) for name in self.columns])
+
+
+# --- existence -------------------------------------------------------------------------------
 
 
 def table_exists(spark: SparkSession, table: Table) -> bool:
     """Whether the table is known. One left in its directory by an earlier session is re-attached."""
     if spark.catalog.tableExists(table.name):
         return True
-    if table.location is None or not _directory_exists(spark, table.location):
+    if table.location is None:
+        return False
+    rows, swaps = _readable(spark, table.location), _readable(spark, _log(spark, table))
+    if not rows and not swaps:
         return False
     _create(spark, table)
-    if table.part:
+    if table.part and rows:
         spark.catalog.recoverPartitions(table.name)
+    finish_swaps(spark, table)
     return True
 
 
-def _directory_exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _create(spark: SparkSession, table: Table) -> None:
-    parts = f"PARTITIONED BY (`{table.part}`)" if table.part else ""
-    place = "LOCATION '{}'".format(table.location.replace("'", "\\'")) if table.location else ""
-    options = "OPTIONS ('partitionOverwriteMode' = 'dynamic')"
-    spark.sql(f"CREATE TABLE {table.name} ({table.ddl()}) USING parquet {options} {parts} {place}")
+    parts = "PARTITIONED BY ({})".format(", ".join(f"`{p}`" for p in table.parts)) if table.part else ""
+    place = f"LOCATION {_quoted(table.location)}" if table.location else ""
+    spark.sql(f"CREATE TABLE {table.name} ({table.types.toDDL()}) USING parquet {parts} {place}")
 
 
 def ensure_table(spark: SparkSession, table: Table) -> bool:
@@ -80,7 +123,7 @@ def ensure_table(spark: SparkSession, table: Table) -> bool:
 
 
 def stored_rows(spark: SparkSession, table: Table) -> DataFrame:
-    """All columns as stored, the part column included."""
+    """All columns as stored, the partition columns included."""
     if not table_exists(spark, table):
         raise MissingTableError(f"table {table.name} does not exist yet")
     return spark.table(table.name)
@@ -97,43 +140,196 @@ def read_or_empty(spark: SparkSession, table: Table) -> DataFrame:
     return spark.createDataFrame([], table.schema)
 
 
+# --- swaps -----------------------------------------------------------------------------------
+
+
+def _root(spark: SparkSession, table: Table) -> str:
+    if table.location:
+        return table.location.rstrip("/")
+    *database, name = table.name.split(".")
+    owner = ".".join(database) or spark.catalog.currentDatabase()
+    return f"{spark.catalog.getDatabase(owner).locationUri.rstrip('/')}/{name}"
+
+
+def _log(spark: SparkSession, table: Table) -> str:
+    return f"{_root(spark, table)}.swaps"
+
+
+def _swap(spark: SparkSession, table: Table, rows: DataFrame) -> None:
+    """Replace every part that occurs in ``rows``, or the whole table if it has no parts."""
+    done = finish_swaps(spark, table)
+    swap = f"{now_micros():020d}-{uuid.uuid4().hex}"
+    place = f"{_root(spark, table)}.versions/{swap}"
+    (rows.write.partitionBy(*table.parts) if table.part else rows.write).parquet(place)
+    places = _places(spark, table, place)
+    if places:
+        _record(spark, table, swap, places)
+        _apply(spark, table, places, swap, done + 1)
+
+
+def _places(spark: SparkSession, table: Table, place: str) -> list[tuple[str, str]]:
+    """Where each part of a finished write is, by the names of its directories. Files are listed,
+    not read."""
+    if not table.part:
+        return [("", place)]
+    depth, found = len(table.parts), set()
+    for path in spark.read.schema(table.types).parquet(place).inputFiles():
+        steps = unquote(path).rsplit("/", depth + 1)[1:-1]
+        found.add(("/".join(steps), "/".join([place, *steps])))
+    return sorted(found)
+
+
+def _record(spark: SparkSession, table: Table, swap: str, places: list[tuple[str, str]]) -> None:
+    """One file of the log, which is there whole or not at all."""
+    rows = spark.createDataFrame([(swap, *place) for place in places], _SWAP)
+    rows.coalesce(1).write.mode("append").parquet(_log(spark, table))
+
+
+def finish_swaps(spark: SparkSession, table: Table) -> int:
+    """Apply recorded swaps that the catalog does not have yet, in their order; may be repeated.
+    Returns how many the log has. It is read only if it has more than the catalog knows of."""
+    log = _log(spark, table)
+    if not _readable(spark, log):
+        return 0
+    rows = spark.read.schema(_SWAP).parquet(log)
+    files = len(rows.inputFiles())
+    count, last = _applied(spark, table)
+    if files > count:
+        newest = F.max_by("place", "swap").alias("place")
+        moved = rows.where(F.col("swap") > last).groupBy("part").agg(newest, F.max("swap").alias("swap"))
+        found = moved.collect()
+        if found:
+            places = [(row["part"], row["place"]) for row in found]
+            _apply(spark, table, places, max(row["swap"] for row in found), files)
+    return files
+
+
+def _applied(spark: SparkSession, table: Table) -> tuple[int, str]:
+    """How many swaps the catalog knows, and the last one; locations and this mark are in one place."""
+    shown = {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {table.name}").collect()}
+    count, _, last = shown.get(_APPLIED, "0:").partition(":")
+    return int(count), last
+
+
+def _apply(spark: SparkSession, table: Table, places: list[tuple[str, str]], swap: str, count: int) -> None:
+    """Point the catalog at the new files of parts, then note that it is done."""
+    for part, place in places:
+        _move(spark, table, part, place)
+    spark.sql(f"ALTER TABLE {table.name} SET TBLPROPERTIES ('{_APPLIED}' = '{count}:{swap}')")
+    spark.catalog.refreshTable(table.name)
+
+
+def _move(spark: SparkSession, table: Table, part: str, place: str) -> None:
+    """``part`` is a part's directory below the table's, empty for the whole table."""
+    if not part:
+        spark.sql(f"ALTER TABLE {table.name} SET LOCATION {_quoted(place)}")
+        return
+    values = [unquote(step.split("=", 1)[1]) for step in part.split("/")]
+    spec = ", ".join(
+        f"`{name}` = {'NULL' if value == _NO_VALUE else _quoted(value)}" for name, value in zip(table.parts, values)
+    )
+    spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {_quoted(place)}")
+    spark.sql(f"ALTER TABLE {table.name} PARTITION ({spec}) SET LOCATION {_quoted(place)}")
+
+
+# --- buckets ---------------------------------------------------------------------------------
+
+
+def part_sizes(rows: DataFrame, part: str) -> dict[str, int]:
+    """The parts of a batch and their rows. A part is a day, a layer or a version: a short list."""
+    return {row[0]: row[1] for row in rows.groupBy(part).agg(F.count("*")).collect()}
+
+
+def stored_buckets(spark: SparkSession, table: Table) -> dict[str, list[str]]:
+    """Parts the catalog knows with their buckets, without a look at the rows."""
+    found: dict[str, list[str]] = {}
+    for row in spark.sql(f"SHOW PARTITIONS {table.name}").collect():
+        part, *bucket = [unquote(step.split("=", 1)[1]) for step in row[0].split("/")]
+        found.setdefault(part, []).extend(bucket)
+    return found
+
+
+def _digits(buckets: list[str]) -> int:
+    return 0 if not buckets or UNDIVIDED in buckets else len(buckets[0])
+
+
+def digits_for(rows: int, bucket_rows: int) -> int:
+    """Leading digits that leave a bucket about ``bucket_rows`` rows at most."""
+    digits = 0
+    while digits < _MOST_DIGITS and rows > bucket_rows * 16**digits:
+        digits += 1
+    return digits
+
+
+def bucket_of(table: Table, digits: dict[str, int]) -> Column:
+    """A row's bucket, given the digits of its part; a part that is not named is undivided."""
+    bucket = F.lit(UNDIVIDED)
+    for count in sorted(set(digits.values()) - {0}):
+        parts = [part for part, own in digits.items() if own == count]
+        prefix = F.substring(table.key, 1, count)
+        bucket = F.when(F.col(table.part).isin(parts), prefix).otherwise(bucket)
+    return bucket
+
+
+def dealt(
+    spark: SparkSession, table: Table, rows: DataFrame, sizes: dict[str, int] | None = None
+) -> DataFrame:
+    """Rows with the bucket each belongs to. A stored part keeps its digits; a new one gets as many
+    as its rows ask for. ``sizes`` are rows by part, if the caller knows them."""
+    if not table.key:
+        return rows
+    sizes = part_sizes(rows, table.part) if sizes is None else sizes
+    known = stored_buckets(spark, table)
+    digits = {
+        part: _digits(known[part]) if part in known else digits_for(size, table.bucket_rows)
+        for part, size in sizes.items()
+    }
+    return rows.withColumn(KEY_BUCKET, bucket_of(table, digits))
+
+
+# --- writes ----------------------------------------------------------------------------------
+
+
 def to_write(rows: DataFrame, table: Table, gather: bool = True) -> DataFrame:
-    """Rows in stored order, and with ``gather`` collected by part first.
+    """Rows in stored order, and with ``gather`` collected by part and bucket first.
 
     Gathering shuffles the rows so that a task does not open a file in every part; adaptive
     execution splits a large part over several tasks and merges small ones. Rows read from files
     that hold one part each need no gathering and are written without a shuffle.
     """
     ordered = rows.select(*table.columns)
-    return ordered.hint("rebalance", table.part) if gather and table.part else ordered
+    return ordered.hint("rebalance", *table.parts) if gather and table.part else ordered
 
 
-def append(spark: SparkSession, table: Table, rows: DataFrame, gather: bool = True) -> None:
-    ensure_table(spark, table)
+def append(
+    spark: SparkSession,
+    table: Table,
+    rows: DataFrame,
+    gather: bool = True,
+    sizes: dict[str, int] | None = None,
+) -> None:
+    if ensure_table(spark, table):
+        finish_swaps(spark, table)
+    rows = dealt(spark, table, rows, sizes)
     to_write(rows, table, gather).write.insertInto(table.name)
 
 
 def replace_parts(spark: SparkSession, table: Table, rows: DataFrame) -> None:
     """Replace the parts that occur in ``rows``; the rows may come from the table itself."""
     ensure_table(spark, table)
-    to_write(rows, table).write.insertInto(table.name, overwrite=True)
+    _swap(spark, table, to_write(rows, table))
 
 
 def overwrite(spark: SparkSession, table: Table, rows: DataFrame) -> None:
     """Replace a small snapshot table as a whole, written as one file."""
     ensure_table(spark, table)
-    rows.select(*table.columns).coalesce(1).write.insertInto(table.name, overwrite=True)
-
+    _swap(spark, table, rows.select(*table.columns).coalesce(1))
 
-def part_values(rows: DataFrame, part: str) -> list[str]:
-    """The distinct parts of a batch. A part is a day, a layer or a version: a short list."""
-    return [row[0] for row in rows.select(part).distinct().collect()]
 
-
-def stored_parts(spark: SparkSession, table: Table) -> set[str]:
-    """Values of the part column the catalog knows, without a look at the rows."""
-    shown = spark.sql(f"SHOW PARTITIONS {table.name}").collect()
-    return {unquote(row[0].split("=", 1)[1]) for row in shown}
+def kept_once(df: DataFrame) -> DataFrame:
+    """Written below the session's checkpoint folder, so that it is worked out once; a session without
+    one works it out at each use."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df
 
 
 def upsert(
@@ -141,14 +337,14 @@ def upsert(
     table: Table,
     source: DataFrame,
     key: str,
-    parts: list[str] | None = None,
+    parts: dict[str, int] | None = None,
     on_duplicate: str = "merge",
     gather: bool = True,
     replayed: list[str] | None = None,
 ) -> None:
     """Matching keys take the source's row, other source rows are added, nothing is deleted.
 
-    ``source`` must give the same rows each time it is read. ``parts`` are its part values, if
+    ``source`` must give the same rows each time it is read. ``parts`` are its rows by part, if
     the caller knows them. ``on_duplicate="merge"`` stops only where several source rows hit one
     target row, and adds repeated new keys as they are; ``"reject"`` stops at any repeated key;
     ``"keep_last"`` takes the last row of a key. ``replayed`` names columns that tell rows of an
@@ -156,40 +352,97 @@ def upsert(
     of the key and these columns are done and left out, so a write that was lost before its job
     finished can be run again.
     ``gather=False`` appends without a shuffle (see ``to_write``).
+
+    The keys that match are looked for once and kept. They say which buckets are rewritten; a bucket
+    without one is only appended to.
     """
     if on_duplicate not in ("merge", "reject", "keep_last"):
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
     if on_duplicate == "reject" and not duplicate_keys(source, key).isEmpty():
         raise DuplicateKeyError(f"source of {table.name} repeats values of {key}")
     if on_duplicate == "keep_last":
-        source = keep_last(source.select(*table.columns), key)
+        source = keep_last(source.select(*[c for c in table.columns if c != KEY_BUCKET]), key)
+    part = table.part
     if not ensure_table(spark, table):
-        append(spark, table, source, gather)
+        append(spark, table, source, gather, parts)
         return
-
-    part = table.part
-    parts = part_values(source, part) if parts is None else parts
+    finish_swaps(spark, table)
+    parts = part_sizes(source, part) if parts is None else parts
     # days the table does not have can hold no match: their rows are never probed
-    known = sorted(stored_parts(spark, table).intersection(parts))
+    known = sorted(set(stored_buckets(spark, table)).intersection(parts))
     if not known:
-        append(spark, table, source, gather)
+        append(spark, table, source, gather, parts)
         return
+
+    source = dealt(spark, table, source, parts)
     in_batch = stored_rows(spark, table).where(F.col(part).isin(known))
-    in_known = source.where(F.col(part).isin(known))
-    hits = matched_parts(in_batch, in_known, key, part).collect()
+    matched, hits = _matches(in_batch, source.where(F.col(part).isin(known)), key, table.parts)
     if replayed and any(hit["most_copies"] > 1 for hit in hits):
         # equal keys share a part, so only rows of known parts can be stored already
         source = without_stored(source, in_batch, [part, key, *replayed])
-        in_known = source.where(F.col(part).isin(known))
-        hits = matched_parts(in_batch, in_known, key, part).collect()
+        matched, hits = _matches(in_batch, source.where(F.col(part).isin(known)), key, table.parts)
     if any(hit["most_copies"] > 1 for hit in hits):
         raise DuplicateKeyError(f"several source rows share one stored {key} of {table.name}")
 
-    rewritten = [hit[part] for hit in hits]
-    if rewritten:
-        inside = F.col(part).isin(rewritten)
-        merged = merge_rows(in_batch.where(inside), source.where(inside), list(dict.fromkeys([part, key])))
-        replace_parts(spark, table, merged)
-    if set(parts) - set(rewritten):
-        rest = source.where(~F.col(part).isin(rewritten)) if rewritten else source
-        append(spark, table, rest, gather)
+    if not hits:
+        to_write(source, table, gather).write.insertInto(table.name)
+        return
+    inside = _in_buckets(table, hits)
+    keys = list(dict.fromkeys([*table.parts, key]))
+    replace_parts(spark, table, merge_rows(in_batch.where(inside), source.where(inside), keys, matched))
+    if table.key or set(parts) - {hit[part] for hit in hits}:
+        to_write(source.where(~inside), table, gather).write.insertInto(table.name)
+
+
+def _matches(target: DataFrame, source: DataFrame, key: str, parts: list[str]) -> tuple[DataFrame, list]:
+    """The matching keys, kept, and for each part or bucket with any: target rows hit, most source
+    rows on one key."""
+    matched = kept_once(matched_keys(target, source, key, parts))
+    return matched, matched_parts(target, source, key, parts, matched).collect()
+
+
+def _in_buckets(table: Table, hits: list) -> Column:
+    """Rows of the parts, and buckets of them, that have a hit; reaches partition pruning."""
+    if not table.key:
+        return F.col(table.part).isin([hit[table.part] for hit in hits])
+    by_buckets: dict[tuple[str, ...], list[str]] = {}
+    found: dict[str, list[str]] = {}
+    for hit in hits:
+        found.setdefault(hit[table.part], []).append(hit[KEY_BUCKET])
+    for part, buckets in found.items():
+        by_buckets.setdefault(tuple(sorted(buckets)), []).append(part)
+    inside = F.lit(False)
+    for buckets, own in by_buckets.items():
+        inside = inside | (F.col(table.part).isin(own) & F.col(KEY_BUCKET).isin(list(buckets)))
+    return inside
+
+
+# --- compaction ------------------------------------------------------------------------------
+
+
+def part_files(spark: SparkSession, table: Table) -> DataFrame:
+    """(part, files, rows, file_bytes) of every part, from what a scan knows of its files."""
+    rows = stored_rows(spark, table).select(
+        table.part, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size")
+    )
+    files = rows.groupBy(table.part, "file").agg(F.count("*").alias("rows"), F.max("size").alias("size"))
+    return files.groupBy(table.part).agg(
+        F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum("size").alias("file_bytes")
+    )
+
+
+def compact(spark: SparkSession, table: Table, file_bytes: int, most_files: int) -> list[str]:
+    """Rewrite the parts that have more than ``most_files`` files to a bucket and more than their size
+    in files of ``file_bytes`` asks for; returns them. Rows and buckets stay as they are."""
+    if not table_exists(spark, table):
+        return []
+    finish_swaps(spark, table)
+    buckets = stored_buckets(spark, table)
+    many = [
+        row[table.part]
+        for row in part_files(spark, table).collect()
+        if row["files"] > most_files * max(1, len(buckets[row[table.part]])) + row["file_bytes"] // file_bytes
+    ]
+    if many:
+        replace_parts(spark, table, stored_rows(spark, table).where(F.col(table.part).isin(many)))
+    return sorted(many)

@@ -20,10 +20,11 @@ def rows_after(df: DataFrame, low: Column | None, high: Column | None = None) ->
     return df
 
 
-def batch_bounds(df: DataFrame, *extra: Column) -> DataFrame:
-    """One row: how many rows a batch has and the newest ingest time (NULL if empty)."""
-    return df.agg(
-        F.count("*").alias("batch_rows"), F.max("ingested_at").alias("max_ingested_at"), *extra
+def batch_bounds(df: DataFrame, *by: str) -> DataFrame:
+    """How many rows a batch has and the newest ingest time: one row (NULL time if empty), or one for
+    each value of ``by`` that it holds."""
+    return df.groupBy(*by).agg(
+        F.count("*").alias("batch_rows"), F.max("ingested_at").alias("max_ingested_at")
     )
 
 
