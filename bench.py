@@ -55,7 +55,7 @@ def deployment(spark: SparkSession) -> Settings:
     name = f"b{uuid.uuid4().hex}"
     folder = f"{spark.sparkContext.getCheckpointDir()}/{name}"
     tables = (
-        "bronze silver control ingest_day watermark threshold gate_result "
+        "bronze silver control ingest_day watermark threshold gate_result day_sketch "
         "gold_total gold_risk gold_operational gold_alerts"
     ).split()
     return Settings(

@@ -34,9 +34,10 @@ _PIVOT_MARGIN = 0.0015
 _GRID = [i / 256 for i in range(257)]
 
 
-def calibration_input(bronze: DataFrame) -> DataFrame:
-    """The three calibrated measures; four Bronze columns are scanned for them."""
-    return bronze.select("amount", *[c.alias(n) for n, c in balance_ratios().items()])
+def calibration_input(bronze: DataFrame, *keep: str) -> DataFrame:
+    """The three calibrated measures, after the columns to keep; four Bronze columns are scanned for
+    them."""
+    return bronze.select(*keep, "amount", *[c.alias(n) for n, c in balance_ratios().items()])
 
 
 def _merged(rows: DataFrame, summed: dict[str, Column], sketched: dict[str, Column], k: int, by=()) -> DataFrame:
@@ -87,6 +88,19 @@ def merged_sketches(parts: DataFrame) -> DataFrame:
     return found
 
 
+def day_sketches(bronze: DataFrame, day: str) -> DataFrame:
+    """``sketches`` of each day's rows. They are as large as a sketch, however many rows a day has."""
+    return sketches(calibration_input(bronze, day), by=(day,))
+
+
+def window(sketched: DataFrame, day: str, days: int) -> DataFrame:
+    """The stored sketches of the newest day and the ``days`` - 1 before it. Rows without a date are in
+    no window."""
+    dated = sketched.withColumn("_date", F.try_to_date(day, "yyyy-MM-dd"))
+    newest = dated.agg(F.max("_date")).first()[0]
+    return dated.where(F.col("_date") > F.date_sub(F.lit(newest), days)).drop("_date")
+
+
 def sketched_thresholds(sketch: DataFrame, fraction: str = THRESHOLD_PERCENTILE) -> DataFrame:
     """One row of percentiles from the one row of ``sketches``: the value whose rank reaches the
     fraction. NaN ranks above every number. NULL where there is no value."""

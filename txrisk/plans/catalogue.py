@@ -25,7 +25,8 @@ from txrisk.plans.settings import Settings
 from txrisk.plans.state import calculate_thresholds
 from txrisk.schemas import APPROX_ACCURACY, BRONZE, KEY_DAY, RAW, THRESHOLD_PERCENTILE, conform
 from txrisk.sources import files
-from txrisk.sources.tables import append, read_table
+from txrisk.sources.tables import append, part_files, read_table, stored_rows
+from txrisk.sources.tables import upsert as upsert_rows
 from txrisk.sources.transfers import transfers
 from txrisk.streaming import progress
 
@@ -491,7 +492,7 @@ def _deploy(spark) -> Settings:
     names = {
         f"{table}_table": f"{table}_{run}"
         for table in (
-            "bronze silver control ingest_day watermark threshold gate_result "
+            "bronze silver control ingest_day watermark threshold gate_result day_sketch "
             "gold_total gold_risk gold_operational gold_alerts".split()
         )
     }
@@ -603,6 +604,82 @@ def recalibrate_job(spark, sf_dir):
     return _versions(spark, deployed)
 
 
+WINDOW_DAYS = 7
+
+
+def window_thresholds(spark, sf_dir):
+    """Thresholds of the last days after each of two deliveries, merged from stored sketches. Sketches
+    hold so many values that at this size they are exact."""
+    deployed = _deploy(spark)
+    for batch in (_first_batch, _second_batch):
+        _deliver(batch(spark, sf_dir), deployed)
+        jobs.ingest(spark, deployed)
+        jobs.recalibrate_window(spark, deployed, WINDOW_DAYS)
+    return _versions(spark, deployed)
+
+
+def day_sketches(spark, sf_dir):
+    """What the stored sketches say of each day: values, and the amount at the percentile."""
+    deployed = _deploy(spark)
+    for batch in (_first_batch, _second_batch):
+        _deliver(batch(spark, sf_dir), deployed)
+        jobs.ingest(spark, deployed)
+        jobs.refresh_sketches(spark, deployed)
+    amount = F.kll_sketch_get_quantile_double("amount_sketch", F.lit(float(THRESHOLD_PERCENTILE)))
+    return read_table(spark, deployed.day_sketches).select(
+        KEY_DAY, "amount_count", "amount_nan", amount.alias("p95_amount")
+    )
+
+
+def stream_ingest(spark, sf_dir):
+    """Two deliveries through the file stream, each by a new run on one checkpoint; a third run finds
+    nothing new."""
+    deployed = _deploy(spark)
+    checkpoint = f"{_folder(spark)}/stream"
+    for batch in (_first_batch, _second_batch):
+        _deliver(batch(spark, sf_dir), deployed)
+        jobs.ingest_stream(spark, deployed, checkpoint)
+    if jobs.ingest_stream(spark, deployed, checkpoint):
+        raise AssertionError("the stream took files twice")
+    return read_table(spark, deployed.bronze).select("transaction_id", "event_time", "amount", "is_fraud")
+
+
+def corrected_bucket(spark, sf_dir):
+    """Transfers of one day sent again, into days of many buckets: which stored rows were written anew."""
+    deployed = replace(_deploy(spark), bucket_rows=50)
+    raw = transfers(spark, sf_dir).withColumn(bronze.SOURCE_PATH, _day_file())
+    rows = bronze.to_bronze(raw, _moment(LOADED_AT), with_key_day=True)
+    upsert_rows(spark, deployed.bronze, rows, "transaction_id")
+    before = _place_of_rows(spark, deployed).alias("before")
+    kept = before.checkpoint()
+    resent = rows.where((F.to_date("event_time") == F.lit(FILES_DONE_TO).cast("date")) & F.col("transaction_id").startswith("a"))
+    upsert_rows(spark, deployed.bronze, resent.withColumn("is_fraud", 1 - F.col("is_fraud")), "transaction_id")
+    after = _place_of_rows(spark, deployed).alias("after")
+    moved = F.col("before.file") != F.col("after.file")
+    return kept.alias("before").join(after, "transaction_id").select(
+        "transaction_id", F.col("after.is_fraud").alias("is_fraud"), moved.alias("rewritten")
+    )
+
+
+def _place_of_rows(spark, deployed):
+    return stored_rows(spark, deployed.bronze).select(
+        "transaction_id", "is_fraud", F.col("_metadata.file_path").alias("file")
+    )
+
+
+def compacted_days(spark, sf_dir):
+    """Ten late batches that all reach into the same days, then compaction: rows of each day, and
+    whether its files are as few as a compacted day's."""
+    deployed = replace(_deploy(spark), files_per_bucket=2)
+    for late in range(10):
+        rows = transfers(spark, sf_dir).where(F.pmod(F.xxhash64("payer_id", "event_time"), F.lit(10)) == late)
+        _deliver(rows, deployed)
+        jobs.ingest(spark, deployed)
+    jobs.compact_tables(spark, deployed)
+    found = part_files(spark, deployed.bronze)
+    return found.select(KEY_DAY, F.col("rows").alias("row_count"), (F.col("files") <= 2).alias("few_files"))
+
+
 def _versions(spark, deployed):
     rows = read_table(spark, deployed.thresholds)
     return rows.select(*calibration.METRICS, F.col("valid_to").isNull().alias("is_active"))
@@ -667,6 +744,11 @@ QUERIES = {
         upsert_matches,
         upsert_keep_last,
         ingest_job,
+        stream_ingest,
+        corrected_bucket,
+        compacted_days,
+        day_sketches,
+        window_thresholds,
         bootstrap_job,
         bootstrap_job_approximate,
         recalibrate_job,

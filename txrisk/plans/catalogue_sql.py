@@ -283,6 +283,32 @@ ORACLES = {
     "ingest_job": f"""WITH {TRANSFERS}, {BATCHES}
         SELECT transaction_id, event_time, amount, is_fraud FROM stored""",
     "bootstrap_job": f"{WITH_STORED_SCORED} SELECT *, true AS is_active FROM limits",
+    "window_thresholds": f"""WITH {TRANSFERS}, {_features('keyed')}, days AS (
+        SELECT *, CAST(event_time AS date) AS day FROM features),
+        ends AS (
+          SELECT max(day) AS last, true AS is_active FROM days
+          UNION ALL SELECT max(day), false FROM days WHERE {FIRST_BATCH})
+        SELECT quantile_disc(amount, 0.95) AS p95_amount,
+               quantile_disc(residual_balance_ratio, 0.95) AS p95_residual_balance_ratio,
+               quantile_disc(payee_amount_ratio, 0.95) AS p95_payee_amount_ratio, is_active
+        FROM days JOIN ends ON day > last - 7 AND day <= last GROUP BY is_active""",
+    "day_sketches": f"""WITH {TRANSFERS}
+        SELECT CAST(CAST(event_time AS date) AS varchar) AS key_day, count(amount) AS amount_count,
+               CAST(0 AS bigint) AS amount_nan, quantile_disc(amount, 0.95) AS p95_amount
+        FROM transfers GROUP BY ALL""",
+    # a day of n transfers has as many leading digits as leave a bucket 50 of them
+    "corrected_bucket": f"""WITH {TRANSFERS}, days AS (
+          SELECT CAST(event_time AS date) AS day, count(*) AS n FROM transfers GROUP BY day),
+        buckets AS (
+          SELECT transaction_id, is_fraud, day, day = DATE '2024-01-15' AND transaction_id LIKE 'a%' AS resent,
+                 CASE WHEN n > 12800 THEN 3 WHEN n > 800 THEN 2 WHEN n > 50 THEN 1 ELSE 0 END AS digits
+          FROM keyed JOIN days ON day = CAST(event_time AS date))
+        SELECT transaction_id, CASE WHEN resent THEN 1 - is_fraud ELSE is_fraud END AS is_fraud,
+               bool_or(resent) OVER (PARTITION BY day, transaction_id[1:digits]) AS rewritten
+        FROM buckets""",
+    "compacted_days": f"""WITH {TRANSFERS}
+        SELECT CAST(CAST(event_time AS date) AS varchar) AS key_day, count(*) AS row_count, true AS few_files
+        FROM transfers GROUP BY ALL""",
     "recalibrate_job": f"""{WITH_STORED_SCORED}
         SELECT *, false AS is_active FROM limits
         UNION ALL
@@ -297,6 +323,7 @@ ORACLES = {
         SELECT transaction_id, event_time, payer_id, payee_id, amount, risk_score, risk_level
         FROM scored WHERE risk_score >= 3""",
 }
+ORACLES["stream_ingest"] = ORACLES["ingest_job"]
 ORACLES["thresholds_exact_narrowed"] = ORACLES["thresholds_exact"]
 ORACLES["bootstrap_job_approximate"] = ORACLES["thresholds_approx_bound"]
 ORACLES["risk_effectiveness_from_base"] = ORACLES["risk_effectiveness"]

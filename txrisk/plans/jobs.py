@@ -13,6 +13,7 @@ from txrisk.errors import NoActiveThresholdsError, QualityGateError, WatermarkEr
 from txrisk.functions.instants import instant, now_micros
 from txrisk.operators import gold
 from txrisk.operators.bronze import to_bronze
+from txrisk.operators.calibration import day_sketches
 from txrisk.operators.quality import quality_checks, quality_metrics
 from txrisk.operators.silver import to_silver
 from txrisk.plans.settings import Settings
@@ -22,11 +23,20 @@ from txrisk.plans.state import (
     get_watermark,
     publish_thresholds,
     set_watermark,
+    window_thresholds,
 )
 from txrisk.schemas import ALERTS, INGESTED_FILES, KEY_DAY
-from txrisk.sources.files import list_files, log_rows, new_files, processed_files, scan_files
+from txrisk.sources.files import (
+    list_files,
+    log_rows,
+    new_files,
+    processed_files,
+    scan_files,
+    stream_files,
+)
 from txrisk.sources.tables import (
     append,
+    compact,
     kept_once,
     overwrite,
     part_sizes,
@@ -90,6 +100,31 @@ def _ingest_files(spark: SparkSession, settings: Settings, files: list) -> None:
     append(spark, settings.control, log_rows(names, F.current_timestamp()).coalesce(1))
 
 
+def ingest_stream(spark: SparkSession, settings: Settings, checkpoint: str) -> int:
+    """The same ingest from a file stream: everything that is there now, ``files_per_batch`` files at a
+    time, then it ends; returns the number of files.
+
+    The stream's checkpoint says which files it has seen, so a run that follows lists and takes only
+    later ones. Names are all that streams; a slice is stored as in ``ingest`` and logged. A slice
+    that was lost before its checkpoint is given again, and files that the log has as done are left
+    out, so stream and plain ingest may also take turns.
+    """
+    taken = []
+
+    def store(names: DataFrame, _: int) -> None:
+        done = processed_files(read_or_empty(spark, settings.control))
+        files = new_files(names, done).orderBy("source_file").collect()
+        if files:
+            _ingest_files(spark, settings, files)
+        taken.append(len(files))
+
+    names = stream_files(spark, settings.source_path, settings.files_per_batch)
+    query = names.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    query.trigger(availableNow=True).start().awaitTermination()
+    log.info("ingested %d files of the stream", sum(taken))
+    return sum(taken)
+
+
 def newest_ingest(spark: SparkSession, settings: Settings) -> int | None:
     """The highest ingest instant given out so far, in microseconds."""
     ingests = read_or_empty(spark, settings.ingest_days)
@@ -110,6 +145,32 @@ def recalibrate(spark: SparkSession, settings: Settings) -> str:
     return version
 
 
+def refresh_sketches(spark: SparkSession, settings: Settings) -> list[str]:
+    """Bring the stored sketch of every day that got rows up to Bronze; returns those days.
+
+    A day's sketch is made anew from all its rows, as replaced rows cannot be taken out of one; other
+    days are not read."""
+    batch = next_batch(spark, settings, settings.bronze, "sketches")
+    if batch is None:
+        return []
+    rows = stored_rows(spark, settings.bronze).where(F.col(KEY_DAY).isin(batch.days))
+    replace_parts(spark, settings.day_sketches, day_sketches(rows, KEY_DAY))
+    set_watermark(spark, settings.watermarks, "sketches", batch.high)
+    return batch.days
+
+
+def recalibrate_window(spark: SparkSession, settings: Settings, days: int) -> str:
+    """Calibrate on the last ``days`` days and publish a new version; returns it.
+
+    Reads one stored sketch a day, and no transfers but those of days that changed since the last
+    time."""
+    refresh_sketches(spark, settings)
+    values = window_thresholds(read_table(spark, settings.day_sketches), days)
+    version = publish_thresholds(spark, settings.thresholds, values, now_micros())
+    log.info("published thresholds %s of %d days: %s", version, days, values)
+    return version
+
+
 def bootstrap_thresholds(spark: SparkSession, settings: Settings) -> str | None:
     """Publish a first version; does nothing (None) if one is active."""
     active = get_active_threshold(spark, settings.thresholds)
@@ -238,6 +299,15 @@ def publish_gold(spark: SparkSession, settings: Settings) -> int:
     return batch.count
 
 
+def compact_tables(spark: SparkSession, settings: Settings) -> dict[str, list[str]]:
+    """Rewrite days of the keyed tables that late batches left in many small files; returns them by
+    table. Rows stay as they are, and so do watermarks."""
+    return {
+        table.name: compact(spark, table, settings.file_bytes, settings.files_per_bucket)
+        for table in (settings.bronze, settings.silver, settings.gold_alerts)
+    }
+
+
 def use_checkpoint_dir(spark: SparkSession, folder: str | None = None) -> None:
     """Keep the folder the session names in spark.checkpoint.dir. A session without one takes the
     caller's; without either there is no place that every executor is known to reach."""

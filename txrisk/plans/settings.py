@@ -18,7 +18,8 @@ class Settings:
     ``gather_source=False`` stores source rows without a shuffle; choose it if each source file
     holds only a few days. New files are ingested ``files_per_batch`` at a time, until none is left.
     A stored day is divided into buckets of about ``bucket_rows`` rows, by its rows when it is first
-    stored; a bucket is what a correction rewrites.
+    stored; a bucket is what a correction rewrites. ``compact_tables`` rewrites days that have more than
+    ``files_per_bucket`` files to a bucket beyond what files of ``file_bytes`` ask for.
     """
 
     source_path: str
@@ -30,6 +31,7 @@ class Settings:
     watermark_table: str = "layer_watermarks"
     gate_result_table: str = "gate_results"
     threshold_table: str = "risk_thresholds"
+    day_sketch_table: str = "day_sketches"
     gold_total_table: str = "gold_totals"
     gold_risk_table: str = "gold_risk_effectiveness"
     gold_operational_table: str = "gold_operational"
@@ -40,6 +42,8 @@ class Settings:
     gather_source: bool = True
     files_per_batch: int = 1_000
     bucket_rows: int = schemas.BUCKET_ROWS
+    file_bytes: int = 256 << 20
+    files_per_bucket: int = 4
     source_columns: Mapping[str, str] = field(default_factory=dict)
 
     def _table(self, name: str, schema, part: str | None = None) -> Table:
@@ -78,6 +82,10 @@ class Settings:
     def thresholds(self) -> Table:
         return self._table(self.threshold_table, schemas.RISK_THRESHOLDS, "threshold_version")
 
+    @property
+    def day_sketches(self) -> Table:
+        return self._table(self.day_sketch_table, schemas.DAY_SKETCHES, schemas.KEY_DAY)
+
     @property
     def gold_totals(self) -> Table:
         return self._table(self.gold_total_table, schemas.GOLD_TOTALS, schemas.KEY_DAY)

@@ -14,9 +14,12 @@ from txrisk.operators.calibration import (
     approximate_thresholds,
     close_versions,
     exact_thresholds,
+    merged_sketches,
     new_version,
+    sketched_thresholds,
+    window,
 )
-from txrisk.schemas import VERSION_FORMAT
+from txrisk.schemas import KEY_DAY, VERSION_FORMAT
 from txrisk.sources.tables import Table, append, read_or_empty, read_table, replace_parts, table_exists
 from txrisk.streaming.progress import latest_watermarks
 
@@ -47,7 +50,16 @@ def get_active_threshold(spark: SparkSession, table: Table) -> Thresholds | None
 
 def calculate_thresholds(bronze: DataFrame, exact: bool = False) -> dict[str, float]:
     """Calibrated values by name; fails where the history gives none."""
-    values = (exact_thresholds if exact else approximate_thresholds)(bronze).first().asDict()
+    return _complete((exact_thresholds if exact else approximate_thresholds)(bronze))
+
+
+def window_thresholds(sketched: DataFrame, days: int) -> dict[str, float]:
+    """Values calibrated on stored sketches of the last days; fails where they hold none."""
+    return _complete(sketched_thresholds(merged_sketches(window(sketched, KEY_DAY, days))))
+
+
+def _complete(found: DataFrame) -> dict[str, float]:
+    values = found.first().asDict()
     empty = [name for name, value in values.items() if value is None]
     if empty:
         raise CalibrationError(f"no history to calibrate {', '.join(empty)} from")

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BinaryType,
     BooleanType,
     DataType,
     DateType,
@@ -103,6 +104,14 @@ LAYER_WATERMARKS = _schema(layer_name=_STRING, last_ingestion_timestamp=_INSTANT
 GATE_RESULTS = _schema(
     checked_to=_INSTANT, check_name=_STRING, observed=_DOUBLE, blocking=_FLAG, passed=_FLAG
 )
+DAY_SKETCHES = StructType(
+    _schema(key_day=_STRING).fields
+    + [
+        StructField(f"{measure}_{name}", dtype)
+        for measure in ("amount", "residual_balance_ratio", "payee_amount_ratio")
+        for name, dtype in (("count", _LONG), ("nan", _LONG), ("sketch", BinaryType()))
+    ]
+)
 RISK_THRESHOLDS = _schema(
     threshold_version=_STRING,
     p95_amount=_DOUBLE,

@@ -32,10 +32,7 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
     form a reader opens (the two differ where a name needs escaping). File contents are not
     read. ``directory`` must be absolute, or a full URI.
     """
-    location = re.sub(_URI_PREFIX, "", directory)
-    if location == directory and not directory.startswith("/"):
-        raise ValueError(f"source directory must be absolute: {directory}")
-    depth = len([step for step in location.split("/") if step]) + 1
+    depth = _depth(directory)
     listed = (
         spark.read.format("binaryFile")
         # Recursive so that names like a=b below it are not taken for partitions.
@@ -45,6 +42,17 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
         # Large files would make one task each, for one status request.
         .coalesce(_MAX_LIST_TASKS)
     )
+    return _at_depth(listed, depth)
+
+
+def _depth(directory: str) -> int:
+    location = re.sub(_URI_PREFIX, "", directory)
+    if location == directory and not directory.startswith("/"):
+        raise ValueError(f"source directory must be absolute: {directory}")
+    return len([step for step in location.split("/") if step]) + 1
+
+
+def _at_depth(listed: DataFrame, depth: int) -> DataFrame:
     steps = F.split(F.regexp_replace("path", _URI_PREFIX, ""), "/+")
     return listed.where(F.size(F.array_remove(steps, "")) == depth).select(
         F.col("_metadata.file_path").alias("source_file"),
@@ -54,6 +62,20 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def stream_files(spark: SparkSession, directory: str, files_per_batch: int) -> DataFrame:
+    """``list_files`` as a stream of files, so many to a batch; contents are not read."""
+    depth = _depth(directory)
+    stream = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", _PARQUET_GLOB)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(directory)
+    )
+    return _at_depth(stream, depth)
+
+
 def processed_files(log: DataFrame) -> DataFrame:
     """Distinct files that finished; a file logged with any other status may come back."""
     return log.where(F.col("status") == FILE_DONE).select("source_file").distinct()
