@@ -71,3 +71,18 @@ def test_components_of_a_chain_and_a_star(spark):
         **{i: 1 for i in range(1, 41)},
         **{100 + i: 100 for i in range(30)},
     }
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    text, other = prose(3, 60), prose(4, 60)
+    rows = [(1, text), (1, text), (2, text), (None, text), (None, text + " more"), (1, other), (7, other)]
+    rows += [(None, prose(5, 40)), (3, ""), (3, None), (None, " ")]
+    docs = frame(spark, rows, partitions=3)
+    left = near_dup.without_copies(docs)
+    assert left.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in left.collect()]
+    assert [x for x in found if x[1] and x[1].startswith(text)] == [(1, text)]
+    assert len([x for x in found if x[1] == other]) == 1 and (7, other) in found
+    assert (None, prose(5, 40)) in found
+    assert sorted(found, key=str)[-3:] and len(found) == 6
+    assert near_dup.without_copies(frame(spark, [])).collect() == []

@@ -138,8 +138,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     least class only. Classes already connected need no further pair. Buckets that still hold several
     components are settled by prefixes: sets in a common order, rarest shingles first, can only
     reach the similarity if they share one of their leading shingles, which is exact and leaves out
-    sets with many shingles of their own. No candidate is dropped, and no group is expanded into all
-    its pairs.
+    sets with many shingles of their own. No candidate is dropped. What is left to pair are sets of
+    different components with a leading shingle in common that fit by size and place: for documents
+    made from one short template these are a share of all pairs (see README).
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sketches = stored(rows.mapInArrow(_sketcher(k), _SKETCH), "sketches")
@@ -194,6 +195,35 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     )
 
 
+#: Names of rows that cannot go by their doc_id begin here; a real doc_id is taken to be lower.
+_SURROGATES = 1 << 62
+
+
+def without_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs, all columns as they are, but only one of each group of near copies.
+
+    Of a group the row with the smallest doc_id stays. Rows without a doc_id, and all but one of the rows
+    that share one, are documents by themselves and come after all others: copies among them go
+    like any copy, and different texts under one doc_id are each judged on their own. Rows without
+    words (null and empty texts too) are copies of nothing and stay. An empty table gives no rows.
+
+    The rows are numbered in a stored copy, so that a row keeps its number whatever is run again.
+    """
+    number, name = "_row_number", "_row_name"
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    again = rows.groupBy(F.col("doc_id").alias("_again")).agg(
+        F.min(number).alias("_first"), F.count("*").alias("_rows")
+    )
+    again = again.where("_rows > 1 OR _again IS NULL").drop("_rows")
+    own = F.col("doc_id").isNotNull() & (F.col("_first").isNull() | (F.col("_first") == F.col(number)))
+    named = rows.join(again, F.col("doc_id").eqNullSafe(F.col("_again")), "left").withColumn(
+        name, F.when(own, F.col("doc_id").cast("bigint")).otherwise(F.lit(_SURROGATES) + F.col(number))
+    )
+    judged = near_duplicates(named.select(F.col(name).alias("doc_id"), "text"), k, percent)
+    gone = judged.where("NOT kept").select(F.col("doc_id").alias(name))
+    return named.join(gone, name, "left_anti").select(*docs.columns)
+
+
 def _may_link(x: str, y: str, percent: int):
     """Sets whose sizes differ by more cannot reach the similarity."""
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)

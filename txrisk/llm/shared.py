@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,9 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder the session names in spark.checkpoint.dir. Only a session
-    without one, as in tests, gets a temporary folder."""
+    without one that runs in one process, as in tests, gets a temporary folder."""
     folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
         folder = tempfile.mkdtemp(prefix="txrisk-llm-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .shared import hash_sample, stored
 from .words import _LOWER_CODES, _POWERS, U64, Texts, find_words, mix, text_chunks
@@ -247,16 +248,20 @@ def held_out(doc_id) -> F.Column:
 
 def learning_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """(doc_id, text, toxic, half) of at most `rows` labelled documents that are not held out, the
-    same ones in every run, in two halves."""
+    same ones in every run, in two halves that share each class evenly. Of different texts under one
+    doc_id the one with the least digest is learnt from."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), "toxic")
     known = known.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
     known = hash_sample(known, rows, "sample", "doc_id")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int").alias("half")
     # at most `rows` rows of two numbers each
-    found = texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
-    return stored(found.select("doc_id", "text", "toxic", half), "labelled")
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    found = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id", "toxic")
+    found = stored(found.agg(F.min_by("text", digest).alias("text")), "labelled")
+    place = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit("half"), "doc_id"), "doc_id"))
+    halves = stored(found.select("doc_id", F.pmod(place, F.lit(2)).cast("int").alias("half")), "halves")
+    return found.join(F.broadcast(halves), "doc_id")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,8 +343,9 @@ def _features(network: Network):
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network:
     """A network learnt from labelled documents that are not held out.
 
-    Without rows of both classes there is nothing to learn, and every score is the share of toxic
-    rows, (toxic + 1) / (rows + 2)."""
+    With fewer than two rows of either class there is nothing to learn, and every score is the share of
+    toxic rows, (toxic + 1) / (rows + 2). Training takes SAMPLE_WINDOWS windows of each sampled
+    document, a bound of the training sample like the number of its rows; scoring reads every window."""
     sample = learning_rows(docs, labels, rows)
     counts = {(h, y): n for h, y, n in sample.groupBy("half", "toxic").count().collect()}
     if len(counts) < 4:
