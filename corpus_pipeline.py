@@ -13,29 +13,33 @@ MAX_PASSES = 1.5
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored as toxic go."""
+    """Documents scored as toxic go. A null text counts as empty, rows with a null or repeated doc_id are
+    judged like others; without labels of both classes all scores are one share."""
     network = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.clean(docs, network)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays. Rows without a doc_id stay."""
-    dropped = near_dup.near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti")
+    """One row of each group of near copies stays, also of rows that share a doc_id or have none; rows
+    without words stay, and an empty table stays empty (see ``near_dup.without_copies``)."""
+    return near_dup.without_copies(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go; null and empty texts hold none. Rows are judged one
+    by one, whatever their doc_id, and passages with a null item_id count too."""
     return decontaminate.without_matches(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The largest source once, smaller ones up to MAX_PASSES times, by temperature."""
+    """The largest source once, smaller ones up to MAX_PASSES times, by temperature. A null source is a
+    source of its own; rows without tokens come once."""
     return mixing.mix(docs, mixing.Target(max_passes=MAX_PASSES)).select("row.*")
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of what is left, as the digest read back from them."""
+    """Token files of what is left, as the digest read back from them: a row for each use of a document,
+    in ascending doc_id order, nulls first; a null text is its end id alone."""
     return tokens.tokenised(docs, public_tokenizers.path(tokens.VOCABULARY))
 
 
