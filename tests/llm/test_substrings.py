@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from llm.texts import awkward, frame
+from llm.texts import awkward, frame, prose
 from pyspark.sql import functions as F
 from txrisk.llm import substrings
 from txrisk.llm.words import Texts
@@ -94,3 +94,31 @@ def test_long_texts_are_cut_into_pieces_without_loss(monkeypatch):
 
     assert strings(whole) == strings(pieces)
     assert {s for s, _ in strings(whole)} == {*range(0, 1101), *range(1250, 4901)}
+
+
+def test_passes_see_the_same_parts_whatever_cores_there_are(spark, tmp_path):
+    name = "spark.sql.leafNodeDefaultParallelism"
+    rows = [(i, prose(i % 40, 300)) for i in range(400)]
+    frame(spark, rows, partitions=9).select("doc_id", "text").write.parquet(str(tmp_path / "docs"))
+    want = None
+    for first, second in ((2, 7), (7, 3)):
+        spark.conf.set(name, first)
+        try:
+            found = substrings.digest(
+                substrings.without_repeats(spark.read.parquet(str(tmp_path / "docs")), copy=False)
+            )
+            spark.conf.set(name, second)
+            rows = sorted(tuple(r) for r in found.collect())
+        finally:
+            spark.conf.unset(name)
+        assert want in (None, rows)
+        want = rows
+    assert sum(r[2] for r in want) > 0
+
+
+def test_edges_are_compared_across_empty_buckets_and_blocks(spark):
+    edges = [(0, b"a", b"b"), (1, b"b", b"b"), (5, b"b", b"c"), (1023, b"d", b"e"), (4000, b"e", b"f"), (9000, b"x", b"x")]
+    found = substrings._crossing(spark.createDataFrame(edges, "bucket int, low binary, high binary"))
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (0, False), (1, True), (5, True), (1023, False), (4000, True), (9000, False),
+    ]

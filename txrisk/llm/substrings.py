@@ -10,7 +10,8 @@ boundaries of buckets. All but the earliest of equal runs are repetitions in ful
 only a core with other runs are cut into shorter ones, down to single strings, and sorted again.
 
 Texts are never shuffled: passes over the table read what was found for their own part of it. Parts
-are the partitions of the scan, and a part that is not what it was in the first pass is an error.
+are the partitions of the scan, which do not depend on the executors at hand; a part that is not what
+it was in the first pass is an error.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .shared import new_folder, stored
+from .shared import new_folder, steady_parts, stored
 from .words import _BASE, _CODES, U64, Texts, mix, text_chunks
 
 LENGTH = 100
@@ -289,11 +291,28 @@ def sort_suffixes(suffixes: DataFrame, total_bytes: int, name: str) -> DataFrame
     buckets = max(1, -(-total_bytes // BUCKET_BYTES))
     ranged = suffixes.repartitionByRange(buckets, *keys)
     found = stored(ranged.mapInArrow(_sort_bucket, _SORTED), name)
-    # one row a bucket: is its first text the last one of the bucket before?
-    edges = sorted(found.where("head").select("bucket", "low", "high").collect())
-    joined = [b[0] for a, b in zip(edges, edges[1:]) if bytes(a[2]) == bytes(b[1])]
-    crossing = F.col("head") & F.col("bucket").isin(joined) if joined else F.lit(False)
-    return found.withColumn("repeated", F.col("repeated") | crossing).drop("low", "high")
+    heads = found.where("head")
+    crossing = _crossing(heads.select("bucket", "low", "high"))
+    heads = heads.join(crossing, "bucket").withColumn("repeated", F.col("repeated") | F.col("crossing"))
+    return found.where("NOT head").unionByName(heads.drop("crossing")).drop("low", "high")
+
+
+#: Buckets whose edges are compared in one task.
+_EDGES = 1024
+
+
+def _crossing(edges: DataFrame) -> DataFrame:
+    """(bucket, crossing) of edges (bucket, low, high), a row for each bucket that is not empty: whether
+    its first text is the last one of the bucket before. Edges are compared in blocks of buckets, and
+    then the blocks, so neither the driver nor a task holds all of them."""
+    edges = edges.withColumn("block", F.floor(F.col("bucket") / _EDGES))
+    within = Window.partitionBy("block").orderBy("bucket")
+    ends = edges.groupBy("block").agg(F.max_by("high", "bucket").alias("end"))
+    ends = ends.select("block", F.lag("end").over(Window.orderBy("block")).alias("end"))
+    before = F.coalesce(F.lag("high").over(within), F.col("end"))
+    return edges.join(ends, "block").select(
+        "bucket", F.coalesce(F.col("low") == before, F.lit(False)).alias("crossing")
+    )
 
 
 def _cut(block: int):
@@ -374,13 +393,15 @@ def without_repeats(docs: DataFrame, copy: bool = True) -> DataFrame:
     follow one another as they lie in the table, so of repeated rows one keeps its bytes. Matches
     never cross rows. Other columns are not read. Texts of under LENGTH bytes are kept.
 
-    copy: store the texts first. Only a plain table that Spark reads in the same parts every time
-    does without; parts that differ raise an error.
+    copy: store the texts first. Only a plain table does without. How its files are cut into parts is
+    fixed for the session, so that it does not follow the cores at hand, which change when executors
+    come and go; files that are changed meanwhile raise an error.
 
     Scale: a part sends its different anchor hashes once, about one for 30 bytes; a hash of every
     document costs one row a part. Sorting moves the runs of repeated anchors. A suffix that a third
     of all rows share spans as many buckets as it fills.
     """
+    steady_parts(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = stored(rows, "texts") if copy else rows
     seen = rows.mapInArrow(
