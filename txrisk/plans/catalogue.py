@@ -7,6 +7,7 @@ file, an event type for a layer, a week for a threshold version.
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 from dataclasses import replace
@@ -474,8 +475,9 @@ def upsert_keep_last(spark, sf_dir):
 
 def _folder(spark) -> str:
     """A new folder below the session's checkpoint folder, which every executor can reach. Only a
-    session without one, as in tests, gets a temporary one."""
-    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+    session without one that runs in one process, as in tests, gets a temporary one."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="txrisk-"))
     jobs.use_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/r{uuid.uuid4().hex}"

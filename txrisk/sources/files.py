@@ -21,7 +21,6 @@ _PARQUET_GLOB = "*.[pP][aA][rR][qQ][uU][eE][tT]"
 _MAX_LIST_TASKS = 1_000
 _FOOTER_THREADS = 16
 _FOOTERS_PER_TASK, _MAX_FOOTER_TASKS = 16, 256
-_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
 _URI_PREFIX = "^[^:/]+:(//[^/]*)?"
 
 
@@ -85,28 +84,31 @@ def new_files(listed: DataFrame, processed: DataFrame) -> DataFrame:
     return listed.join(processed, "source_file", "left_anti")
 
 
-def _footer_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What two files of one schema have in common in their footers; NULL for a file that cannot be
-    opened here, whatever the reason: Spark's reader has the last word on it."""
-    for batch in batches:
-        marks = []
-        for path in batch.column(0).to_pylist():
-            try:
-                system, place = _file_system(path)
-                with system.open_input_file(place) as file:
-                    footer = parquet.ParquetFile(file).metadata
-                spark_schema = (footer.metadata or {}).get(_SPARK_SCHEMA, b"")
-                text = f"{footer.schema}".split("\n", 1)[1].encode() + b"|" + spark_schema
-                marks.append(hashlib.sha256(text).hexdigest())
-            except (OSError, pa.ArrowException, ValueError):
-                marks.append(None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], ["path", "mark"])
+def _footer_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's function that gives for each path what two files of one schema have in common in their
+    footers; NULL for a file that cannot be opened there, whatever the reason: Spark's reader has the
+    last word on it. It goes to the tasks whole, so they need nothing of this package."""
+    spark_schema = b"org.apache.spark.sql.parquet.row.metadata"
 
+    def mark(path: str) -> str | None:
+        try:
+            if path.startswith(("file:", "/")):
+                system, place = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+            else:
+                system, place = fs.FileSystem.from_uri(path)
+            with system.open_input_file(place) as file:
+                footer = parquet.ParquetFile(file).metadata
+        except (OSError, pa.ArrowException, ValueError):
+            return None
+        columns = str(footer.schema).split("\n", 1)[1].encode()
+        return hashlib.sha256(columns + b"|" + (footer.metadata or {}).get(spark_schema, b"")).hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [mark(path) for path in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], ["path", "mark"])
 
-def _file_system(path: str) -> tuple[fs.FileSystem, str]:
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    return (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+    return run
 
 
 def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
@@ -119,7 +121,7 @@ def schema_groups(spark: SparkSession, paths: list[str]) -> list[tuple[StructTyp
     """
     tasks = max(1, min(_MAX_FOOTER_TASKS, len(paths) // _FOOTERS_PER_TASK))
     rows = spark.createDataFrame([(path,) for path in paths], "path string").repartition(tasks)
-    marks = dict(rows.mapInArrow(_footer_marks, "path string, mark string").collect())
+    marks = dict(rows.mapInArrow(_footer_reader(), "path string, mark string").collect())
     first: dict[str, str] = {}
     for path in paths:
         first.setdefault(marks[path] or path, path)
