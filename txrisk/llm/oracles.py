@@ -200,9 +200,43 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counts USING (conv_id) LEFT JOIN best USING (conv_id) LEFT JOIN repaired r USING (conv_id)
 """
 
+OP5 = """
+WITH docs AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS h,
+           CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n
+    FROM documents
+), strings AS (
+    SELECT doc_id, unnest(range(n - 99)) AS i, h FROM docs WHERE n >= 100
+), hashed AS (
+    SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS g FROM strings
+), repeated AS (
+    SELECT doc_id, i FROM hashed QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1
+), steps AS (
+    SELECT doc_id, i, CAST(i > 100 + lag(i, 1, -101) OVER (PARTITION BY doc_id ORDER BY i) AS INTEGER) AS opens
+    FROM repeated
+), islands AS (
+    SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM steps
+), removed AS (
+    SELECT doc_id, min(i) AS low, max(i) + 100 AS high FROM islands GROUP BY doc_id, island
+), gaps AS (
+    SELECT doc_id, lag(high, 1, 0) OVER (PARTITION BY doc_id ORDER BY low) AS from_byte, low AS to_byte FROM removed
+    UNION ALL SELECT doc_id, max(high), NULL FROM removed GROUP BY doc_id
+), kept AS (
+    SELECT doc_id, string_agg(substr(h, 2 * from_byte + 1, 2 * (coalesce(to_byte, n) - from_byte)), ''
+                              ORDER BY from_byte) AS h
+    FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+), counted AS (
+    SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM removed GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+FROM docs d LEFT JOIN counted USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
 ORACLES = {
     "op2_warc_members": OP2,
     "op4_hash_shards": OP4,
+    "op5_repeated_substrings": OP5,
     "op7_near_duplicates": OP7,
     "op12_conversation_repair": OP12,
     "op13_line_dedup": OP13,
