@@ -233,8 +233,71 @@ SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
 FROM docs d LEFT JOIN counted USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+OP8 = r"""
+WITH RECURSIVE placed AS MATERIALIZED (
+    SELECT doc_id, coalesce('=' || source, 'null') AS key,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS tokens,
+           md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(text, ''))) AS place
+    FROM documents
+), sources AS MATERIALIZED (
+    SELECT key, CAST(sum(tokens) AS BIGINT) AS tokens FROM placed GROUP BY key
+), shares AS MATERIALIZED (
+    SELECT tokens / (SELECT sum(tokens) FROM sources) AS share FROM sources WHERE tokens > 0
+), halved AS (
+    SELECT CAST(0 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high, 0 AS n
+    UNION ALL
+    SELECT CASE WHEN most <= 2 * (1 + 1e-12) THEN low ELSE (low + high) / 2 END,
+           CASE WHEN most <= 2 * (1 + 1e-12) THEN (low + high) / 2 ELSE high END, n + 1
+    FROM (
+        SELECT low, high, n, max(pow(share, (low + high) / 2) / share) / sum(pow(share, (low + high) / 2)) AS most
+        FROM halved, shares WHERE n < 32 GROUP BY low, high, n
+    )
+), chosen AS (
+    SELECT CASE WHEN (SELECT max(1 / share) / count(*) FROM shares) <= 2 * (1 + 1e-12) THEN 0 ELSE high END AS alpha
+    FROM halved WHERE n = 32
+), powers AS (
+    SELECT key, tokens, CASE WHEN tokens > 0
+        THEN pow(tokens / (SELECT sum(tokens) FROM sources), (SELECT alpha FROM chosen)) ELSE 0 END AS w
+    FROM sources
+), planned AS (
+    SELECT key, tokens AS all_tokens, CAST(least(
+        floor((SELECT sum(tokens) FROM sources) * w / (SELECT sum(w) FROM powers) * (1 + 1e-12) + 1e-6),
+        floor(tokens * 2.0)) AS BIGINT) AS budget,
+        greatest(1, CAST(ceil(tokens / 1048576) AS BIGINT)) AS blocks
+    FROM powers
+), plan AS (
+    SELECT *, CASE WHEN all_tokens > 0 THEN budget // all_tokens ELSE 0 END AS whole FROM planned
+), bucketed AS MATERIALIZED (
+    SELECT p.*, CAST('0x' || place[1:8] AS BIGINT) % blocks AS bucket FROM placed p JOIN plan USING (key)
+), totals AS (
+    SELECT key, bucket, CAST(sum(tokens) AS BIGINT) AS size FROM bucketed GROUP BY key, bucket
+), passes AS (
+    SELECT *, unnest(range(0, whole + 1)) AS pass FROM totals JOIN plan USING (key)
+), ordered AS (
+    SELECT *, CAST(row_number() OVER w - 1 AS INTEGER) AS block, CAST(sum(size) OVER w - size AS BIGINT) AS ahead
+    FROM passes
+    WINDOW w AS (PARTITION BY key, pass ORDER BY md5(concat_ws(':', pass, bucket)), bucket)
+), roomed AS (
+    SELECT key, bucket, pass, block, pass * all_tokens + ahead AS before,
+           CASE WHEN pass = whole AND budget - whole * all_tokens - ahead < size
+                THEN greatest(budget - whole * all_tokens - ahead, 0) END AS room
+    FROM ordered
+), sums AS (
+    SELECT key, bucket, pass, room, md5(concat_ws(':', pass, place)) AS turn,
+           sum(tokens) OVER (PARTITION BY key, bucket, pass ORDER BY md5(concat_ws(':', pass, place))) AS used
+    FROM bucketed JOIN roomed USING (key, bucket) WHERE tokens > 0 AND room > 0
+), cuts AS (
+    SELECT key, bucket, pass, max(turn) AS cut FROM sums WHERE used <= room GROUP BY key, bucket, pass
+)
+SELECT doc_id, key AS source, tokens, CAST(pass AS INTEGER) AS pass, block, CAST(before AS BIGINT) AS before
+FROM bucketed JOIN roomed USING (key, bucket) LEFT JOIN cuts USING (key, bucket, pass)
+WHERE CASE WHEN tokens = 0 THEN pass = 0
+           ELSE room IS NULL OR coalesce(md5(concat_ws(':', pass, place)) <= cut, false) END
+"""
+
 ORACLES = {
     "op2_warc_members": OP2,
+    "op8_source_mixing": OP8,
     "op4_hash_shards": OP4,
     "op5_repeated_substrings": OP5,
     "op7_near_duplicates": OP7,
