@@ -57,3 +57,35 @@ def test_tokens_of_every_row_follow_one_another(stages):
     rows = sorted(stages[5][1].collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == ids(stages[4][1])
     assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:]))
+
+
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def odd_documents(spark, rows):
+    from llm.texts import frame
+
+    return frame(spark, [(i, t, None, "hot" if i else None, 1) for i, t in rows], COLUMNS)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_odd_rows_and_empty_tables(spark, name, stage):
+    from llm.texts import awkward
+
+    rows = awkward() + [(20, "x" * 2_000_000), (21, "many words " * 100_000)]
+    docs = stored(odd_documents(spark, rows), "odd")
+    found = stored(stage(spark, docs, SF_DIR), "stage")
+    if name == "token ids":
+        found = found.collect()
+        assert sorted(str(r.doc_id) for r in found) == sorted(str(i) for i, _ in rows)
+        return
+    assert found.dtypes == docs.dtypes
+    left = {(r.doc_id, r.text) for r in found.collect()}
+    assert left <= set(rows)
+    if name in ("decontamination", "mixing"):
+        assert left == set(rows)
+    if name == "near duplicates":
+        # one of the copies under ids 10, 11, 12 and none, one of two equal rows, all rows without words
+        assert found.count() == len(rows) - 5
+    assert stage(spark, stored(odd_documents(spark, []), "none"), SF_DIR).dtypes == docs.dtypes
+    assert stage(spark, stored(odd_documents(spark, []), "none"), SF_DIR).count() == 0

@@ -53,7 +53,7 @@ def sketch_sets(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
 
 def band_keys(bins: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     """A 64-bit key for each band, different for different bands."""
-    bands = bins.reshape(len(bins), -1, rows)
+    bands = bins.reshape(len(bins), bins.shape[1] // rows, rows)
     keys = np.broadcast_to(np.arange(bands.shape[1], dtype=np.uint64), bands.shape[:2])
     for j in range(rows):
         keys = mix(keys * U64(0x9E3779B97F4A7C15) + bands[:, :, j])
