@@ -498,3 +498,46 @@ def test_checkpoints_go_where_the_session_says(session, tables, expected):
 def test_without_a_shared_folder_there_is_an_error():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         jobs.use_checkpoint_dir(_Session(spark_sql_warehouse_dir="/wh"))
+
+
+def test_a_refused_batch_that_runs_again_is_kept_once(spark, deployed):
+    deliver(transfers(spark, range(8)), deployed)
+    jobs.run_daily(spark, deployed)
+    deliver(transfers(spark, range(8, 12), amount=0.0), deployed)
+    for _ in range(3):
+        with pytest.raises(QualityGateError):
+            jobs.run_daily(spark, deployed)
+    kept = read_table(spark, deployed.gate_results).groupBy("checked_to", "check_name").count().collect()
+    assert len(kept) == 14 and {row["count"] for row in kept} == {1}
+
+
+def test_stream_and_listing_take_turns(spark, deployed, tmp_path, monkeypatch):
+    checkpoint = str(tmp_path / "stream")
+    deliver(transfers(spark, range(4)), deployed)
+    jobs.ingest(spark, deployed)
+    deliver(transfers(spark, range(4, 9)), deployed)
+    # the slice is lost after its rows are stored and before the log: the stream gives it again
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "log_rows", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(Exception, match="lost"):
+            jobs.ingest_stream(spark, deployed, checkpoint)
+    assert jobs.ingest_stream(spark, deployed, checkpoint) > 0
+    assert jobs.ingest_stream(spark, deployed, checkpoint) == 0 == jobs.ingest(spark, deployed)
+    assert read_table(spark, deployed.bronze).count() == 9
+
+
+def test_window_leaves_out_old_days_and_follows_replaced_rows(spark, deployed):
+    for day, amount in ((1, 900.0), (8, 10.0), (9, 20.0)):
+        deliver(transfers(spark, range(day * 10, day * 10 + 4), event_time=datetime(2024, 1, day, 12), amount=amount), deployed)
+    jobs.ingest(spark, deployed)
+
+    def amount_of(days):
+        jobs.recalibrate_window(spark, deployed, days)
+        return state.get_active_threshold(spark, deployed.thresholds).amount
+
+    assert [amount_of(days) for days in (1, 2, 9)] == [20.0, 20.0, 900.0]
+    assert jobs.refresh_sketches(spark, deployed) == []
+    deliver(transfers(spark, range(100, 101), event_time=datetime(2024, 1, 8, 13), amount=500.0), deployed)
+    jobs.ingest(spark, deployed)
+    assert jobs.refresh_sketches(spark, deployed) == ["2024-01-08"]
+    assert [amount_of(days) for days in (1, 2)] == [20.0, 500.0]

@@ -251,8 +251,7 @@ def score(spark: SparkSession, settings: Settings) -> int:
         return 0
     scored = to_silver(batch.rows, limits)
     checks = quality_checks(quality_metrics(scored, batch.count)).collect()
-    results = spark.createDataFrame(checks).withColumn("checked_to", instant(batch.high))
-    append(spark, settings.gate_results, results.coalesce(1))
+    _keep_results(spark, settings.gate_results, checks, batch.high)
     log.info("quality of the batch: %s", judge(checks))
     upsert(
         spark,
@@ -268,6 +267,18 @@ def score(spark: SparkSession, settings: Settings) -> int:
     return batch.count
 
 
+def _keep_results(spark: SparkSession, table, checks: list, checked_to: int) -> None:
+    """What the gate found for a batch; a batch that is checked again replaces what it had."""
+    results = spark.createDataFrame(checks).withColumn("checked_to", instant(checked_to))
+    results = results.select(*table.schema.names)
+    kept = read_or_empty(spark, table)
+    if kept.where(F.col("checked_to") == instant(checked_to)).isEmpty():
+        append(spark, table, results.coalesce(1))
+    else:
+        others = kept.where(F.col("checked_to") != instant(checked_to))
+        overwrite(spark, table, others.unionByName(results))
+
+
 def publish_gold(spark: SparkSession, settings: Settings) -> int:
     """Bring both snapshots and the alerts up to Silver; returns new Silver rows.
 
