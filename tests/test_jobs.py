@@ -1,6 +1,7 @@
 import os
 import time
 import uuid
+from dataclasses import replace
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -541,3 +542,38 @@ def test_window_leaves_out_old_days_and_follows_replaced_rows(spark, deployed):
     jobs.ingest(spark, deployed)
     assert jobs.refresh_sketches(spark, deployed) == ["2024-01-08"]
     assert [amount_of(days) for days in (1, 2)] == [20.0, 500.0]
+
+
+def test_a_changed_file_takes_its_old_rows_back(spark, deployed, tmp_path):
+    again = replace(deployed, reread_changed=True)
+    days = [datetime(2024, 1, day, 12) for day in (1, 2)]
+    rows = transfers(spark, range(3), event_time=days[0]).unionByName(transfers(spark, range(10, 14), event_time=days[1]))
+    deliver(rows, again)
+    (path,) = Path(again.source_path).glob("*.parquet")
+    deliver(transfers(spark, range(20, 25), event_time=days[0]), again)
+    jobs.run_daily(spark, again)
+
+    def rewrite(rows):
+        rows.coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "new"))
+        (new,) = (tmp_path / "new").glob("*.parquet")
+        path.write_bytes(new.read_bytes())
+        path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+
+    def held():
+        silver = read_table(spark, again.silver)
+        totals = read_table(spark, again.gold_risk).agg(F.sum("tx_count")).first()[0]
+        assert read_table(spark, again.bronze).count() == silver.count() == totals
+        return {row[0] for row in silver.select("payer_id").collect()}
+
+    others = {f"p{i}" for i in range(20, 25)}
+    assert held() == {f"p{i}" for i in (0, 1, 2, 10, 11, 12, 13)} | others
+    # a row fewer on one day, and none of the other day
+    rewrite(transfers(spark, [0, 2], event_time=days[0]))
+    jobs.run_daily(spark, again)
+    assert held() == {"p0", "p2"} | others
+    assert {row[0] for row in read_table(spark, again.gold_totals).select("key_day").distinct().collect()} == {"2024-01-01"}
+    # the day comes back, and a run without a change takes nothing
+    rewrite(rows)
+    jobs.run_daily(spark, again)
+    jobs.run_daily(spark, again)
+    assert held() == {f"p{i}" for i in (0, 1, 2, 10, 11, 12, 13)} | others

@@ -282,6 +282,12 @@ ORACLES = {
                observed = 0 AS passed FROM checks""",
     "ingest_job": f"""WITH {TRANSFERS}, {BATCHES}
         SELECT transaction_id, event_time, amount, is_fraud FROM stored""",
+    "changed_file": f"""WITH {TRANSFERS}
+        SELECT transaction_id, event_time, amount,
+               CASE WHEN CAST(event_time AS date) = DATE '2024-01-05' THEN 1 - is_fraud ELSE is_fraud END AS is_fraud
+        FROM keyed
+        WHERE {FIRST_BATCH} AND amount > 0
+          AND (CAST(event_time AS date) <> DATE '2024-01-05' OR CAST(floor(second(event_time)) AS int) % 2 = 1)""",
     "bootstrap_job": f"{WITH_STORED_SCORED} SELECT *, true AS is_active FROM limits",
     "window_thresholds": f"""WITH {TRANSFERS}, {_features('keyed')}, days AS (
         SELECT *, CAST(event_time AS date) AS day FROM features),

@@ -6,7 +6,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.errors import NoActiveThresholdsError, QualityGateError, WatermarkError
@@ -25,11 +25,12 @@ from txrisk.plans.state import (
     set_watermark,
     window_thresholds,
 )
-from txrisk.schemas import ALERTS, INGESTED_FILES, KEY_DAY
+from txrisk.schemas import ALERTS, FILE_VERSIONS, INGESTED_FILES, KEY_DAY
 from txrisk.sources.files import (
     list_files,
     log_rows,
     new_files,
+    new_versions,
     processed_files,
     scan_files,
     stream_files,
@@ -42,6 +43,7 @@ from txrisk.sources.tables import (
     part_sizes,
     read_or_empty,
     read_table,
+    remove_rows,
     replace_parts,
     stored_rows,
     table_exists,
@@ -59,8 +61,12 @@ def ingest(spark: SparkSession, settings: Settings) -> int:
     time. The log is written last: after a failure in between, the files are read again and their
     rows match.
     """
-    done = processed_files(read_or_empty(spark, settings.control))
-    listed = kept_once(new_files(list_files(spark, settings.source_path), done))
+    listed = list_files(spark, settings.source_path)
+    if settings.reread_changed:
+        listed = new_versions(listed, read_or_empty(spark, settings.file_versions))
+    else:
+        listed = new_files(listed, processed_files(read_or_empty(spark, settings.control)))
+    listed = kept_once(listed)
     count, last = 0, None
     while True:
         rest = listed if last is None else listed.where(F.col("source_file") > last)
@@ -97,9 +103,35 @@ def _ingest_files(spark: SparkSession, settings: Settings, files: list) -> None:
         replayed=["source_file"],
     )
     names = spark.createDataFrame([(f["source_file"],) for f in files], INGESTED_FILES.names[:1])
+    if settings.reread_changed:
+        _retract_earlier(spark, settings, names, at)
+        seen = spark.createDataFrame(files).select(*FILE_VERSIONS.names[:3], at.alias("ingested_at"))
+        append(spark, settings.file_versions, seen.coalesce(1))
     append(spark, settings.control, log_rows(names, F.current_timestamp()).coalesce(1))
 
 
+def _retract_earlier(spark: SparkSession, settings: Settings, names: DataFrame, at: Column) -> None:
+    """Rows that only an earlier version of these files had leave Bronze. The log of ingests says in which
+    days they can be. What is taken out is noted first, for the layers above."""
+    earlier = read_or_empty(spark, settings.file_versions).join(names, "source_file", "left_semi")
+    days = earlier.join(read_table(spark, settings.ingest_days), "ingested_at").select("source_file", KEY_DAY)
+    noted = kept_once(days.distinct().select(at.alias("ingested_at"), "source_file", KEY_DAY))
+    if noted.isEmpty():
+        return
+    append(spark, settings.retractions, noted.coalesce(1))
+    gone = noted.select("source_file", F.col("ingested_at").alias("before")).distinct()
+    parts = [row[0] for row in noted.select(KEY_DAY).distinct().collect()]
+    log.info("retracted %d rows", remove_rows(spark, settings.bronze, gone, parts))
+
+
+def _retracted(spark: SparkSession, settings: Settings, layer: str) -> tuple[DataFrame, list[str]]:
+    """What a layer still has to take out: (source_file, before), and the days it can be in."""
+    mark = get_watermark(spark, settings.watermarks, layer)
+    open_ = rows_after(read_or_empty(spark, settings.retractions), None if mark is None else instant(mark))
+    days = [row[0] for row in open_.select(KEY_DAY).distinct().collect()] if settings.reread_changed else []
+    return open_.groupBy("source_file").agg(F.max("ingested_at").alias("before")), days
+
+
 def ingest_stream(spark: SparkSession, settings: Settings, checkpoint: str) -> int:
     """The same ingest from a file stream: everything that is there now, ``files_per_batch`` files at a
     time, then it ends; returns the number of files.
@@ -246,8 +278,10 @@ def score(spark: SparkSession, settings: Settings) -> int:
     limits = get_active_threshold(spark, settings.thresholds)
     if limits is None:
         raise NoActiveThresholdsError(f"no active thresholds in {settings.threshold_table}")
+    gone, days = _retracted(spark, settings, "silver")
     batch = next_batch(spark, settings, settings.bronze, "silver")
     if batch is None:
+        remove_rows(spark, settings.silver, gone, days)
         return 0
     scored = to_silver(batch.rows, limits)
     checks = quality_checks(quality_metrics(scored, batch.count)).collect()
@@ -263,6 +297,7 @@ def score(spark: SparkSession, settings: Settings) -> int:
         gather=False,  # Bronze files hold one day each
         replayed=["ingested_at", "source_file"],
     )
+    remove_rows(spark, settings.silver, gone, days)
     set_watermark(spark, settings.watermarks, "silver", batch.high)
     return batch.count
 
@@ -285,16 +320,20 @@ def publish_gold(spark: SparkSession, settings: Settings) -> int:
     Totals of the batch's days are counted anew from Silver and replaced; all others stay. Both
     snapshots roll up from the totals. The watermark moves after all outputs.
     """
+    _, retracted = _retracted(spark, settings, "gold")
     batch = next_batch(spark, settings, settings.silver, "gold")
-    if batch is None:
+    days = sorted({*retracted, *(batch.days if batch else ())})
+    if not days:
         return 0
     silver = stored_rows(spark, settings.silver)
     if table_exists(spark, settings.gold_totals):
-        silver = silver.where(F.col(KEY_DAY).isin(batch.days))
-    replace_parts(spark, settings.gold_totals, gold.daily_totals(silver))
+        silver = silver.where(F.col(KEY_DAY).isin(days))
+    replace_parts(spark, settings.gold_totals, gold.daily_totals(silver), retracted)
     totals = read_table(spark, settings.gold_totals)
     overwrite(spark, settings.gold_risk, gold.risk_effectiveness_from(totals))
     overwrite(spark, settings.gold_operational, gold.operational_from(totals))
+    if batch is None:
+        return 0
 
     found = gold.alerts(batch.rows, settings.alert_score, keep=(KEY_DAY,))
     upsert(

@@ -17,6 +17,8 @@ class Settings:
     ``source_columns`` names the raw columns of the source files where they differ from ours.
     ``gather_source=False`` stores source rows without a shuffle; choose it if each source file
     holds only a few days. New files are ingested ``files_per_batch`` at a time, until none is left.
+    With ``reread_changed`` a file whose length or modification time is new is ingested again, and rows
+    that only its earlier version had are taken out of Bronze, Silver and the snapshots.
     A stored day is divided into buckets of about ``bucket_rows`` rows, by its rows when it is first
     stored; a bucket is what a correction rewrites. ``compact_tables`` rewrites days that have more than
     ``files_per_bucket`` files to a bucket beyond what files of ``file_bytes`` ask for.
@@ -28,6 +30,8 @@ class Settings:
     silver_table: str = "silver_transfers"
     control_table: str = "ingested_files"
     ingest_day_table: str = "ingest_days"
+    file_version_table: str = "file_versions"
+    retraction_table: str = "retractions"
     watermark_table: str = "layer_watermarks"
     gate_result_table: str = "gate_results"
     threshold_table: str = "risk_thresholds"
@@ -41,6 +45,7 @@ class Settings:
     on_duplicate: str = "merge"
     gather_source: bool = True
     files_per_batch: int = 1_000
+    reread_changed: bool = False
     bucket_rows: int = schemas.BUCKET_ROWS
     file_bytes: int = 256 << 20
     files_per_bucket: int = 4
@@ -70,6 +75,14 @@ class Settings:
     def ingest_days(self) -> Table:
         return self._table(self.ingest_day_table, schemas.INGEST_DAYS)
 
+    @property
+    def file_versions(self) -> Table:
+        return self._table(self.file_version_table, schemas.FILE_VERSIONS)
+
+    @property
+    def retractions(self) -> Table:
+        return self._table(self.retraction_table, schemas.RETRACTIONS)
+
     @property
     def watermarks(self) -> Table:
         return self._table(self.watermark_table, schemas.LAYER_WATERMARKS, "layer_name")

@@ -100,6 +100,8 @@ ALERTS = _schema(
 )
 INGEST_DAYS = _schema(ingested_at=_INSTANT, key_day=_STRING)
 INGESTED_FILES = _schema(source_file=_STRING, processed_at=_INSTANT, status=_STRING)
+FILE_VERSIONS = _schema(source_file=_STRING, length=_LONG, modified_at=_INSTANT, ingested_at=_INSTANT)
+RETRACTIONS = _schema(ingested_at=_INSTANT, source_file=_STRING, key_day=_STRING)
 LAYER_WATERMARKS = _schema(layer_name=_STRING, last_ingestion_timestamp=_INSTANT, updated_at=_INSTANT)
 GATE_RESULTS = _schema(
     checked_to=_INSTANT, check_name=_STRING, observed=_DOUBLE, blocking=_FLAG, passed=_FLAG

@@ -84,6 +84,11 @@ def new_files(listed: DataFrame, processed: DataFrame) -> DataFrame:
     return listed.join(processed, "source_file", "left_anti")
 
 
+def new_versions(listed: DataFrame, versions: DataFrame) -> DataFrame:
+    """Files that are new, or have another length or modification time than any version seen so far."""
+    return listed.join(versions, ["source_file", "length", "modified_at"], "left_anti")
+
+
 def _footer_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A task's function that gives for each path what two files of one schema have in common in their
     footers; NULL for a file that cannot be opened there, whatever the reason: Spark's reader has the

@@ -155,13 +155,16 @@ def _log(spark: SparkSession, table: Table) -> str:
     return f"{_root(spark, table)}.swaps"
 
 
-def _swap(spark: SparkSession, table: Table, rows: DataFrame) -> None:
-    """Replace every part that occurs in ``rows``, or the whole table if it has no parts."""
+def _swap(spark: SparkSession, table: Table, rows: DataFrame, parts: list[str] | None = None) -> None:
+    """Replace every part that occurs in ``rows``, or the whole table if it has no parts. Stored ``parts``
+    (by the names of their directories) that do not occur any more become empty."""
     done = finish_swaps(spark, table)
     swap = f"{now_micros():020d}-{uuid.uuid4().hex}"
     place = f"{_root(spark, table)}.versions/{swap}"
     (rows.write.partitionBy(*table.parts) if table.part else rows.write).parquet(place)
     places = _places(spark, table, place)
+    # a folder that nothing was written to has no rows, and takes later ones
+    places += [(part, f"{place}/{part}") for part in sorted(set(parts or ()) - {part for part, _ in places})]
     if places:
         _record(spark, table, swap, places)
         _apply(spark, table, places, swap, done + 1)
@@ -240,11 +243,18 @@ def part_sizes(rows: DataFrame, part: str) -> dict[str, int]:
     return {row[0]: row[1] for row in rows.groupBy(part).agg(F.count("*")).collect()}
 
 
+def _stored(spark: SparkSession, table: Table) -> list[tuple[str, tuple[str, ...]]]:
+    """Parts the catalog knows: their directory's name and their values."""
+    if not table.part:
+        return []
+    names = [row[0] for row in spark.sql(f"SHOW PARTITIONS {table.name}").collect()]
+    return [(name, tuple(unquote(step.split("=", 1)[1]) for step in name.split("/"))) for name in names]
+
+
 def stored_buckets(spark: SparkSession, table: Table) -> dict[str, list[str]]:
     """Parts the catalog knows with their buckets, without a look at the rows."""
     found: dict[str, list[str]] = {}
-    for row in spark.sql(f"SHOW PARTITIONS {table.name}").collect():
-        part, *bucket = [unquote(step.split("=", 1)[1]) for step in row[0].split("/")]
+    for _, (part, *bucket) in _stored(spark, table):
         found.setdefault(part, []).extend(bucket)
     return found
 
@@ -314,10 +324,33 @@ def append(
     to_write(rows, table, gather).write.insertInto(table.name)
 
 
-def replace_parts(spark: SparkSession, table: Table, rows: DataFrame) -> None:
-    """Replace the parts that occur in ``rows``; the rows may come from the table itself."""
+def replace_parts(
+    spark: SparkSession, table: Table, rows: DataFrame, parts: list[str] | None = None
+) -> None:
+    """Replace the parts that occur in ``rows``; the rows may come from the table itself. Of ``parts``
+    those without a row become empty."""
     ensure_table(spark, table)
-    _swap(spark, table, to_write(rows, table))
+    wanted = [name for name, values in _stored(spark, table) if values[0] in (parts or ())]
+    _swap(spark, table, to_write(rows, table), wanted)
+
+
+def remove_rows(spark: SparkSession, table: Table, gone: DataFrame, parts: list[str]) -> int:
+    """Take out rows of these parts that come from a file of ``gone`` (source_file, before) and were
+    ingested before that instant; returns how many. Only buckets that hold one are rewritten."""
+    if not parts or not table_exists(spark, table):
+        return 0
+    finish_swaps(spark, table)
+    rows = stored_rows(spark, table).where(F.col(table.part).isin(parts))
+    files = gone.select(F.col("source_file").alias("_file"), F.col("before").alias("_before"))
+    stale = (F.col("source_file") == F.col("_file")) & (F.col("ingested_at") < F.col("_before"))
+    found = rows.join(files, stale, "left_semi").groupBy(*table.parts).agg(F.count("*").alias("rows"))
+    hits = found.collect()
+    if hits:
+        keys = {tuple(hit[name] for name in table.parts) for hit in hits}
+        names = [name for name, values in _stored(spark, table) if values in keys]
+        left = rows.where(_in_buckets(table, hits)).join(files, stale, "left_anti")
+        _swap(spark, table, to_write(left, table), names)
+    return sum(hit["rows"] for hit in hits)
 
 
 def overwrite(spark: SparkSession, table: Table, rows: DataFrame) -> None:
