@@ -23,18 +23,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 
 
-#: Splits that a scan is to have at least, whatever cores there are.
-SCAN_PARTS = 64
-_PARTS_SETTING = "spark.sql.files.minPartitionNum"
-
-
-def steady_parts(spark: SparkSession) -> None:
-    """Files are cut into the same partitions at every scan. Left to itself Spark goes by the cores it
-    has at that moment. A number that the session sets stays."""
-    if spark.conf.get(_PARTS_SETTING, None) is None:
-        spark.conf.set(_PARTS_SETTING, str(SCAN_PARTS))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
