@@ -207,23 +207,31 @@ def without_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     like any copy, and different texts under one doc_id are each judged on their own. Rows without
     words (null and empty texts too) are copies of nothing and stay. An empty table gives no rows.
 
-    The rows are numbered in a stored copy, so that a row keeps its number whatever is run again.
+    Only where a doc_id is missing or repeated are the rows numbered, in a stored copy, so that a row
+    keeps its number whatever is run again.
     """
-    number, name = "_row_number", "_row_name"
-    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    again = rows.groupBy(F.col("doc_id").alias("_again")).agg(
-        F.min(number).alias("_first"), F.count("*").alias("_rows")
-    )
-    again = again.where("_rows > 1 OR _again IS NULL").drop("_rows")
-    own = F.col("doc_id").isNotNull() & (F.col("_first").isNull() | (F.col("_first") == F.col(number)))
-    named = rows.join(again, F.col("doc_id").eqNullSafe(F.col("_again")), "left").withColumn(
-        name, F.when(own, F.col("doc_id").cast("bigint")).otherwise(F.lit(_SURROGATES) + F.col(number))
-    )
+    name = "_row_name"
+    repeated = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if repeated.isEmpty():
+        named = docs.withColumn(name, F.col("doc_id").cast("bigint"))
+    else:
+        named = _named(docs, name)
     judged = near_duplicates(named.select(F.col(name).alias("doc_id"), "text"), k, percent)
     gone = judged.where("NOT kept").select(F.col("doc_id").alias(name))
     return named.join(gone, name, "left_anti").select(*docs.columns)
 
 
+def _named(docs: DataFrame, name: str) -> DataFrame:
+    """The rows with a name each: the doc_id of the first row that has it, numbers above all ids else."""
+    number = "_row_number"
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    first = rows.groupBy(F.col("doc_id").alias("_again")).agg(F.min(number).alias("_first"))
+    own = F.col("doc_id").isNotNull() & (F.col("_first") == F.col(number))
+    return rows.join(first, F.col("doc_id").eqNullSafe(F.col("_again")), "left").withColumn(
+        name, F.when(own, F.col("doc_id").cast("bigint")).otherwise(F.lit(_SURROGATES) + F.col(number))
+    )
+
+
 def _may_link(x: str, y: str, percent: int):
     """Sets whose sizes differ by more cannot reach the similarity."""
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
