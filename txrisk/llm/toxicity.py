@@ -285,8 +285,9 @@ def presence(sample: DataFrame) -> np.ndarray:
     """Documents of a sample by class, input and place: a fixed number of counters, whatever its size."""
     counts = np.zeros((2, INPUTS, BUCKETS))
     found = sample.select("text", "toxic").mapInArrow(_count, "at bigint, n bigint")
-    found = found.groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    counts.reshape(-1)[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
+    # as Arrow: a Python object for each of so many counters would be most of the driver's memory
+    found = found.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counts.reshape(-1)[found["at"].to_numpy()] = found["n"].to_numpy()
     return counts
 
 
@@ -366,7 +367,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network:
         rows.mapInArrow(_sample_windows(view), "doc_id bigint, toxic double, inputs binary")
         for rows, view in views
     ]
-    drawn = drawn[0].union(drawn[1]).toPandas().sort_values(["doc_id", "inputs"])
+    drawn = drawn[0].union(drawn[1]).toArrow().to_pandas().sort_values(["doc_id", "inputs"])
     x = np.frombuffer(b"".join(drawn["inputs"]), np.float32).reshape(-1, WINDOW, INPUTS)
     weights = train(x, drawn["toxic"].to_numpy(np.float32))
     pooled = []
@@ -377,7 +378,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network:
                 _features(view), "doc_id bigint, toxic double, f0 double, f1 double, f2 double"
             )
         )
-    pooled = pooled[0].union(pooled[1]).toPandas().sort_values("doc_id")
+    pooled = pooled[0].union(pooled[1]).toArrow().to_pandas().sort_values("doc_id")
     features = np.column_stack([pooled[["f0", "f1", "f2"]].to_numpy(), np.ones(len(pooled))])
     pool = fit_pool(features, pooled["toxic"].to_numpy())
     both = log_odds(seen[0] + seen[1], *[sum(n) for n in zip(*totals)])
