@@ -52,13 +52,23 @@ def _moment(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+def _kept_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transfers for a query that reads them several times: derived once and written below the session's
+    checkpoint folder, in files of even size. Without such a folder they are derived at each use."""
+    try:
+        place = f"{_folder(spark)}/transfers"
+    except ValueError:
+        return transfers(spark, sf_dir)
+    transfers(spark, sf_dir).write.parquet(place)
+    return spark.read.parquet(place)
+
+
 def _day_file() -> Column:
     return F.concat(F.lit("day="), F.to_date("event_time").cast("string"))
 
 
-def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = transfers(spark, sf_dir).withColumn(bronze.SOURCE_PATH, _day_file())
-    return bronze.to_bronze(raw, _moment(LOADED_AT))
+def _bronze(rows: DataFrame) -> DataFrame:
+    return bronze.to_bronze(rows.withColumn(bronze.SOURCE_PATH, _day_file()), _moment(LOADED_AT))
 
 
 def _limits(rows: DataFrame) -> Thresholds:
@@ -67,9 +77,8 @@ def _limits(rows: DataFrame) -> Thresholds:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    limits = _limits(transfers(spark, sf_dir))
-    keyed = bronze.with_transaction_id(transfers(spark, sf_dir))
-    return silver.to_silver(keyed, limits)
+    rows = _kept_transfers(spark, sf_dir)
+    return silver.to_silver(bronze.with_transaction_id(rows), _limits(rows))
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +173,7 @@ def ingest_metadata(spark, sf_dir):
 
 
 def bronze_rows(spark, sf_dir):
-    rows = _bronze(spark, sf_dir)
+    rows = _bronze(transfers(spark, sf_dir))
     return rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz")).select(*BRONZE.names)
 
 
@@ -199,7 +208,8 @@ def score_level(spark, sf_dir):
 
 
 def silver_rows(spark, sf_dir):
-    rows = silver.to_silver(_bronze(spark, sf_dir), _limits(transfers(spark, sf_dir)))
+    kept = _kept_transfers(spark, sf_dir)
+    rows = silver.to_silver(_bronze(kept), _limits(kept))
     return rows.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
 
 
@@ -207,13 +217,13 @@ def silver_rows(spark, sf_dir):
 
 
 def thresholds_exact(spark, sf_dir):
-    return calibration.exact_thresholds(transfers(spark, sf_dir))
+    return calibration.exact_thresholds(_kept_transfers(spark, sf_dir))
 
 
 def thresholds_approx_bound(spark, sf_dir):
     """Whether each approximate percentile lies within the sketch's rank error."""
-    found = calibration.approximate_thresholds(transfers(spark, sf_dir)).first()
-    return _within_bound(transfers(spark, sf_dir), found)
+    rows = _kept_transfers(spark, sf_dir)
+    return _within_bound(rows, calibration.approximate_thresholds(rows).first())
 
 
 def _within_bound(history, found):
@@ -264,7 +274,7 @@ def publish_thresholds(spark, sf_dir):
     """A version published on top of a stored history; its name, an instant, is given as 'new'."""
     table = _deploy(spark).thresholds
     append(spark, table, _history(spark, sf_dir))
-    values = calculate_thresholds(transfers(spark, sf_dir), exact=True)
+    values = calculate_thresholds(_kept_transfers(spark, sf_dir), exact=True)
     state.publish_thresholds(spark, table, values, _micros(spark, CLOSED_AT))
     version = F.when(F.length("threshold_version") > 8, "new").otherwise(F.col("threshold_version"))
     return _plain_times(read_table(spark, table).withColumn("threshold_version", version))
@@ -272,12 +282,12 @@ def publish_thresholds(spark, sf_dir):
 
 def thresholds_exact_narrowed(spark, sf_dir):
     """The same percentiles with a range of at most 50 values, which takes several rounds."""
-    return calibration.exact_thresholds(transfers(spark, sf_dir), max_rows=50)
+    return calibration.exact_thresholds(_kept_transfers(spark, sf_dir), max_rows=50)
 
 
 def calibration_guard(spark, sf_dir):
     """What calibration refuses: per history and measure, its values and whether it is named."""
-    whole = transfers(spark, sf_dir)
+    whole = _kept_transfers(spark, sf_dir)
     none = F.lit(None).cast("double")
     histories = {
         "whole": whole,
