@@ -515,13 +515,12 @@ def _deploy(spark) -> Settings:
 _PASSING = "amount > 0"
 
 
-def _first_batch(spark, sf_dir):
-    return transfers(spark, sf_dir).where(F.col("event_time") < _clock(SECOND_BATCH_FROM))
+def _first_batch(rows):
+    return rows.where(F.col("event_time") < _clock(SECOND_BATCH_FROM))
 
 
-def _second_batch(spark, sf_dir):
+def _second_batch(rows):
     """Later transfers, and one day sent again with its labels turned around."""
-    rows = transfers(spark, sf_dir)
     later = rows.where(F.col("event_time") >= _clock(SECOND_BATCH_FROM))
     resent = rows.where(
         (F.col("event_time") >= _clock(RESENT_FROM)) & (F.col("event_time") < _clock(SECOND_BATCH_FROM))
@@ -532,13 +531,13 @@ def _second_batch(spark, sf_dir):
 def _after_two_days(spark, sf_dir) -> Settings:
     """Two daily runs, a third without new files, and one of the rows that the gate refuses (amounts
     not above zero), which come in a batch of their own. The last two change nothing."""
-    deployed = _deploy(spark)
+    deployed, rows = _deploy(spark), _kept_transfers(spark, sf_dir)
     for batch in (_first_batch, _second_batch):
-        _deliver(batch(spark, sf_dir).where(_PASSING), deployed)
+        _deliver(batch(rows).where(_PASSING), deployed)
         jobs.run_daily(spark, deployed)
     jobs.run_daily(spark, deployed)
     for batch in (_first_batch, _second_batch):
-        _deliver(batch(spark, sf_dir).where(f"NOT {_PASSING}"), deployed)
+        _deliver(batch(rows).where(f"NOT {_PASSING}"), deployed)
     with contextlib.suppress(QualityGateError):
         jobs.run_daily(spark, deployed)
     return deployed
@@ -562,10 +561,10 @@ def gate_results(spark, sf_dir):
 
 
 def _refused(spark, sf_dir):
-    deployed = _deploy(spark)
-    _deliver(_first_batch(spark, sf_dir).where(_PASSING), deployed)
+    deployed, rows = _deploy(spark), _kept_transfers(spark, sf_dir)
+    _deliver(_first_batch(rows).where(_PASSING), deployed)
     jobs.run_daily(spark, deployed)
-    later = transfers(spark, sf_dir).where(F.col("event_time") >= _clock(SECOND_BATCH_FROM))
+    later = rows.where(F.col("event_time") >= _clock(SECOND_BATCH_FROM))
     bad = F.when(F.hour("event_time") == 3, 0.5).otherwise(F.col("is_fraud"))
     zero = F.when(F.hour("event_time") == 4, 0.0).otherwise(F.col("amount"))
     _deliver(later.withColumns({"is_fraud": bad, "amount": zero}), deployed)
@@ -581,18 +580,18 @@ def _refused(spark, sf_dir):
 
 
 def ingest_job(spark, sf_dir):
-    deployed = _deploy(spark)
+    deployed, rows = _deploy(spark), _kept_transfers(spark, sf_dir)
     for batch in (_first_batch, _second_batch):
-        _deliver(batch(spark, sf_dir), deployed)
+        _deliver(batch(rows), deployed)
         jobs.ingest(spark, deployed)
     return read_table(spark, deployed.bronze).select("transaction_id", "event_time", "amount", "is_fraud")
 
 
 def bootstrap_job(spark, sf_dir):
     """The second call, after a second batch, finds an active version and publishes nothing."""
-    deployed = _deploy(spark)
+    deployed, rows = _deploy(spark), _kept_transfers(spark, sf_dir)
     for batch in (_first_batch, _second_batch):
-        _deliver(batch(spark, sf_dir), deployed)
+        _deliver(batch(rows), deployed)
         jobs.ingest(spark, deployed)
         jobs.bootstrap_thresholds(spark, deployed)
     return _versions(spark, deployed)
@@ -609,9 +608,9 @@ def bootstrap_job_approximate(spark, sf_dir):
 
 
 def recalibrate_job(spark, sf_dir):
-    deployed = _deploy(spark)
+    deployed, rows = _deploy(spark), _kept_transfers(spark, sf_dir)
     for batch in (_first_batch, _second_batch):
-        _deliver(batch(spark, sf_dir), deployed)
+        _deliver(batch(rows), deployed)
         jobs.ingest(spark, deployed)
         jobs.recalibrate(spark, deployed)
     return _versions(spark, deployed)
@@ -624,7 +623,7 @@ def changed_file(spark, sf_dir):
     """The file of one day changed in place: it lacks the transfers of even seconds and has other labels
     for the rest. What Silver holds after the next daily run."""
     deployed = replace(_deploy(spark), reread_changed=True)
-    rows = _first_batch(spark, sf_dir).where(_PASSING)
+    rows = _first_batch(_kept_transfers(spark, sf_dir)).where(_PASSING)
     day = F.to_date("event_time") == F.lit(CHANGED_DAY).cast("date")
     _deliver(rows.where(day).coalesce(1), deployed)
     (old,) = [row.path for row in files.list_files(spark, deployed.source_path).collect()]
@@ -654,9 +653,9 @@ WINDOW_DAYS = 7
 def window_thresholds(spark, sf_dir):
     """Thresholds of the last days after each of two deliveries, merged from stored sketches. Sketches
     hold so many values that at this size they are exact."""
-    deployed = _deploy(spark)
+    deployed, rows = _deploy(spark), _kept_transfers(spark, sf_dir)
     for batch in (_first_batch, _second_batch):
-        _deliver(batch(spark, sf_dir), deployed)
+        _deliver(batch(rows), deployed)
         jobs.ingest(spark, deployed)
         jobs.recalibrate_window(spark, deployed, WINDOW_DAYS)
     return _versions(spark, deployed)
@@ -664,9 +663,9 @@ def window_thresholds(spark, sf_dir):
 
 def day_sketches(spark, sf_dir):
     """What the stored sketches say of each day: values, and the amount at the percentile."""
-    deployed = _deploy(spark)
+    deployed, rows = _deploy(spark), _kept_transfers(spark, sf_dir)
     for batch in (_first_batch, _second_batch):
-        _deliver(batch(spark, sf_dir), deployed)
+        _deliver(batch(rows), deployed)
         jobs.ingest(spark, deployed)
         jobs.refresh_sketches(spark, deployed)
     amount = F.kll_sketch_get_quantile_double("amount_sketch", F.lit(float(THRESHOLD_PERCENTILE)))
@@ -678,10 +677,10 @@ def day_sketches(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Two deliveries through the file stream, each by a new run on one checkpoint; a third run finds
     nothing new."""
-    deployed = _deploy(spark)
+    deployed, rows = _deploy(spark), _kept_transfers(spark, sf_dir)
     checkpoint = f"{_folder(spark)}/stream"
     for batch in (_first_batch, _second_batch):
-        _deliver(batch(spark, sf_dir), deployed)
+        _deliver(batch(rows), deployed)
         jobs.ingest_stream(spark, deployed, checkpoint)
     if jobs.ingest_stream(spark, deployed, checkpoint):
         raise AssertionError("the stream took files twice")
@@ -714,10 +713,9 @@ def _place_of_rows(spark, deployed):
 def compacted_days(spark, sf_dir):
     """Ten late batches that all reach into the same days, then compaction: rows of each day, and
     whether its files are as few as a compacted day's."""
-    deployed = replace(_deploy(spark), files_per_bucket=2)
+    deployed, rows = replace(_deploy(spark), files_per_bucket=2), _kept_transfers(spark, sf_dir)
     for late in range(10):
-        rows = transfers(spark, sf_dir).where(F.pmod(F.xxhash64("payer_id", "event_time"), F.lit(10)) == late)
-        _deliver(rows, deployed)
+        _deliver(rows.where(F.pmod(F.xxhash64("payer_id", "event_time"), F.lit(10)) == late), deployed)
         jobs.ingest(spark, deployed)
     jobs.compact_tables(spark, deployed)
     found = part_files(spark, deployed.bronze)

@@ -37,6 +37,9 @@ from txrisk.schemas import BUCKET_ROWS, KEY_BUCKET
 #: The bucket of a part that is not divided.
 UNDIVIDED = "all"
 _MOST_DIGITS = 4
+#: Source rows above which an upsert's joins shuffle both sides, some 5 MB of keys. Files say little of the
+#: size of keys derived from them, so Spark would send far more than its limit through the driver.
+_SENT_ROWS = 50_000
 _APPLIED = "txrisk.swaps"
 _SWAP = StructType([StructField(name, StringType()) for name in ("swap", "part", "place")])
 #: The directory of rows without a part.
@@ -408,6 +411,8 @@ def upsert(
         return
 
     source = dealt(spark, table, source, parts)
+    if sum(parts[name] for name in known) > _SENT_ROWS:
+        source = source.hint("merge")
     in_batch = stored_rows(spark, table).where(F.col(part).isin(known))
     matched, hits = _matches(in_batch, source.where(F.col(part).isin(known)), key, table.parts)
     if replayed and any(hit["most_copies"] > 1 for hit in hits):
