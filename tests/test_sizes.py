@@ -43,3 +43,14 @@ def test_keys_of_a_large_source_are_not_sent_to_the_driver(spark, table, monkeyp
     assert sorted(map(tuple, tables.read_table(spark, table).collect())) == sorted(
         (str(i), 0 if i < 20 else 1) for i in range(60)
     )
+
+
+def test_directories_are_listed_by_a_few_tasks_a_core(spark, table):
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    own = spark.newSession()
+    tables.append(own, table, frame(own, [(i, 0) for i in range(10)]))
+    assert int(own.conf.get(name)) == 4 * spark.sparkContext.defaultParallelism
+    other = spark.newSession()
+    other.conf.set(name, "7")
+    tables.table_exists(other, table)
+    assert other.conf.get(name) == "7"

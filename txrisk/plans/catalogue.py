@@ -690,7 +690,7 @@ def stream_ingest(spark, sf_dir):
 def corrected_bucket(spark, sf_dir):
     """Transfers of one day sent again, into days of many buckets: which stored rows were written anew."""
     deployed = replace(_deploy(spark), bucket_rows=50)
-    raw = transfers(spark, sf_dir).withColumn(bronze.SOURCE_PATH, _day_file())
+    raw = _kept_transfers(spark, sf_dir).withColumn(bronze.SOURCE_PATH, _day_file())
     rows = bronze.to_bronze(raw, _moment(LOADED_AT), with_key_day=True)
     upsert_rows(spark, deployed.bronze, rows, "transaction_id")
     before = _place_of_rows(spark, deployed).alias("before")

@@ -41,6 +41,7 @@ _MOST_DIGITS = 4
 #: size of keys derived from them, so Spark would send far more than its limit through the driver.
 _SENT_ROWS = 50_000
 _APPLIED = "txrisk.swaps"
+_LISTING, _LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism", 4
 _SWAP = StructType([StructField(name, StringType()) for name in ("swap", "part", "place")])
 #: The directory of rows without a part.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -81,8 +82,15 @@ class Table:
 # --- existence -------------------------------------------------------------------------------
 
 
+def _list_in_few_tasks(spark: SparkSession) -> None:
+    """Directories are listed by a few tasks a core instead of one task each, unless the session says how."""
+    if spark.conf.get(_LISTING, None) is None:
+        spark.conf.set(_LISTING, str(_LISTING_TASKS * spark.sparkContext.defaultParallelism))
+
+
 def table_exists(spark: SparkSession, table: Table) -> bool:
     """Whether the table is known. One left in its directory by an earlier session is re-attached."""
+    _list_in_few_tasks(spark)
     if spark.catalog.tableExists(table.name):
         return True
     if table.location is None:
