@@ -94,3 +94,17 @@ def test_long_texts_are_cut_into_pieces_without_loss(monkeypatch):
 
     assert strings(whole) == strings(pieces)
     assert {s for s, _ in strings(whole)} == {*range(0, 1101), *range(1250, 4901)}
+
+
+def test_found_runs_are_kept_and_joined_without_their_texts(spark, monkeypatch):
+    tables, kept = [], substrings.stored
+    monkeypatch.setattr(substrings, "stored", lambda df, name: tables.append((name, found := kept(df, name))) or found)
+    rows = corpus()
+    found = substrings.without_repeats(frame(spark, rows, partitions=3)).collect()
+    assert sorted(((r[0], *r[1:4], bytes(r[4])) for r in found), key=repr) == sorted(brute(rows), key=repr)
+    suffixes = [table for name, table in tables if name == "suffixes"]
+    assert len(suffixes) == len(substrings.BLOCKS)
+    for table in suffixes:
+        # the head of a bucket has its two edges, nothing else has text
+        assert {f.name for f in table.schema if f.dataType.simpleString() == "binary"} == {"low", "high"}
+        assert table.where("NOT head AND (low IS NOT NULL OR high IS NOT NULL)").isEmpty()

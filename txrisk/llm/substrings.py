@@ -168,6 +168,8 @@ def _of_part(path: str, part: int, columns: list[str]) -> pa.Table | None:
 _ANCHOR = ["hash", "n_rows", "mark"]
 _RUN = "doc bigint, part int, row int, start int, reach int, core bigint, text binary"
 _NAMES = [x.split()[0] for x in _RUN.split(", ")]
+#: Enough to find a run in its part again.
+_OPEN = ["row", "start", "size", "reach"]
 
 
 def _repeated_runs(anchors: str):
@@ -244,12 +246,12 @@ def multikey_order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 _SORTED = (
     "bucket int, head boolean, repeated boolean, doc bigint, part int, row int, start int, "
-    "size int, reach int, core bigint, text binary, low binary, high binary"
+    "size int, reach int, core bigint, low binary, high binary"
 )
 
 
 def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bucket in order: rows equal to the one before are repeated and lose their text. The first
+    """A bucket in order, without the texts: rows equal to the one before are repeated. The first
     row (head) has the bucket's first and last text, for the comparison across boundaries."""
     table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
     if table is None or not table.num_rows:
@@ -263,7 +265,6 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = table.take(pa.array(order))
     n = table.num_rows
     head = np.arange(n) == 0
-    text = pc.if_else(pa.array(repeated), pa.scalar(None, pa.binary()), table.column("text").combine_chunks())
     edge = lambda t: pa.array([t] + [None] * (n - 1), pa.binary())
     out = pa.RecordBatch.from_arrays(
         [
@@ -273,7 +274,6 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             *(table.column(c).combine_chunks() for c in ("doc", "part", "row", "start")),
             pa.array(np.array([len(texts[i]) for i in order], np.int32)),
             *(table.column(c).combine_chunks() for c in ("reach", "core")),
-            text if isinstance(text, pa.Array) else text.combine_chunks(),
             edge(texts[order[0]]),
             edge(texts[order[-1]]),
         ],
@@ -296,32 +296,41 @@ def sort_suffixes(suffixes: DataFrame, total_bytes: int, name: str) -> DataFrame
     return found.withColumn("repeated", F.col("repeated") | crossing).drop("low", "high")
 
 
-def _cut(block: int):
-    """Runs cut at distances from the anchor that are multiples of block."""
+def _cut(anchors: str, open_: str, block: int):
+    """Runs found open in a part, read from its own texts and cut at distances from the anchor that are
+    multiples of block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, part, row, start, reach, text in zip(
-                *(batch.column(c).to_pylist() for c in ("doc", "part", "row", "start", "reach", "text"))
-            ):
-                least = reach - (len(text) - LENGTH)  # the nearest string's distance
-                far = reach
-                while far >= least:
-                    near = max(far // block * block, least)
-                    at = reach - far
-                    piece = text[at : at + (far - near) + LENGTH]
-                    base = far // block * block
-                    core = text[reach - base : reach - base - block + 1 + LENGTH]
-                    digest = hashlib.blake2b(core, digest_size=8, salt=base.to_bytes(8)).digest()
-                    rows.append(
-                        (doc, part, row, start + at, far, int.from_bytes(digest, signed=True), piece)
-                    )
-                    far = near - 1
-            types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-            if rows:
+        part = _Part()
+        table = _of_part(open_, part.number, _OPEN)
+        runs_ = np.zeros((len(_OPEN), 0), np.int64)
+        if table is not None:
+            runs_ = np.stack([table.column(c).to_numpy().astype(np.int64) for c in _OPEN])
+            runs_ = runs_[:, np.lexsort((runs_[1], runs_[0]))]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        for ids, first_row, texts in part.chunks(batches):
+            a, b = np.searchsorted(runs_[0], [first_row, first_row + texts.count])
+            data = texts.data.tobytes() if a < b else b""
+            for i in range(a, b, 10_000):
+                rows = []
+                for row, start, size, reach in runs_[:, i : min(i + 10_000, b)].T.tolist():
+                    doc, begin = int(ids[row - first_row]), int(texts.bounds[row - first_row]) + start
+                    text = data[begin : begin + size]
+                    least = reach - (size - LENGTH)  # the nearest string's distance
+                    far = reach
+                    while far >= least:
+                        near = max(far // block * block, least)
+                        at = reach - far
+                        piece = text[at : at + (far - near) + LENGTH]
+                        base = far // block * block
+                        core = text[reach - base : reach - base - block + 1 + LENGTH]
+                        digest = hashlib.blake2b(core, digest_size=8, salt=base.to_bytes(8)).digest()
+                        core_hash = int.from_bytes(digest, signed=True)
+                        rows.append((doc, part.number, row, start + at, far, core_hash, piece))
+                        far = near - 1
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
                 yield pa.RecordBatch.from_arrays(columns, _NAMES)
+        _same(part, _of_part(anchors, part.number, _ANCHOR))
 
     return run
 
@@ -399,6 +408,7 @@ def without_repeats(docs: DataFrame, copy: bool = True) -> DataFrame:
     once = F.when(F.col("hash").isNotNull() & (F.col("nth") == 0), F.col("n")).alias("n")
     anchors = _by_part(spread.select(*_ANCHOR, once, "part"), "anchors")
     # not stored: the range partitioning's sample reads the texts once more, which costs less disk
+    # texts of runs that are cut are read from the part again, so what is found is kept without them
     suffixes = rows.mapInArrow(_repeated_runs(anchors), _RUN)
     # every occurrence is a run, copies in one part too; no run is longer than that
     occurrences = rows.sparkSession.read.parquet(anchors).agg(F.sum("n")).first()[0] or 0
@@ -407,10 +417,10 @@ def without_repeats(docs: DataFrame, copy: bool = True) -> DataFrame:
     for block in BLOCKS[1:]:
         gone = _intervals(found)
         removed = gone if removed is None else removed.unionByName(gone)
-        firsts = found.where("NOT repeated").select(*_NAMES)
+        firsts = found.where("NOT repeated").select("core", "part", *_OPEN)
         shared = firsts.groupBy("core").agg(F.count("*").alias("n")).where("n > 1")
-        open_ = firsts.join(shared.select("core"), "core", "left_semi").select(*_NAMES)
-        pieces = stored(open_.mapInArrow(_cut(block), _RUN), "pieces")
+        open_ = firsts.join(shared.select("core"), "core", "left_semi").drop("core")
+        pieces = stored(rows.mapInArrow(_cut(anchors, _by_part(open_, "open"), block), _RUN), "pieces")
         total = pieces.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         found = sort_suffixes(pieces, total, "suffixes")
     removed = removed.unionByName(_intervals(found))
