@@ -25,6 +25,7 @@ from txrisk.errors import MissingColumnsError
 
 # The key recipe, rule limits and names results depend on.
 KEY_FIELDS = ("payer_id", "payee_id", "tx_type", "event_time", "amount")
+KEY_TIME = "event_time"
 KEY_SEPARATOR = "||"
 KEY_HASH_BITS = 256
 NIGHT_ENDS_AT_HOUR = 6
