@@ -125,10 +125,13 @@ def _retract_earlier(spark: SparkSession, settings: Settings, names: DataFrame,
 
 
 def _retracted(spark: SparkSession, settings: Settings, layer: str) -> tuple[DataFrame, list[str]]:
-    """What a layer still has to take out: (source_file, before), and the days it can be in."""
+    """What a layer still has to take out: (source_file, before), and the days it can be in. Nothing is
+    ever retracted, and nothing looked up, where changed files are not read again."""
+    if not settings.reread_changed:
+        return spark.createDataFrame([], "source_file string, before timestamp"), []
     mark = get_watermark(spark, settings.watermarks, layer)
     open_ = rows_after(read_or_empty(spark, settings.retractions), None if mark is None else instant(mark))
-    days = [row[0] for row in open_.select(KEY_DAY).distinct().collect()] if settings.reread_changed else []
+    days = [row[0] for row in open_.select(KEY_DAY).distinct().collect()]
     return open_.groupBy("source_file").agg(F.max("ingested_at").alias("before")), days
 
 
