@@ -5,6 +5,12 @@ its parts by leading digits of the key into buckets, as many as its rows ask for
 and rewrites only the buckets where keys match, and appends everything else; the rest of the table is
 not touched.
 
+A bucket has a folder of its own, unless there are very many small ones: folders then hold all buckets of
+a part that begin with the same digits, and their names say how many digits a bucket has ("a~~" holds a00 to aff).
+Buckets of such a folder are rewritten into a layer of it, a folder named by the swap ("a~~.swap"), and a row
+of masks for each says that its rows in earlier layers are no longer the table's. Only readers that come
+through ``stored_rows`` leave those out.
+
 Nothing is ever replaced in place. New files go to a place of their own, a line in the table's swap log
 says which parts move there, and then the catalog is told. A failure before the line leaves the old rows;
 after it, the next write of the table, or the next session that opens it, finishes the move. So readers
@@ -37,11 +43,17 @@ from txrisk.schemas import BUCKET_ROWS, KEY_BUCKET
 #: The bucket of a part that is not divided.
 UNDIVIDED = "all"
 _MOST_DIGITS = 4
+#: Where the new parts of a write have more buckets than these, small ones share folders of about so many rows.
+_OWN_FOLDERS, _FOLDER_ROWS = 1_024, 100_000
+#: What a common folder's name has for the digits in which its buckets differ, and before a layer's swap.
+_MORE, _LAYER = "~", "."
+_FOLDER = f"substring_index({KEY_BUCKET}, '{_LAYER}', 1)"
 #: Source rows above which an upsert's joins shuffle both sides, some 5 MB of keys. Files say little of the
 #: size of keys derived from them, so Spark would send far more than its limit through the driver.
 _SENT_ROWS = 50_000
 _APPLIED = "txrisk.swaps"
 _LISTING, _LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism", 4
+_MASK = StructType([StructField("_bucket", StringType()), StructField("_layer", StringType())])
 _SWAP = StructType([StructField(name, StringType()) for name in ("swap", "part", "place")])
 #: The directory of rows without a part.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -137,7 +149,8 @@ def stored_rows(spark: SparkSession, table: Table) -> DataFrame:
     """All columns as stored, the partition columns included."""
     if not table_exists(spark, table):
         raise MissingTableError(f"table {table.name} does not exist yet")
-    return spark.table(table.name)
+    rows = spark.table(table.name)
+    return _without_masked(spark, table, rows) if table.key and _readable(spark, _masks(spark, table)) else rows
 
 
 def read_table(spark: SparkSession, table: Table) -> DataFrame:
@@ -166,11 +179,20 @@ def _log(spark: SparkSession, table: Table) -> str:
     return f"{_root(spark, table)}.swaps"
 
 
-def _swap(spark: SparkSession, table: Table, rows: DataFrame, parts: list[str] | None = None) -> None:
+def _swap_name(spark: SparkSession, table: Table) -> str:
+    """A name above those of all swaps the catalog knows, also when a clock is set back."""
+    _, last = _applied(spark, table)
+    return f"{max(now_micros(), int(last[:20] or 0) + 1):020d}-{uuid.uuid4().hex}"
+
+
+def _swap(
+    spark: SparkSession, table: Table, rows: DataFrame, parts: list[str] | None = None, swap: str | None = None
+) -> None:
     """Replace every part that occurs in ``rows``, or the whole table if it has no parts. Stored ``parts``
-    (by the names of their directories) that do not occur any more become empty."""
+    (by the names of their directories) that do not occur any more become empty. ``swap`` is the swap's
+    name, if the caller has given it one."""
     done = finish_swaps(spark, table)
-    swap = f"{now_micros():020d}-{uuid.uuid4().hex}"
+    swap = swap or _swap_name(spark, table)
     place = f"{_root(spark, table)}.versions/{swap}"
     (rows.write.partitionBy(*table.parts) if table.part else rows.write).parquet(place)
     places = _places(spark, table, place)
@@ -263,15 +285,42 @@ def _stored(spark: SparkSession, table: Table) -> list[tuple[str, tuple[str, ...
 
 
 def stored_buckets(spark: SparkSession, table: Table) -> dict[str, list[str]]:
-    """Parts the catalog knows with their buckets, without a look at the rows."""
+    """Parts the catalog knows with the folders of their buckets, without a look at the rows."""
     found: dict[str, list[str]] = {}
     for _, (part, *bucket) in _stored(spark, table):
         found.setdefault(part, []).extend(bucket)
     return found
 
 
-def _digits(buckets: list[str]) -> int:
-    return 0 if not buckets or UNDIVIDED in buckets else len(buckets[0])
+def _first_layer(folder: str) -> str:
+    """The name of a folder without its layer."""
+    return folder.partition(_LAYER)[0] if _MORE in folder else folder
+
+
+def _layer_of(folder: str) -> str:
+    return folder.partition(_LAYER)[2] if _MORE in folder else ""
+
+
+@dataclass(frozen=True)
+class Shape:
+    """How a part is divided: the digits of its buckets, the digits its folders have of them, and the
+    layer that takes new rows."""
+
+    digits: int = 0
+    folder_digits: int = 0
+    layer: str = ""
+
+    @property
+    def shared(self) -> bool:
+        """Whether a folder holds several buckets."""
+        return self.folder_digits < self.digits
+
+
+def _stored_shape(folders: list[str]) -> Shape:
+    if not folders or UNDIVIDED in folders:
+        return Shape()
+    own = [_first_layer(folder).rstrip(_MORE) for folder in folders]
+    return Shape(len(_first_layer(folders[0])), len(own[0]), max(map(_layer_of, folders)))
 
 
 def digits_for(rows: int, bucket_rows: int) -> int:
@@ -282,30 +331,98 @@ def digits_for(rows: int, bucket_rows: int) -> int:
     return digits
 
 
-def bucket_of(table: Table, digits: dict[str, int]) -> Column:
-    """A row's bucket, given the digits of its part; a part that is not named is undivided."""
-    bucket = F.lit(UNDIVIDED)
-    for count in sorted(set(digits.values()) - {0}):
-        parts = [part for part, own in digits.items() if own == count]
-        prefix = F.substring(table.key, 1, count)
-        bucket = F.when(F.col(table.part).isin(parts), prefix).otherwise(bucket)
-    return bucket
+def folder_of(table: Table, shapes: dict[str, Shape], digits: Column | None = None, layer: str | None = None) -> Column:
+    """The folder of a row, or of what begins with the same ``digits``, by the shape of its part; a part that
+    is not named is undivided. Folders that buckets share are named with the part's layer or with this one."""
+    digits = F.col(table.key) if digits is None else digits
+    folder = F.lit(UNDIVIDED)
+    for shape in sorted({shape for shape in shapes.values() if shape.digits}, key=str):
+        parts = [part for part, own in shapes.items() if own == shape]
+        name = F.substring(digits, 1, shape.folder_digits)
+        if shape.shared:
+            own_layer = shape.layer if layer is None else layer
+            name = F.concat(F.rpad(name, shape.digits, _MORE), F.lit(_LAYER + own_layer if own_layer else ""))
+        folder = F.when(F.col(table.part).isin(parts), name).otherwise(folder)
+    return folder
+
+
+def _shapes(spark: SparkSession, table: Table, sizes: dict[str, int]) -> dict[str, Shape]:
+    """A stored part keeps its shape; a new one gets what its rows ask for."""
+    known = stored_buckets(spark, table)
+    shapes = {part: _stored_shape(known[part]) for part in sizes if part in known}
+    new = {part: digits_for(size, table.bucket_rows) for part, size in sizes.items() if part not in known}
+    few = sum(16**digits for digits in new.values()) <= _OWN_FOLDERS
+    for part, digits in new.items():
+        shapes[part] = Shape(digits, digits if few else min(digits, digits_for(sizes[part], _FOLDER_ROWS)))
+    return shapes
 
 
 def dealt(
     spark: SparkSession, table: Table, rows: DataFrame, sizes: dict[str, int] | None = None
 ) -> DataFrame:
-    """Rows with the bucket each belongs to. A stored part keeps its digits; a new one gets as many
+    """Rows with the folder each belongs to. A stored part keeps its digits; a new one gets as many
     as its rows ask for. ``sizes`` are rows by part, if the caller knows them."""
     if not table.key:
         return rows
     sizes = part_sizes(rows, table.part) if sizes is None else sizes
-    known = stored_buckets(spark, table)
-    digits = {
-        part: _digits(known[part]) if part in known else digits_for(size, table.bucket_rows)
-        for part, size in sizes.items()
-    }
-    return rows.withColumn(KEY_BUCKET, bucket_of(table, digits))
+    return rows.withColumn(KEY_BUCKET, folder_of(table, _shapes(spark, table, sizes)))
+
+
+def by_bucket(table: Table, rows: DataFrame) -> DataFrame:
+    """Stored or dealt rows with the bucket of each instead of its folder."""
+    folder = F.col(KEY_BUCKET)
+    digits = F.length(F.substring_index(folder, _LAYER, 1))
+    bucket = F.when(folder.contains(_MORE), F.substring(F.col(table.key), F.lit(1), digits)).otherwise(folder)
+    return rows.withColumn(KEY_BUCKET, bucket)
+
+
+# --- masks -----------------------------------------------------------------------------------
+
+
+def _masks(spark: SparkSession, table: Table) -> str:
+    return f"{_root(spark, table)}.masks"
+
+
+def _without_masked(spark: SparkSession, table: Table, rows: DataFrame) -> DataFrame:
+    """Rows but those whose bucket was rewritten into a later layer. A layer and its masks count from when its
+    swap is done, so a reader sees all of a swap or nothing."""
+    _, last = _applied(spark, table)
+    layers = {_layer_of(folder) for _, (_, folder) in _stored(spark, table)}
+    layers = sorted(layer for layer in layers if "" < layer <= last)
+    folder = F.col(KEY_BUCKET)
+    layer = F.when(folder.contains(_MORE) & folder.contains(_LAYER), F.substring_index(folder, _LAYER, -1))
+    layer = F.coalesce(layer, F.lit(""))
+    named = StructType([StructField("_part", table.types[table.part].dataType), *_MASK.fields])
+    # masks of a swap that was never recorded are no one's
+    masks = spark.read.schema(named).parquet(_masks(spark, table)).where(F.col("_layer").isin(layers))
+    newest = masks.groupBy("_part", "_bucket").agg(F.max("_layer").alias("_newest"))
+    bucket = F.substring(F.col(table.key), F.lit(1), F.length(F.substring_index(folder, _LAYER, 1)))
+    masked = (F.col(table.part) == F.col("_part")) & (bucket == F.col("_bucket")) & (layer < F.col("_newest"))
+    return rows.where(layer.isin(["", *layers])).join(newest, masked, "left_anti")
+
+
+def _replace_buckets(
+    spark: SparkSession, table: Table, rows: DataFrame, buckets: DataFrame, hits: list, shapes: dict[str, Shape]
+) -> str:
+    """Replace the ``buckets`` of parts by ``rows``, both as ``by_bucket`` gives them; returns the swap's name.
+    ``hits`` are the folders they are in. Where a folder is shared, rows go to a layer of it, and the buckets
+    are masked in all earlier ones."""
+    finish_swaps(spark, table)
+    swap = _swap_name(spark, table)
+    shared = [part for part, shape in shapes.items() if shape.shared]
+    masks = buckets.where(F.col(table.part).isin(shared)).select(
+        F.col(table.part).alias("_part"), F.col(KEY_BUCKET).alias("_bucket"), F.lit(swap).alias("_layer")
+    )
+    masks.distinct().write.mode("append").parquet(_masks(spark, table))
+    keys = {tuple(hit[name] for name in table.parts) for hit in hits}
+    names = set()
+    for name, (part, folder) in _stored(spark, table):
+        if (part, _first_layer(folder)) in keys:
+            above, _, own = name.rpartition("/")
+            names.add(f"{above}/{_first_layer(own)}{_LAYER}{swap}" if _MORE in folder else name)
+    layered = rows.withColumn(KEY_BUCKET, folder_of(table, shapes, F.col(KEY_BUCKET), swap))
+    _swap(spark, table, to_write(layered, table), sorted(names), swap)
+    return swap
 
 
 # --- writes ----------------------------------------------------------------------------------
@@ -341,8 +458,37 @@ def replace_parts(
     """Replace the parts that occur in ``rows``; the rows may come from the table itself. Of ``parts``
     those without a row become empty."""
     ensure_table(spark, table)
-    wanted = [name for name, values in _stored(spark, table) if values[0] in (parts or ())]
-    _swap(spark, table, to_write(rows, table), wanted)
+    stored = _stored(spark, table)
+    wanted = [name for name, values in stored if values[0] in (parts or ())]
+    if table.key and any(_MORE in values[1] for _, values in stored):
+        _replace_shared(spark, table, rows, parts or [])
+    else:
+        _swap(spark, table, to_write(rows, table), wanted)
+
+
+def _replace_shared(spark: SparkSession, table: Table, rows: DataFrame, parts: list[str]) -> None:
+    """``replace_parts`` where folders are shared: of buckets, and then of what ``parts`` had before."""
+    finish_swaps(spark, table)
+    old = stored_rows(spark, table).where(F.col(table.part).isin(parts)).select(*table.parts)
+    found = rows.select(*table.parts).unionByName(old).distinct().collect()
+    folders: dict[str, list[str]] = {}
+    found = [(part, folder) for part, folder in found if folder is not None]
+    for part, folder in found:
+        folders.setdefault(part, []).append(folder)
+    shapes = {part: _stored_shape(own) for part, own in (folders | stored_buckets(spark, table)).items()}
+    old = by_bucket(table, stored_rows(spark, table).where(F.col(table.part).isin(parts)))
+    rows = by_bucket(table, rows)
+    buckets = rows.select(*table.parts).unionByName(old.select(*table.parts)).distinct()
+    hits = [{table.part: part, KEY_BUCKET: _first_layer(folder)} for part, folder in found]
+    swap = _replace_buckets(spark, table, rows, buckets, hits, shapes)
+    # nothing is read any more from earlier layers of these parts
+    masked = [
+        name
+        for name, (part, folder) in _stored(spark, table)
+        if part in parts and _MORE in folder and _layer_of(folder) != swap
+    ]
+    if masked:
+        _swap(spark, table, to_write(stored_rows(spark, table).limit(0), table), masked)
 
 
 def remove_rows(spark: SparkSession, table: Table, gone: DataFrame, parts: list[str]) -> int:
@@ -354,6 +500,18 @@ def remove_rows(spark: SparkSession, table: Table, gone: DataFrame, parts: list[
     rows = stored_rows(spark, table).where(F.col(table.part).isin(parts))
     files = gone.select(F.col("source_file").alias("_file"), F.col("before").alias("_before"))
     stale = (F.col("source_file") == F.col("_file")) & (F.col("ingested_at") < F.col("_before"))
+    shapes = _shapes(spark, table, dict.fromkeys(parts, 0)) if table.key else {}
+    if any(shape.shared for shape in shapes.values()):
+        gone = by_bucket(table, rows).join(files, stale, "left_semi")
+        found = kept_once(gone.groupBy(*table.parts).agg(F.count("*").alias("rows")))
+        hits = found.withColumn(KEY_BUCKET, folder_of(table, shapes, F.col(KEY_BUCKET), ""))
+        hits = hits.groupBy(*table.parts).agg(F.sum("rows").alias("rows")).collect()
+        if hits:
+            buckets = found.select(*table.parts)
+            left = by_bucket(table, rows.where(_in_buckets(table, hits, _FOLDER)))
+            left = left.join(buckets, table.parts, "left_semi").join(files, stale, "left_anti")
+            _replace_buckets(spark, table, left, buckets, hits, shapes)
+        return sum(hit["rows"] for hit in hits)
     found = rows.join(files, stale, "left_semi").groupBy(*table.parts).agg(F.count("*").alias("rows"))
     hits = found.collect()
     if hits:
@@ -418,36 +576,61 @@ def upsert(
         append(spark, table, source, gather, parts)
         return
 
-    source = dealt(spark, table, source, parts)
+    shapes = _shapes(spark, table, parts) if table.key else {}
+    source = source.withColumn(KEY_BUCKET, folder_of(table, shapes)) if table.key else source
+    stored = in_batch = stored_rows(spark, table).where(F.col(part).isin(known))
+    shared = any(shapes[name].shared for name in known if name in shapes)
+    if shared:
+        source, in_batch = by_bucket(table, source), by_bucket(table, in_batch)
     if sum(parts[name] for name in known) > _SENT_ROWS:
         source = source.hint("merge")
-    in_batch = stored_rows(spark, table).where(F.col(part).isin(known))
-    matched, hits = _matches(in_batch, source.where(F.col(part).isin(known)), key, table.parts)
+    folder = folder_of(table, shapes, F.col(KEY_BUCKET), "") if shared else None
+    matched, hits = _matches(in_batch, source.where(F.col(part).isin(known)), key, table.parts, folder)
     if replayed and any(hit["most_copies"] > 1 for hit in hits):
         # equal keys share a part, so only rows of known parts can be stored already
         source = without_stored(source, in_batch, [part, key, *replayed])
-        matched, hits = _matches(in_batch, source.where(F.col(part).isin(known)), key, table.parts)
+        matched, hits = _matches(in_batch, source.where(F.col(part).isin(known)), key, table.parts, folder)
     if any(hit["most_copies"] > 1 for hit in hits):
         raise DuplicateKeyError(f"several source rows share one stored {key} of {table.name}")
 
+    keys = list(dict.fromkeys([*table.parts, key]))
+    if shared:
+        outside = source
+        if hits:
+            buckets = matched.select(*table.parts).distinct()
+            target = by_bucket(table, stored.where(_in_buckets(table, hits, _FOLDER)))
+            merged = merge_rows(
+                target.join(buckets, table.parts, "left_semi"),
+                source.join(buckets, table.parts, "left_semi"),
+                keys,
+                matched,
+            )
+            _replace_buckets(spark, table, merged, buckets, hits, shapes)
+            outside = source.join(buckets, table.parts, "left_anti")
+        outside = outside.withColumn(KEY_BUCKET, folder_of(table, shapes, F.col(KEY_BUCKET)))
+        to_write(outside, table, gather).write.insertInto(table.name)
+        return
     if not hits:
         to_write(source, table, gather).write.insertInto(table.name)
         return
     inside = _in_buckets(table, hits)
-    keys = list(dict.fromkeys([*table.parts, key]))
-    replace_parts(spark, table, merge_rows(in_batch.where(inside), source.where(inside), keys, matched))
+    merged = merge_rows(in_batch.where(inside), source.where(inside), keys, matched)
+    _swap(spark, table, to_write(merged, table))
     if table.key or set(parts) - {hit[part] for hit in hits}:
         to_write(source.where(~inside), table, gather).write.insertInto(table.name)
 
 
-def _matches(target: DataFrame, source: DataFrame, key: str, parts: list[str]) -> tuple[DataFrame, list]:
-    """The matching keys, kept, and for each part or bucket with any: target rows hit, most source
-    rows on one key."""
+def _matches(
+    target: DataFrame, source: DataFrame, key: str, parts: list[str], folder: Column | None = None
+) -> tuple[DataFrame, list]:
+    """The matching keys, kept, and for each part or bucket with any, or for each ``folder`` of buckets: target
+    rows hit, most source rows on one key."""
     matched = kept_once(matched_keys(target, source, key, parts))
-    return matched, matched_parts(target, source, key, parts, matched).collect()
+    found = matched if folder is None else matched.withColumn(KEY_BUCKET, folder)
+    return matched, matched_parts(target, source, key, parts, found).collect()
 
 
-def _in_buckets(table: Table, hits: list) -> Column:
+def _in_buckets(table: Table, hits: list, bucket: str = KEY_BUCKET) -> Column:
     """Rows of the parts, and buckets of them, that have a hit; reaches partition pruning."""
     if not table.key:
         return F.col(table.part).isin([hit[table.part] for hit in hits])
@@ -459,7 +642,7 @@ def _in_buckets(table: Table, hits: list) -> Column:
         by_buckets.setdefault(tuple(sorted(buckets)), []).append(part)
     inside = F.lit(False)
     for buckets, own in by_buckets.items():
-        inside = inside | (F.col(table.part).isin(own) & F.col(KEY_BUCKET).isin(list(buckets)))
+        inside = inside | (F.col(table.part).isin(own) & F.expr(bucket).isin(list(buckets)))
     return inside
 
 
@@ -487,7 +670,8 @@ def compact(spark: SparkSession, table: Table, file_bytes: int, most_files: int)
     many = [
         row[table.part]
         for row in part_files(spark, table).collect()
-        if row["files"] > most_files * max(1, len(buckets[row[table.part]])) + row["file_bytes"] // file_bytes
+        if row["files"]
+        > most_files * max(1, len(set(map(_first_layer, buckets[row[table.part]])))) + row["file_bytes"] // file_bytes
     ]
     if many:
         replace_parts(spark, table, stored_rows(spark, table).where(F.col(table.part).isin(many)))
